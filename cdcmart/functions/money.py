@@ -17,28 +17,36 @@ TOTAL = "decimal(28,2)"  # sums of money
 COUNT = "decimal(13,0)"  # divisors made from counts: 13 digits keep the check exact
 
 
+def _sign(amount: Column) -> Column:
+    return F.when(amount < 0, F.lit(-1)).otherwise(F.lit(1)).cast("decimal(1,0)")
+
+
+def _one_less_if(above: Column, candidate: Column, step: Column) -> Column:
+    return candidate - F.when(above, step).otherwise(step - step)
+
+
 def exact_ratio_round(a: Column, b: Column, c: Column) -> Column:
-    """``a * b / c`` rounded half away from zero to cents, for ``c > 0``.
+    """``a * b / c`` rounded half away from zero to cents; NULL unless ``c > 0``.
 
-    ``a`` and ``b`` may be up to decimal(18,2) and ``c`` up to decimal(15,2).
+    ``a`` and ``b`` may be up to decimal(18,2) and ``c`` up to decimal(15,2). The shared
+    parts stand outside every branch, so generated code computes them once.
     """
     product = a * b
-    size = F.abs(product)
-    candidate = F.round(size / c, 2).cast(MONEY)
+    size, divisor = F.abs(product), F.when(c > 0, c)
+    candidate = F.round(size / divisor, 2).cast(MONEY)
     cent, half = F.lit("0.01").cast("decimal(3,2)"), F.lit("0.005").cast("decimal(4,3)")
-    rounded = F.when((candidate - half) * c > size, candidate - cent).otherwise(candidate)
-    return F.when(product < 0, -rounded).otherwise(rounded).cast(MONEY)
+    rounded = _one_less_if((candidate - half) * divisor > size, candidate, cent)
+    return (rounded * _sign(product)).cast(MONEY)
 
 
 def exact_ratio_truncate(amount: Column, count: Column, scale: int) -> Column:
-    """``amount / count`` cut off (toward zero) after ``scale`` digits, for ``count > 0``."""
-    size = F.abs(amount.cast(TOTAL))
-    divisor = count.cast(COUNT)
+    """``amount / count`` cut off (toward zero) after ``scale`` digits; NULL unless ``count > 0``."""
+    size, divisor = F.abs(amount.cast(TOTAL)), F.when(count > 0, count.cast(COUNT))
     kind = f"decimal({16 + scale},{scale})"
     candidate = (size / divisor).cast(kind)
     step = F.lit("0." + "0" * (scale - 1) + "1").cast(f"decimal({scale + 1},{scale})")
-    cut = F.when(candidate * divisor > size, candidate - step).otherwise(candidate)
-    return F.when(amount < 0, -cut).otherwise(cut).cast(kind)
+    cut = _one_less_if(candidate * divisor > size, candidate, step)
+    return (cut * _sign(amount)).cast(kind)
 
 
 def percent_of(amount: Column, percent: Column) -> Column:

@@ -1,50 +1,54 @@
 """Reading values off the wire.
 
-A payload is JSON text. ``parsed`` turns it into one VARIANT, or NULL when the text
-is not exactly one JSON value; every field is then looked up in that parsed form, so
-a payload is parsed once no matter how many columns a table has.
-
-Spark's JSON parser stops after the first value, so ``{"a":1} x`` alone would pass.
-The text is therefore wrapped as ``[<text>,"<digest of text>"]``: only if the text is
-one complete value does the digest come out as the second element.
+A payload is JSON text. Spark's JSON reader stops after the first value, so
+``{"a":1} x`` would pass as valid. The text is therefore wrapped into an array whose
+second element carries a digest of the text: only if the text is exactly one JSON value
+does that digest come out in second place. The same single pass yields the fields.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Spark's reader is more lenient than JSON unless told otherwise.
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+MARK = "__digest"
 
-def parsed(payload: Column) -> Column:
-    digest = F.md5(payload)
-    wrapped = F.concat(F.lit("["), payload, F.lit(',"'), digest, F.lit('"]'))
-    value = F.try_parse_json(wrapped)
-    complete = F.try_variant_get(value, "$[1]", "string") == digest
-    return F.when(complete, value)
 
+def json_valid(payload: Column) -> Column:
+    """Whether the text is exactly one JSON value of any kind."""
+    wrapped = F.concat(F.lit("["), payload, F.lit(',"'), F.md5(payload), F.lit('"]'))
+    return F.coalesce(F.get(F.from_json(wrapped, "array<string>", STRICT), F.lit(1)) == F.md5(payload), F.lit(False))
 
-def open_payload(log: DataFrame, payload: str = "payload", name: str = "v") -> DataFrame:
-    """Add the parsed payload as a column, behind a one-element explode.
 
-    Spark moves filters below projections by copying the projected expressions into the
-    filter. A filter on several fields would copy the parse once per field; it is not
-    moved below an explode.
-    """
-    return log.select("*", F.explode(F.array(parsed(F.col(payload)))).alias(name))
+def _open(log: DataFrame, element: str) -> DataFrame:
+    """Add ``_json``: the payload read as ``element`` if it is one complete JSON object.
 
-
-def json_valid(payload: Column) -> Column:
-    return parsed(payload).isNotNull()
+    Parse and check sit in one-element explodes because Spark moves filters below
+    projections by copying the projected expressions into the filter; a filter on
+    several fields would parse once per field. It is not moved below an explode.
+    """
+    digested = log.withColumn("_digest", F.md5("payload"))
+    end = F.concat(F.lit(f',{{"{MARK}":"'), F.col("_digest"), F.lit('"}]'))
+    pair = F.from_json(F.concat(F.lit("["), F.col("payload"), end), f"array<{element}>", STRICT)
+    opened = digested.select("*", F.explode(F.array(pair)).alias("_pair"))
+    complete = F.get("_pair", F.lit(1))[MARK] == F.col("_digest")
+    checked = opened.select("*", F.explode(F.array(F.when(complete, F.get("_pair", F.lit(0))))).alias("_json"))
+    return checked.drop("_pair", "_digest")
 
 
-def has_field(value: Column, name: str) -> Column:
-    """Presence of a key; a key holding JSON null counts as present."""
-    return F.try_variant_get(value, f"$[0].{name}", "variant").isNotNull()
+def open_fields(log: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Add ``_json``, a struct of the named fields as text (NULL when absent or null);
+    the struct itself is NULL if the payload is not one JSON object."""
+    return _open(log, "struct<" + ", ".join(f"`{name}` string" for name in (*names, MARK)) + ">")
 
 
-def field_text(value: Column, name: str) -> Column:
-    """The field as text; NULL when absent or JSON null."""
-    return F.try_variant_get(value, f"$[0].{name}", "string")
+def open_object(log: DataFrame) -> DataFrame:
+    """Add ``_json``, a map of all fields as text; a field holding null is present."""
+    return _open(log, "map<string,string>")
 
 
 def decimal_or_null(text: Column) -> Column:
@@ -59,9 +63,6 @@ def float_or_null(text: Column) -> Column:
     return text.try_cast("double")
 
 
-def flag(text: Column) -> Column:
-    """JSON booleans arrive as true/false, flags as 0/1."""
-    lowered = F.lower(text)
-    return (
-        F.when(lowered == "true", F.lit(1)).when(lowered == "false", F.lit(0)).otherwise(text.try_cast("int"))
-    )
+def whole(text: Column, kind: str) -> Column:
+    """A whole number; JSON booleans count as 1 and 0."""
+    return F.when(F.lower(text) == "true", 1).when(F.lower(text) == "false", 0).otherwise(text.try_cast(kind)).cast(kind)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cdcmart.operators.skew import lookup_join
+from cdcmart.operators.skew import spread_lookup_join
 
 
 def unit_cost_asof(
@@ -67,4 +67,4 @@ def unit_cost_asof(
             .alias("unit_cost"),
         )
     )
-    return lookup_join(lines, resolved, {product: "p", line_time: "t"}, {name: "unit_cost"}, [line_id])
+    return spread_lookup_join(lines, resolved, {product: "p", line_time: "t"}, {name: "unit_cost"}, [line_id])

@@ -10,19 +10,14 @@ from cdcmart.functions.time import millis_to_second
 from cdcmart.sources.specs import TableSpec
 
 
-def _whole(text: Column, kind: str) -> Column:
-    # A JSON boolean is a valid number on this wire.
-    return F.coalesce(text.try_cast(kind), wire.flag(text).cast(kind))
-
-
 def _value(text: Column, kind: str) -> Column:
     match kind:
         case "id":
-            return F.coalesce(_whole(text, "bigint"), F.lit(0).cast("bigint"))
+            return F.coalesce(wire.whole(text, "bigint"), F.lit(0).cast("bigint"))
         case "id?":
-            return _whole(text, "bigint")
+            return wire.whole(text, "bigint")
         case "int":
-            return F.coalesce(_whole(text, "int"), F.lit(0))
+            return F.coalesce(wire.whole(text, "int"), F.lit(0))
         case "str":
             return F.coalesce(text, F.lit(""))
         case "str?":
@@ -38,7 +33,7 @@ def _value(text: Column, kind: str) -> Column:
         case "time?":
             return millis_to_second(text.try_cast("bigint"))
         case "flag+":
-            return F.coalesce(wire.flag(text), F.lit(1))
+            return F.coalesce(wire.whole(text, "int"), F.lit(1))
     raise ValueError(f"unknown column kind {kind}")
 
 
@@ -47,36 +42,29 @@ def _unreadable(text: Column, kind: str) -> Column:
     text and fall back to a default, so they never make a row unreadable."""
     present = text.isNotNull()
     if kind in ("id", "id?"):
-        return present & _whole(text, "bigint").isNull()
+        return present & wire.whole(text, "bigint").isNull()
     if kind == "int":
-        return present & _whole(text, "int").isNull()
+        return present & wire.whole(text, "int").isNull()
     if kind in ("time", "time?"):
         return present & text.try_cast("bigint").isNull()
     if kind == "flag+":
-        return present & wire.flag(text).isNull()
+        return present & wire.whole(text, "int").isNull()
     return F.lit(False)
 
 
 def typed_with_status(log: DataFrame, spec: TableSpec, version: str = "offset") -> DataFrame:
     """Typed change rows plus ``_broken`` (not one JSON object, or a field of the wrong
     type). Unknown fields are ignored."""
-    starts = F.ltrim(F.col("payload"), F.lit(" \t\r\n")).startswith("{")
-    opened = wire.open_payload(log.select(F.col(version).alias("_version"), "payload", starts.alias("_starts")))
-    v = F.col("v")
-    texts = F.struct(
-        F.coalesce(v.isNotNull() & F.col("_starts"), F.lit(False)).alias("_object"),
-        F.coalesce(wire.field_text(v, "__op") == "d", F.lit(False)).cast("int").alias("_deleted"),
-        *[wire.field_text(v, name).alias(name) for name, _ in spec.fields],
-    )
-    # The second explode keeps the filter on unreadable rows from repeating the lookups.
-    fields = opened.select("_version", F.inline(F.array(texts)))
-    broken = ~F.col("_object")
+    source = log.select(F.col(version).alias("_version"), "payload")
+    fields = wire.open_fields(source, ["__op", *[name for name, _ in spec.fields]])
+    texts = {name: F.col("_json")[name] for name, _ in spec.fields}
+    broken = F.col("_json").isNull()
     for name, kind in spec.fields:
-        broken = broken | _unreadable(F.col(name), kind)
+        broken = broken | _unreadable(texts[name], kind)
     return fields.select(
-        *[_value(F.col(name), kind).alias(name) for name, kind in spec.fields],
+        *[_value(texts[name], kind).alias(name) for name, kind in spec.fields],
         "_version",
-        "_deleted",
+        F.coalesce(F.col("_json.__op") == "d", F.lit(False)).cast("int").alias("_deleted"),
         broken.alias("_broken"),
     )
 

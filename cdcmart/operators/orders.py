@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cdcmart.functions.money import AMOUNT, MONEY, percent_of
-from cdcmart.operators.skew import lookup_join
+from cdcmart.operators.skew import lookup_join, spread_lookup_join
 
 # VAT rate in per cent.
 VAT_PERCENT = 10
@@ -41,8 +41,13 @@ def price_orders(
         F.sum("subtotal_amount").cast(MONEY).alias("order_amount"), F.count("*").alias("line_count")
     )
     priced = headers.join(sums, order_id, "left")
-    priced = lookup_join(
-        priced, discounts, {"discount_id": "id"}, {"_type": "type", "_value": "value"}, [order_id]
+    priced = spread_lookup_join(
+        priced,
+        discounts,
+        {"discount_id": "id"},
+        {"_type": "type", "_value": "value"},
+        [order_id],
+        keys_from=headers,
     )
     order_amount = F.coalesce(F.col("order_amount"), F.lit(0).cast(MONEY))
     unknown = F.raise_error(F.concat(F.lit("unsupported discount type: "), F.col("_type"))).cast(MONEY)
@@ -80,7 +85,7 @@ def order_bundle(
     ``sources.log.publish`` so that readers see all of them or none.
     """
     orders = lookup_join(
-        priced_orders, payment_methods, {"payment_method_id": "id"}, {"_method": "payment_method_name"}, ["order_id"]
+        priced_orders, payment_methods, {"payment_method_id": "id"}, {"_method": "payment_method_name"}
     )
     paid = F.coalesce(F.trim("_method") != CASH_ON_DELIVERY, F.lit(True))
     no_line = F.raise_error(_comment("order ", F.col("order_id"), " has no line")).cast("bigint")
@@ -130,9 +135,9 @@ def advance_orders(
     open_status = order_status.select("id", F.trim("order_status_name").alias("name")).where(
         F.col("name").isin(*NEXT_STEP)
     )
-    picked = lookup_join(orders, open_status, {"order_status_id": "id"}, {"_status": "name"}, ["id"], "inner")
+    picked = lookup_join(orders, open_status, {"order_status_id": "id"}, {"_status": "name"}, "inner")
     picked = lookup_join(
-        picked, payment_methods, {"payment_method_id": "id"}, {"_method": "payment_method_name"}, ["id"], "inner"
+        picked, payment_methods, {"payment_method_id": "id"}, {"_method": "payment_method_name"}, "inner"
     )
     picked = picked.orderBy("id").limit(limit)
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cdcmart.operators.skew import lookup_join
+from cdcmart.operators.skew import spread_lookup_join
 
 
 def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: str | Sequence[str], order: str) -> DataFrame:
@@ -43,7 +43,7 @@ def resolve_parent(
     never multiplied.
     """
     named = parents.groupBy(F.col(parent_name).alias("_name")).agg(F.max("id").alias("_id"))
-    return lookup_join(children, named, {child_name: "_name"}, {target: "_id"}, [row_id], "inner")
+    return spread_lookup_join(children, named, {child_name: "_name"}, {target: "_id"}, [row_id], "inner")
 
 
 def foreign_key_report(

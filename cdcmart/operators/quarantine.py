@@ -5,26 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cdcmart.functions import wire
+from cdcmart.functions.wire import json_valid, open_object
 from cdcmart.sources.specs import OPERATIONS
 
 
-def reason(value: Column) -> Column:
-    """First defect of a parsed payload, or NULL if the envelope is complete."""
-    operation_known = F.coalesce(wire.field_text(value, "__op").isin(*OPERATIONS), F.lit(False))
+def reason(payload: Column, fields: Column) -> Column:
+    """First defect of an event, or NULL if its envelope is complete.
+
+    ``fields`` are the payload's fields, NULL if it is not a JSON object. Whether such a
+    payload is some other JSON value is looked at only then.
+    """
+    operation_known = F.coalesce(fields["__op"].isin(*OPERATIONS), F.lit(False))
     return (
-        F.when(value.isNull(), "invalid_json")
-        .when(~wire.has_field(value, "__op"), "missing_op")
+        F.when(fields.isNull(), F.when(json_valid(payload), "missing_op").otherwise("invalid_json"))
+        .when(~F.map_contains_key(fields, "__op"), "missing_op")
         .when(~operation_known, "invalid_op")
-        .when(~wire.has_field(value, "__table"), "missing_table")
-        .when(~wire.has_field(value, "__source_ts_ms"), "missing_source_ts")
+        .when(~F.map_contains_key(fields, "__table"), "missing_table")
+        .when(~F.map_contains_key(fields, "__source_ts_ms"), "missing_source_ts")
     )
 
 
 def quarantine(raw: DataFrame, detected_at: Column | None = None) -> DataFrame:
     """Events of the raw log whose JSON or envelope is defective, with the reason."""
     stamp = F.current_timestamp() if detected_at is None else detected_at
-    judged = wire.open_payload(raw).withColumn("reason", reason(F.col("v")))
+    judged = open_object(raw).withColumn("reason", reason(F.col("payload"), F.col("_json")))
     return judged.where(F.col("reason").isNotNull()).select(
         "topic", "kafka_partition", "kafka_offset", "payload", "reason", stamp.alias("detected_at")
     )

@@ -9,6 +9,7 @@ decides only which way a row travels.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,56 +60,71 @@ def hot_keys(df: DataFrame, keys: Sequence[str], row_id: Sequence[str]) -> DataF
     )
 
 
+def _sides(rows: DataFrame, table: DataFrame, keys: dict[str, str], columns: dict[str, str]):
+    names = [f"_k{i}" for i in range(len(keys))]
+    side = table.select(
+        *[F.col(theirs).alias(name) for theirs, name in zip(keys.values(), names)],
+        *[F.col(source).alias(f"_v_{name}") for name, source in columns.items()],
+    )
+    return names, side, [F.col(ours) == F.col(name) for ours, name in zip(keys, names)]
+
+
 def lookup_join(
+    rows: DataFrame, table: DataFrame, keys: dict[str, str], columns: dict[str, str], how: str = "left"
+) -> DataFrame:
+    """Add columns of ``table`` to ``rows``; ``table`` holds each key at most once.
+
+    ``keys`` maps columns of ``rows`` to columns of ``table``, ``columns`` maps new
+    names to columns of ``table``.
+
+    Spark broadcasts a table below its threshold. A larger one is sort-merge joined, and
+    because no caller relies on how the result is partitioned, adaptive execution is
+    free to split the rows of an overfull partition among tasks.
+    """
+    _, side, on = _sides(rows, table, keys, columns)
+    return rows.join(side, on, how).select(*rows.columns, *[F.col(f"_v_{name}").alias(name) for name in columns])
+
+
+def spread_lookup_join(
     rows: DataFrame,
     table: DataFrame,
     keys: dict[str, str],
     columns: dict[str, str],
     row_id: Sequence[str],
     how: str = "left",
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Add columns of ``table`` to ``rows``; ``table`` holds each key at most once.
+    """``lookup_join`` for rows read straight from a large table.
 
-    ``keys`` maps columns of ``rows`` to columns of ``table``, ``columns`` maps new
-    names to columns of ``table``. ``row_id`` identifies a row (used to spread rows).
+    Hot keys are answered from a broadcast of at most ``HOT_KEYS`` table rows. Their
+    rows, like rows with a NULL key, then carry a random-looking extra join column,
+    which spreads them evenly and lets them match nothing further. ``row_id`` identifies
+    a row.
 
-    A table below the broadcast threshold, or rows too few to hurt, take Spark's plain
-    join. Otherwise hot keys are answered from a broadcast of at most ``HOT_KEYS``
-    table rows; those rows and rows with a NULL key then carry a random-looking extra
-    join column, which spreads them evenly and lets them match nothing further.
+    Hot keys are looked for in ``keys_from`` (default ``rows``), which is read a second
+    time, key and id columns only: pass the base table when ``rows`` is the result of
+    work that should not be repeated. Few rows, or a table Spark broadcasts, need none
+    of this.
     """
-    key_names = [f"_k{i}" for i in range(len(keys))]
-    side = table.select(
-        *[F.col(theirs).alias(name) for theirs, name in zip(keys.values(), key_names)],
-        *[F.col(source).alias(f"_v_{name}") for name, source in columns.items()],
-    )
+    key_names, side, on = _sides(rows, table, keys, columns)
     if is_small(rows) or fits_broadcast(side):
-        on = [F.col(ours) == F.col(name) for ours, name in zip(keys, key_names)]
-        joined = rows.join(side, on, how)
-        return joined.select(*rows.columns, *[F.col(f"_v_{name}").alias(name) for name in columns])
-
-    hot = hot_keys(rows, list(keys), row_id).toDF(*key_names)
-    hot_side = side.join(F.broadcast(hot), key_names, "left_semi")
-    hot_side = hot_side.select(
+        return lookup_join(rows, table, keys, columns, how)
+    hot = hot_keys(rows if keys_from is None else keys_from, list(keys), row_id).toDF(*key_names)
+    hot_side = side.join(F.broadcast(hot), key_names, "left_semi").select(
         *[F.col(name).alias(f"_h{name}") for name in key_names],
         *[F.col(f"_v_{name}").alias(f"_hv_{name}") for name in columns],
         F.lit(True).alias("_hit"),
     )
-    answered = rows.join(
-        F.broadcast(hot_side), [F.col(ours) == F.col(f"_h{name}") for ours, name in zip(keys, key_names)], "left"
+    hot_on = [F.col(ours) == F.col(f"_h{name}") for ours, name in zip(keys, key_names)]
+    keyless = reduce(lambda a, b: a | b, [F.col(ours).isNull() for ours in keys])
+    spread = F.when(F.col("_hit").isNotNull() | keyless, F.pmod(F.xxhash64(*row_id), F.lit(1 << 30)) + 1)
+    answered = rows.join(F.broadcast(hot_side), hot_on, "left").withColumn(
+        "_spread", F.coalesce(spread, F.lit(0)).cast("bigint")
     )
-    keyless = F.lit(False)
-    for ours in keys:
-        keyless = keyless | F.col(ours).isNull()
-    spread = F.when(
-        F.col("_hit").isNotNull() | keyless, F.pmod(F.xxhash64(*row_id), F.lit(1 << 30)) + 1
-    ).otherwise(F.lit(0))
-    answered = answered.withColumn("_spread", spread.cast("bigint"))
     # Always 0, but computed from the key so that it stays a join column.
-    cold_side = side.withColumn("_zero", F.pmod(F.xxhash64(*key_names), F.lit(1)).cast("bigint")).withColumn(
-        "_found", F.lit(True)
+    cold_side = side.withColumns(
+        {"_zero": F.pmod(F.xxhash64(*key_names), F.lit(1)).cast("bigint"), "_found": F.lit(True)}
     )
-    on = [F.col(ours) == F.col(name) for ours, name in zip(keys, key_names)]
     joined = answered.join(cold_side, [*on, F.col("_spread") == F.col("_zero")], "left")
     if how == "inner":
         joined = joined.where(F.col("_hit").isNotNull() | F.col("_found").isNotNull())

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cdcmart.functions.money import AMOUNT, MONEY, TOTAL, exact_ratio_round
 from cdcmart.functions.time import business_date, in_business_days
-from cdcmart.operators.skew import hot_keys, is_small, lookup_join, rank_descending
+from cdcmart.operators.skew import hot_keys, is_small, lookup_join, rank_descending, spread_lookup_join
 
 # The calendar runs from 2000-01-01 to 2099-12-31.
 CALENDAR_START = "2000-01-01"
@@ -85,29 +85,33 @@ ORDER_COLUMNS = ("order_id", "created_at", "date_key", "city_id", "campaign_key"
 LINE_COLUMNS = ("order_item_id", "product_id", "quantity", "gmv", "subtotal_amount", "unit_cost_at_order")
 
 
-def delivered_orders(orders: DataFrame, order_status: DataFrame) -> DataFrame:
-    """Orders whose status is named 'delivered' in any case; unknown status is excluded."""
+def only_delivered(orders: DataFrame, order_status: DataFrame) -> DataFrame:
+    """Orders whose status is named 'delivered' in any case; unknown status is excluded.
+
+    Works on change-table orders as well as on cleaned ones, so that undelivered orders
+    can be dropped before anything is looked up for them.
+    """
     sold = order_status.where(F.lower("name") == SOLD)
-    return (
-        lookup_join(orders, sold, {"order_status_id": "id"}, {"_status": "id"}, ["order_id"], "inner")
-        .withColumn("date_key", business_date(F.col("created_at")))
-        .select(*ORDER_COLUMNS)
-    )
+    return lookup_join(orders, sold, {"order_status_id": "id"}, {}, "inner")
+
+
+def sale_heads(orders: DataFrame) -> DataFrame:
+    """The attributes of delivered orders that their lines inherit."""
+    return orders.withColumn("date_key", business_date(F.col("created_at"))).select(*ORDER_COLUMNS)
 
 
-def sales_line_base(orders: DataFrame, order_status: DataFrame, order_items: DataFrame) -> DataFrame:
+def sales_line_base(heads: DataFrame, order_items: DataFrame) -> DataFrame:
     """Lines of delivered orders with the order's attributes."""
-    heads = delivered_orders(orders, order_status)
     attributes = {name: name for name in ORDER_COLUMNS if name != "order_id"}
     lines = order_items.select("order_id", *LINE_COLUMNS)
-    joined = lookup_join(lines, heads, {"order_id": "order_id"}, attributes, ["order_item_id", "order_id"], "inner")
+    joined = spread_lookup_join(lines, heads, {"order_id": "order_id"}, attributes, ["order_item_id", "order_id"], "inner")
     return joined.select(*ORDER_COLUMNS, *LINE_COLUMNS)
 
 
 def _share() -> Column:
     """A line's part of the order discount by its part of the order amount."""
     ratio = exact_ratio_round(F.col("discount_amount"), F.col("subtotal_amount"), F.col("order_amount"))
-    return F.when(F.col("order_amount") > 0, ratio).otherwise(F.lit(0).cast(MONEY))
+    return F.coalesce(ratio, F.lit(0).cast(MONEY))
 
 
 def _by_window(heads: DataFrame, lines: DataFrame) -> DataFrame:
@@ -145,8 +149,7 @@ def _by_totals(heads: DataFrame, lines: DataFrame, hot: DataFrame, ranked: bool)
     return shares.join(F.broadcast(totals), "order_id")
 
 
-def _shares(orders: DataFrame, order_status: DataFrame, order_items: DataFrame, ranked: bool) -> DataFrame:
-    heads = delivered_orders(orders, order_status)
+def _shares(heads: DataFrame, order_items: DataFrame, ranked: bool) -> DataFrame:
     lines = order_items.select("order_id", *LINE_COLUMNS)
     if is_small(lines):
         return _by_window(heads, lines)
@@ -156,16 +159,14 @@ def _shares(orders: DataFrame, order_status: DataFrame, order_items: DataFrame,
     return ordinary.unionByName(crowded)
 
 
-def sales_line_preliminary(orders: DataFrame, order_status: DataFrame, order_items: DataFrame) -> DataFrame:
+def sales_line_preliminary(heads: DataFrame, order_items: DataFrame) -> DataFrame:
     """Discount share per line, its rank from the last line, and the order's sum of shares."""
-    return _shares(orders, order_status, order_items, ranked=True).select(
+    return _shares(heads, order_items, ranked=True).select(
         *ORDER_COLUMNS, *LINE_COLUMNS, "preliminary_discount", "reverse_line_number", "preliminary_total"
     )
 
 
-def sales_line_allocated(
-    orders: DataFrame, order_status: DataFrame, order_items: DataFrame, *, ranked: bool = True
-) -> DataFrame:
+def sales_line_allocated(heads: DataFrame, order_items: DataFrame, *, ranked: bool = True) -> DataFrame:
     """The last line (largest id) takes what rounding left over, cents may go negative.
 
     ``ranked=False`` leaves the line rank out (NULL for very large orders); the facts do
@@ -175,7 +176,7 @@ def sales_line_allocated(
     gross = F.when(F.col("order_item_id") == F.col("last_item_id"), remainder).otherwise(
         F.col("preliminary_discount")
     )
-    return _shares(orders, order_status, order_items, ranked).select(
+    return _shares(heads, order_items, ranked).select(
         *ORDER_COLUMNS,
         *LINE_COLUMNS,
         "preliminary_discount",
@@ -185,14 +186,12 @@ def sales_line_allocated(
     )
 
 
-def sales_line_measured(
-    orders: DataFrame, order_status: DataFrame, order_items: DataFrame, *, ranked: bool = True
-) -> DataFrame:
+def sales_line_measured(heads: DataFrame, order_items: DataFrame, *, ranked: bool = True) -> DataFrame:
     """The discount without tax: gross discount times the line's untaxed share."""
     ratio = exact_ratio_round(F.col("discount_gross"), F.col("gmv"), F.col("subtotal_amount").cast(AMOUNT))
-    return sales_line_allocated(orders, order_status, order_items, ranked=ranked).withColumn(
+    return sales_line_allocated(heads, order_items, ranked=ranked).withColumn(
         "discount_ex_vat",
-        F.when(F.col("subtotal_amount") > 0, ratio).otherwise(F.lit(0).cast(MONEY)),
+        F.coalesce(ratio, F.lit(0).cast(MONEY)),
     )
 
 

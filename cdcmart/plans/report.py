@@ -24,25 +24,19 @@ def marketing_dashboard(
     sales: DataFrame, dates: DataFrame, locations: DataFrame, products: DataFrame, campaigns: DataFrame
 ) -> DataFrame:
     """Campaign and product performance. The order count is per row and product."""
-    key = ["date_key", "city_id", "product_id", "campaign_key"]
     named = _dated(sales, dates, "month", "quarter", "year")
     named = lookup_join(
-        named, locations, {"city_id": "province_id"}, {"province": "province_name", "region": "region_name"}, key
+        named, locations, {"city_id": "province_id"}, {"province": "province_name", "region": "region_name"}
     )
     named = lookup_join(
         named,
         products,
         {"product_id": "product_id"},
         {"parent_category": "category_name", "subcategory": "subcategory_name", "product_name": "product_name"},
-        key,
-    )
-    named = lookup_join(named, campaigns, {"campaign_key": "campaign_id"}, {"campaign_title": "campaign_title"}, key)
-    per_order = F.when(
-        F.col("order_count") != 0, exact_ratio_truncate(F.col("net_revenue"), F.col("order_count"), 8)
-    )
-    per_item = F.when(F.col("quantity") > 0, exact_ratio_truncate(F.col("gmv"), F.col("quantity"), 4)).otherwise(
-        F.lit(0).cast("decimal(20,4)")
     )
+    named = lookup_join(named, campaigns, {"campaign_key": "campaign_id"}, {"campaign_title": "campaign_title"})
+    per_order = exact_ratio_truncate(F.col("net_revenue"), F.col("order_count"), 8)
+    per_item = exact_ratio_truncate(F.col("gmv"), F.col("quantity"), 4)
     return named.select(
         F.col("date_key").alias("date"),
         "month",
@@ -62,7 +56,7 @@ def marketing_dashboard(
         F.col("quantity").alias("quantity_sold"),
         F.col("order_count").alias("product_order_count"),
         per_order.alias("product_aov_ex_vat"),
-        per_item.alias("avg_product_price"),
+        F.coalesce(per_item, F.lit(0).cast("decimal(20,4)")).alias("avg_product_price"),
     )
 
 
@@ -75,9 +69,9 @@ def overview_sales(sales: DataFrame, dates: DataFrame, locations: DataFrame, pro
         F.sum("order_count").alias("product_order_count"),
     )
     named = _dated(totals, dates, "month", "year")
-    named = lookup_join(named, locations, {"city_id": "province_id"}, {"province": "province_name"}, key)
+    named = lookup_join(named, locations, {"city_id": "province_id"}, {"province": "province_name"})
     named = lookup_join(
-        named, products, {"product_id": "product_id"}, {"product": "product_name", "category": "category_name"}, key
+        named, products, {"product_id": "product_id"}, {"product": "product_name", "category": "category_name"}
     )
     return named.select(
         F.col("date_key").alias("date"),
@@ -98,10 +92,9 @@ def overview_sales(sales: DataFrame, dates: DataFrame, locations: DataFrame, pro
 def overview_orders(
     overview: DataFrame, dates: DataFrame, locations: DataFrame, order_status: DataFrame
 ) -> DataFrame:
-    key = ["date_key", "city_id", "order_status_id", "payment_method", "shipping_method"]
     named = _dated(overview, dates, "month")
-    named = lookup_join(named, locations, {"city_id": "province_id"}, {"province": "province_name"}, key)
-    named = lookup_join(named, order_status, {"order_status_id": "id"}, {"order_status": "name"}, key)
+    named = lookup_join(named, locations, {"city_id": "province_id"}, {"province": "province_name"})
+    named = lookup_join(named, order_status, {"order_status_id": "id"}, {"order_status": "name"})
     return named.select(
         F.col("date_key").alias("date"),
         "month",
@@ -133,7 +126,7 @@ def delivered_order_aov(measured: DataFrame) -> DataFrame:
         F.sum(F.col("gmv") - F.col("discount_ex_vat")).cast(TOTAL).alias("net_sales_ex_vat"),
     )
     average = exact_ratio_truncate(F.col("net_sales_ex_vat"), F.col("delivered_order_count"), 8)
-    return totals.withColumn("aov_ex_vat", F.when(F.col("delivered_order_count") != 0, average))
+    return totals.withColumn("aov_ex_vat", average)
 
 
 def fact_validation(sales: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cdcmart.functions.money import MONEY
 from cdcmart.functions.text import trimmed_or
 from cdcmart.functions.time import business_date
-from cdcmart.operators.skew import lookup_join
+from cdcmart.operators.skew import lookup_join, spread_lookup_join
 
 
 def _or_zero(name: str):
@@ -31,7 +31,7 @@ def users(users: DataFrame) -> DataFrame:
 
 def locations(provinces: DataFrame, regions: DataFrame) -> DataFrame:
     placed = lookup_join(
-        provinces, regions, {"region_id": "id"}, {"_region": "id", "_region_name": "region_name"}, ["id"]
+        provinces, regions, {"region_id": "id"}, {"_region": "id", "_region_name": "region_name"}
     )
     return placed.select(
         F.col("id").alias("province_id"),
@@ -57,6 +57,22 @@ def order_status(order_status: DataFrame) -> DataFrame:
     )
 
 
+def placed_orders(orders: DataFrame, addresses: DataFrame, discounts: DataFrame) -> DataFrame:
+    """Orders with delivery city and campaign: all that the sales facts need."""
+    joined = spread_lookup_join(orders, addresses, {"address_id": "id"}, {"_province": "province_id"}, ["id"])
+    joined = spread_lookup_join(
+        joined, discounts, {"discount_id": "id"}, {"_campaign": "adscampaign_id"}, ["id"], keys_from=orders
+    )
+    return joined.withColumns(
+        {
+            "order_id": F.col("id"),
+            "city_id": _or_zero("_province"),
+            "campaign_key": _or_zero("_campaign"),
+            "order_status_id": _or_zero("order_status_id"),
+        }
+    )
+
+
 def orders(
     orders: DataFrame,
     addresses: DataFrame,
@@ -64,21 +80,19 @@ def orders(
     payment_methods: DataFrame,
     shipping_methods: DataFrame,
 ) -> DataFrame:
-    key = ["id"]
-    joined = lookup_join(orders, addresses, {"address_id": "id"}, {"_province": "province_id"}, key)
-    joined = lookup_join(joined, discounts, {"discount_id": "id"}, {"_campaign": "adscampaign_id"}, key)
+    joined = placed_orders(orders, addresses, discounts)
     joined = lookup_join(
-        joined, payment_methods, {"payment_method_id": "id"}, {"_payment": "payment_method_name"}, key
+        joined, payment_methods, {"payment_method_id": "id"}, {"_payment": "payment_method_name"}
     )
     joined = lookup_join(
-        joined, shipping_methods, {"shipping_method_id": "id"}, {"_shipping": "shipping_method_name"}, key
+        joined, shipping_methods, {"shipping_method_id": "id"}, {"_shipping": "shipping_method_name"}
     )
     return joined.select(
-        F.col("id").alias("order_id"),
+        "order_id",
         "user_id",
-        _or_zero("_province").alias("city_id"),
-        _or_zero("_campaign").alias("campaign_key"),
-        _or_zero("order_status_id").alias("order_status_id"),
+        "city_id",
+        "campaign_key",
+        "order_status_id",
         trimmed_or(F.col("_payment"), "Unknown").alias("payment_method"),
         trimmed_or(F.col("_shipping"), "Unknown").alias("shipping_method"),
         "total_amount",
@@ -93,15 +107,14 @@ def products(products: DataFrame, brands: DataFrame, categories: DataFrame) -> D
     """A product's category is the sub-category; the parent is one step up."""
     roots = categories.select("id", "category_name")
     tree = lookup_join(
-        categories, roots, {"category_id": "id"}, {"_parent": "id", "_parent_name": "category_name"}, ["id"]
+        categories, roots, {"category_id": "id"}, {"_parent": "id", "_parent_name": "category_name"}
     )
-    joined = lookup_join(products, brands, {"brand_id": "id"}, {"_brand": "brand_name"}, ["id"])
+    joined = lookup_join(products, brands, {"brand_id": "id"}, {"_brand": "brand_name"})
     joined = lookup_join(
         joined,
         tree,
         {"category_id": "id"},
         {"_sub": "id", "_sub_name": "category_name", "_parent": "_parent", "_parent_name": "_parent_name"},
-        ["id"],
     )
     return joined.select(
         F.col("id").alias("product_id"),

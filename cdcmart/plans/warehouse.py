@@ -64,10 +64,12 @@ class Warehouse:
     def order_status(self) -> DataFrame:
         return silver.order_status(self.current("order_status"))
 
+    def _live_orders(self) -> DataFrame:
+        return gold.between_days(self.current("orders"), *self.days)
+
     def orders(self) -> DataFrame:
-        live = gold.between_days(self.current("orders"), *self.days)
         return silver.orders(
-            live,
+            self._live_orders(),
             self.current("addresses"),
             self.current("discounts"),
             self.current("payment_methods"),
@@ -105,19 +107,24 @@ class Warehouse:
     def fact_order_overview(self) -> DataFrame:
         return gold.fact_order_overview(self.orders())
 
+    def sale_heads(self) -> DataFrame:
+        """Delivered orders only, filtered before their places are looked up."""
+        sold = gold.only_delivered(self._live_orders(), self.order_status())
+        return gold.sale_heads(silver.placed_orders(sold, self.current("addresses"), self.current("discounts")))
+
     def sales_line_base(self) -> DataFrame:
-        return gold.sales_line_base(self.orders(), self.order_status(), self.order_items())
+        return gold.sales_line_base(self.sale_heads(), self.order_items())
 
     def sales_line_preliminary(self) -> DataFrame:
-        return gold.sales_line_preliminary(self.orders(), self.order_status(), self.order_items())
+        return gold.sales_line_preliminary(self.sale_heads(), self.order_items())
 
     def sales_line_allocated(self, *, ranked: bool = True) -> DataFrame:
-        return gold.sales_line_allocated(self.orders(), self.order_status(), self.order_items(), ranked=ranked)
+        return gold.sales_line_allocated(self.sale_heads(), self.order_items(), ranked=ranked)
 
     def sales_line_measured(self, *, ranked: bool = True) -> DataFrame:
         if self._measured is not None and not ranked:
             return self._measured
-        return gold.sales_line_measured(self.orders(), self.order_status(), self.order_items(), ranked=ranked)
+        return gold.sales_line_measured(self.sale_heads(), self.order_items(), ranked=ranked)
 
     def fact_sales_product(self) -> DataFrame:
         return gold.fact_sales_product(self.sales_line_measured(ranked=False))

@@ -98,5 +98,5 @@ def snapshot_costs(lines: DataFrame, product_changes: DataFrame) -> DataFrame:
     """
     products = current_state(product_changes)
     return lookup_join(
-        lines.drop("unit_cost_at_order"), products, {"product_id": "id"}, {"unit_cost_at_order": "unit_cost"}, ["id"]
+        lines.drop("unit_cost_at_order"), products, {"product_id": "id"}, {"unit_cost_at_order": "unit_cost"}
     )

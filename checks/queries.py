@@ -128,9 +128,9 @@ def snapshot_union(sample: Sample) -> DataFrame:
 
 @partial(query, name="unwrap_envelope")
 def unwrap_envelopes(sample: Sample) -> DataFrame:
-    flat = wire.open_payload(unwrap_envelope(_user_envelopes(sample)))
     names = ("id", "username", "password", "__op", "__table", "__source_ts_ms", "__deleted")
-    return flat.select("offset", *[wire.field_text(F.col("v"), name).alias(name.strip("_")) for name in names])
+    flat = wire.open_fields(unwrap_envelope(_user_envelopes(sample)), names)
+    return flat.select("offset", *[F.col("_json")[name].alias(name.strip("_")) for name in names])
 
 
 @query
@@ -161,12 +161,12 @@ def typed_lines(sample: Sample) -> DataFrame:
 
 
 def _opened(sample: Sample) -> DataFrame:
-    return wire.open_payload(sample.event_log())
+    return wire.open_fields(sample.event_log(), ["product_price", "created_at"])
 
 
 @query
 def coerce_numeric(sample: Sample) -> DataFrame:
-    text = wire.field_text(F.col("v"), "product_price")
+    text = F.col("_json.product_price")
     return _opened(sample).select(
         "offset",
         wire.decimal_or_zero(text).alias("money_or_zero"),
@@ -177,7 +177,7 @@ def coerce_numeric(sample: Sample) -> DataFrame:
 
 @query
 def coerce_millis(sample: Sample) -> DataFrame:
-    millis = wire.field_text(F.col("v"), "created_at").try_cast("bigint")
+    millis = F.col("_json.created_at").try_cast("bigint")
     return _opened(sample).select(
         "offset",
         millis_to_second(F.coalesce(millis, F.lit(0).cast("bigint"))).alias("time_or_epoch"),
