@@ -43,14 +43,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only a local session without one gets a folder of its own; on a cluster a
     machine-local folder would be lost with the machine, so that is refused.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", "")
-    if configured:
-        path = configured
-    elif spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", "") or context.getCheckpointDir()
+    if not path:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         path = tempfile.mkdtemp(prefix="cdcmart-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    else:
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(path)
     return path

@@ -56,33 +56,43 @@ def write_raw_batch(batch: DataFrame, batch_id: int, raw_path: str, quarantine_p
     write_log(quarantine(raw, now), quarantine_path, "detected_at", batch_id)
 
 
-def _start(stream: DataFrame, name: str, run: Callable[[DataFrame, int], None], once: bool) -> StreamingQuery:
-    """Progress is kept below the shared checkpoint folder: a restarted stream goes on
-    behind the last finished batch."""
-    folder = f"{checkpoint_dir(stream.sparkSession)}/streams/{name}"
+def _start(
+    stream: DataFrame, name: str, run: Callable[[DataFrame, int], None], once: bool, checkpoint: str | None
+) -> StreamingQuery:
+    """Progress is kept below the shared checkpoint folder (or ``checkpoint``): a restarted
+    stream goes on behind the last finished batch."""
+    folder = f"{checkpoint or checkpoint_dir(stream.sparkSession)}/streams/{name}"
     writer: DataStreamWriter = stream.writeStream.queryName(name).foreachBatch(run)
     writer = writer.option("checkpointLocation", folder)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
 def ingest_table(
-    log: DataFrame, spec: TableSpec, path: str, *, broken_limit: int = BROKEN_LIMIT, once: bool = False
+    log: DataFrame,
+    spec: TableSpec,
+    path: str,
+    *,
+    broken_limit: int = BROKEN_LIMIT,
+    once: bool = False,
+    checkpoint: str | None = None,
 ) -> StreamingQuery:
     """Stream one table's changes into its typed change table."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         write_typed_batch(batch, batch_id, spec, path, broken_limit)
 
-    return _start(table_changes(log, spec), f"typed-{spec.name}", run, once)
+    return _start(table_changes(log, spec), f"typed-{spec.name}", run, once, checkpoint)
 
 
-def ingest_raw(log: DataFrame, raw_path: str, quarantine_path: str, *, once: bool = False) -> StreamingQuery:
+def ingest_raw(
+    log: DataFrame, raw_path: str, quarantine_path: str, *, once: bool = False, checkpoint: str | None = None
+) -> StreamingQuery:
     """Stream all payloads into the raw log and the quarantine, apart from the typed tables."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         write_raw_batch(batch, batch_id, raw_path, quarantine_path)
 
-    return _start(log, "raw", run, once)
+    return _start(log, "raw", run, once, checkpoint)
 
 
 def read_typed(spark: SparkSession, path: str) -> DataFrame:

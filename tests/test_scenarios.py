@@ -10,7 +10,7 @@ from shop import Shop, millis
 
 from cdcmart.operators.state import current_state
 
-REPORTS = ("fact_sales_product", "fact_order_overview", "report_marketing_dashboard", "report_delivered_order_aov")
+REPORTS = ("fact_order_overview", "report_marketing_dashboard")
 
 
 def gross_and_net(warehouse):
