@@ -218,24 +218,31 @@ class Sample:
         The line id packs line number, part and price into one number: unique within an
         order (the sample's line numbers alone are not) and in that order.
         """
-        price = F.col("l_extendedprice").cast(AMOUNT)
-        cents = (F.col("product_price") * 100).cast("bigint")
         number = (F.col("l_linenumber").cast("bigint") * (1 << 36) + F.col("l_partkey")) * (1 << 24)
+        price = F.col("product_price")
         return (
             self.read("lineitem")
-            .withColumn("product_price", price)
-            .withColumn("quantity", F.col("l_quantity").cast("int"))
-            .withColumn("product_tax", F.round(price * F.col("l_tax").cast("decimal(4,2)"), 2).cast(AMOUNT))
             .select(
-                (number + cents).alias("id"),
+                "l_orderkey",
+                "l_partkey",
+                "l_linenumber",
+                "l_shipdate",
+                F.col("l_quantity").cast("int").alias("quantity"),
+                F.col("l_extendedprice").cast(AMOUNT).alias("product_price"),
+                F.col("l_tax").cast("decimal(4,2)").alias("tax_rate"),
+                F.col("l_discount").cast("decimal(4,2)").alias("discount_rate"),
+            )
+            .withColumn("product_tax", F.round(price * F.col("tax_rate"), 2).cast(AMOUNT))
+            .select(
+                (number + (price * 100).cast("bigint")).alias("id"),
                 F.col("l_orderkey").alias("order_id"),
                 F.col("l_partkey").alias("product_id"),
                 "quantity",
                 "product_price",
                 "product_tax",
-                ((F.col("product_price") + F.col("product_tax")) * F.col("quantity")).cast(AMOUNT).alias("subtotal_amount"),
+                ((price + F.col("product_tax")) * F.col("quantity")).cast(AMOUNT).alias("subtotal_amount"),
                 F.when(F.col("l_linenumber") != 7, percent_of(price, F.lit(60)).cast(AMOUNT)).alias("unit_cost_at_order"),
-                F.col("l_discount").cast("decimal(4,2)").alias("discount_rate"),
+                "discount_rate",
                 F.col("l_shipdate").cast("timestamp").alias("created_at"),
             )
         )
@@ -307,47 +314,59 @@ class Sample:
     def event_log(self) -> DataFrame:
         """Events as raw log records of the line table, one defect class per residue of
         the event id: broken text, missing or wrong envelope fields, unusable values."""
-        return self.read("events").select(
-            F.concat(F.lit(f"{TOPIC_PREFIX}."), F.col("event_type")).alias("topic"),
-            F.lit(0).alias("partition"),
-            F.col("event_id").alias("offset"),
-            self._payload().alias("payload"),
-            F.col("ts").cast("timestamp").alias("ts"),
-        )
-
-    @staticmethod
-    def _payload() -> Column:
         def text(*parts: str | Column) -> Column:
             return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
-        residue = F.pmod(F.col("event_id"), F.lit(14))
+        event = F.col("event_id")
         cents = F.round(F.col("value") * 100).cast("bigint")
-        price = text(F.floor(cents / 100).cast("bigint"), ".", F.lpad(F.pmod(cents, F.lit(100)).cast("string"), 2, "0"))
-        millis = F.unix_millis(F.col("ts").cast("timestamp"))
-        body = text(
-            '"id":', F.col("event_id"), ',"order_id":', F.col("user_id"), ',"product_id":7,"quantity":',
-            F.pmod(F.col("event_id"), F.lit(5)) + 1, ',"created_at":', millis,
+        rest = F.pmod(F.col("cents"), F.lit(100))
+        whole = ((F.col("cents") - rest) / 100).cast("bigint")
+        pieces = (
+            self.read("events")
+            .select("*", F.unix_millis(F.col("ts").cast("timestamp")).alias("millis"), cents.alias("cents"))
+            .select("*", text(whole, ".", F.lpad(rest.cast("string"), 2, "0")).alias("price"))
+            .select(
+                "event_id",
+                "event_type",
+                "ts",
+                F.pmod(event, F.lit(14)).alias("residue"),
+                text(
+                    '"id":', event, ',"order_id":', F.col("user_id"), ',"product_id":7,"quantity":',
+                    F.pmod(event, F.lit(5)) + 1, ',"created_at":', F.col("millis"),
+                ).alias("body"),
+                text(
+                    ',"product_price":"', F.col("price"), '","unit_cost_at_order":"', F.col("price"), '"'
+                ).alias("money"),
+                text(
+                    ',"__op":"', F.when(F.col("event_type") == "error", "d").otherwise("c"),
+                    '","__table":"orderdetails","__source_ts_ms":', F.col("millis"),
+                ).alias("envelope"),
+            )
         )
-        money = text(',"product_price":"', price, '","unit_cost_at_order":"', price, '"')
-        operation = F.when(F.col("event_type") == "error", "d").otherwise("c")
-        envelope = text(',"__op":"', operation, '","__table":"orderdetails","__source_ts_ms":', millis)
+        body, money, envelope = F.col("body"), F.col("money"), F.col("envelope")
         variants = {
-            1: text("{bad ", F.col("event_id")),
+            1: text("{bad ", event),
             2: text("{", body, "}"),
             3: text("{", body, ',"__op":"x","__table":"orderdetails","__source_ts_ms":1}'),
             4: text("{", body, ',"__op":null}'),
             5: text("{", body, ',"__op":"u"}'),
             6: text("{", body, ',"__op":"u","__table":"orderdetails"}'),
             7: text("{", body, money, envelope, "} tail"),
-            8: F.col("event_id").cast("string"),
+            8: event.cast("string"),
             9: text("{", body, ',"product_price":"abc","unit_cost_at_order":"abc"', envelope, "}"),
             10: text("{", body, ',"product_price":null,"unit_cost_at_order":null', envelope, "}"),
             11: text('{"id":"n/a",', '"quantity":1', money, envelope, "}"),
         }
-        result = text("{", body, money, envelope, "}")
-        for number, payload in variants.items():
-            result = F.when(residue == number, payload).otherwise(result)
-        return result
+        payload = text("{", body, money, envelope, "}")
+        for number, variant in variants.items():
+            payload = F.when(F.col("residue") == number, variant).otherwise(payload)
+        return pieces.select(
+            text(f"{TOPIC_PREFIX}.", F.col("event_type")).alias("topic"),
+            F.lit(0).alias("partition"),
+            event.alias("offset"),
+            payload.alias("payload"),
+            F.col("ts").cast("timestamp").alias("ts"),
+        )
 
     def order_log(self) -> DataFrame:
         """Orders as a change log: created pending, then brought to the final state; the
