@@ -114,7 +114,7 @@ def _share() -> Column:
     return F.coalesce(ratio, F.lit(0).cast(MONEY))
 
 
-def _by_window(heads: DataFrame, lines: DataFrame) -> DataFrame:
+def _by_window(heads: DataFrame, lines: DataFrame, ranked: bool) -> DataFrame:
     """Ordinary orders: the join hashes both sides by order, and the windows reuse it.
 
     The date is a function of the order. Naming it in the window's partition lets a
@@ -122,9 +122,10 @@ def _by_window(heads: DataFrame, lines: DataFrame) -> DataFrame:
     """
     order = Window.partitionBy("order_id", "date_key")
     shares = heads.join(lines, "order_id").withColumn("preliminary_discount", _share())
+    rank = F.row_number().over(order.orderBy(F.col("order_item_id").desc())).cast("bigint")
     return shares.select(
         "*",
-        F.row_number().over(order.orderBy(F.col("order_item_id").desc())).cast("bigint").alias("reverse_line_number"),
+        *[rank.alias("reverse_line_number")] * ranked,
         F.sum("preliminary_discount").over(order).cast(TOTAL).alias("preliminary_total"),
         F.max("order_item_id").over(order).alias("last_item_id"),
     )
@@ -144,17 +145,15 @@ def _by_totals(heads: DataFrame, lines: DataFrame, hot: DataFrame, ranked: bool)
     )
     if ranked:
         shares = rank_descending(shares, "order_id", "order_item_id", "reverse_line_number")
-    else:
-        shares = shares.withColumn("reverse_line_number", F.lit(None).cast("bigint"))
     return shares.join(F.broadcast(totals), "order_id")
 
 
 def _shares(heads: DataFrame, order_items: DataFrame, ranked: bool) -> DataFrame:
     lines = order_items.select("order_id", *LINE_COLUMNS)
     if is_small(lines):
-        return _by_window(heads, lines)
+        return _by_window(heads, lines, ranked)
     hot = hot_keys(lines, ["order_id"], ["order_item_id", "order_id"])
-    ordinary = _by_window(heads, lines.join(F.broadcast(hot), "order_id", "left_anti"))
+    ordinary = _by_window(heads, lines.join(F.broadcast(hot), "order_id", "left_anti"), ranked)
     crowded = _by_totals(heads, lines.join(F.broadcast(hot), "order_id", "left_semi"), hot, ranked)
     return ordinary.unionByName(crowded)
 
@@ -169,8 +168,7 @@ def sales_line_preliminary(heads: DataFrame, order_items: DataFrame) -> DataFram
 def sales_line_allocated(heads: DataFrame, order_items: DataFrame, *, ranked: bool = True) -> DataFrame:
     """The last line (largest id) takes what rounding left over, cents may go negative.
 
-    ``ranked=False`` leaves the line rank out (NULL for very large orders); the facts do
-    not need it.
+    ``ranked=False`` leaves the line rank out; the facts do not need it.
     """
     remainder = F.col("preliminary_discount") + F.col("discount_amount") - F.col("preliminary_total")
     gross = F.when(F.col("order_item_id") == F.col("last_item_id"), remainder).otherwise(
@@ -180,7 +178,7 @@ def sales_line_allocated(heads: DataFrame, order_items: DataFrame, *, ranked: bo
         *ORDER_COLUMNS,
         *LINE_COLUMNS,
         "preliminary_discount",
-        "reverse_line_number",
+        *["reverse_line_number"] * ranked,
         "preliminary_total",
         gross.cast(MONEY).alias("discount_gross"),
     )

@@ -185,7 +185,7 @@ class Warehouse:
         re-read and not the whole chain.
         """
         checkpoint_dir(self.spark)
-        self._measured = self.sales_line_measured(ranked=False).drop("reverse_line_number").checkpoint()
+        self._measured = self.sales_line_measured(ranked=False).checkpoint()
 
     def publish_reports(self, path: str, batch_id: int) -> bool:
         """Write all reports as one unit."""

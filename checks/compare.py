@@ -6,7 +6,7 @@ import math
 from collections import Counter
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from checks.oracle import ORACLE
 from checks.queries import QUERIES
@@ -37,7 +37,10 @@ def _rows(names: list[str], rows) -> tuple[list[str], Counter]:
 
 def differences(spark: SparkSession, connection: duckdb.DuckDBPyConnection, folder: str, name: str) -> str | None:
     """None if both agree on columns and rows, else what differs."""
-    frame = QUERIES[name](spark, folder)
+    return frame_differences(QUERIES[name](spark, folder), connection, name)
+
+
+def frame_differences(frame: DataFrame, connection: duckdb.DuckDBPyConnection, name: str) -> str | None:
     ours = _rows(frame.columns, frame.collect())
     result = connection.execute(ORACLE[name])
     theirs = _rows([column[0] for column in result.description], result.fetchall())

@@ -23,6 +23,8 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.python.sql.dataFrameDebugging.enabled": "false",
+            "spark.sql.maxMetadataStringLength": "10000",
+            "spark.sql.debug.maxToStringFields": "1000",
             "spark.checkpoint.dir": str(folder / "checkpoint"),
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
         },

@@ -3,7 +3,7 @@
 import pytest
 from conftest import SAMPLE_FOLDER
 
-from checks.compare import connect, differences
+from checks.compare import connect, frame_differences
 from checks.oracle import ORACLE
 from checks.queries import QUERIES
 
@@ -19,7 +19,11 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
-    assert differences(spark, connection, SAMPLE_FOLDER, name) is None
+    frame = QUERIES[name](spark, SAMPLE_FOLDER)
+    assert frame_differences(frame, connection, name) is None
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan, "row work left the JVM"
+    assert "Join Cross" not in plan
 
 
 def test_entry(spark):
