@@ -52,10 +52,12 @@ def _unreadable(text: Column, kind: str) -> Column:
     return F.lit(False)
 
 
-def typed_with_status(log: DataFrame, spec: TableSpec, version: str = "offset") -> DataFrame:
+def typed_with_status(
+    log: DataFrame, spec: TableSpec, version: str = "offset", keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Typed change rows plus ``_broken`` (not one JSON object, or a field of the wrong
-    type). Unknown fields are ignored."""
-    source = log.select(F.col(version).alias("_version"), "payload")
+    type). Unknown fields are ignored. ``keep`` passes columns of the log through."""
+    source = log.select(F.col(version).alias("_version"), "payload", *keep)
     fields = wire.open_fields(source, ["__op", *[name for name, _ in spec.fields]])
     texts = {name: F.col("_json")[name] for name, _ in spec.fields}
     broken = F.col("_json").isNull()
@@ -66,6 +68,7 @@ def typed_with_status(log: DataFrame, spec: TableSpec, version: str = "offset")
         "_version",
         F.coalesce(F.col("_json.__op") == "d", F.lit(False)).cast("int").alias("_deleted"),
         broken.alias("_broken"),
+        *keep,
     )
 
 

@@ -18,28 +18,45 @@ SAMPLE = 1024  # one row in this many is looked at, chosen by a hash of its id
 SEEN = 64  # sampled rows that make a key hot: about 65,000 rows of the whole
 HOT_KEYS = 1000  # upper bound of the broadcast; a colder key holds under a thousandth
 SMALL = 256 * 1024 * 1024  # tables up to this size cannot overload one task
+GROWTH = 4  # how much wider a lookup table may be than the tables it is read from
+UNKNOWN = 1 << 62
 
 
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate (file sizes, scaled by the columns read)."""
     plan = getattr(df, "_jdf", None)
     if plan is None:  # no local optimizer to ask: treat as large
-        return 1 << 62
+        return UNKNOWN
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def _source_bytes(df: DataFrame) -> int:
+    """Total size of the tables a plan reads."""
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
+        return UNKNOWN
+    leaves = plan.queryExecution().optimizedPlan().collectLeaves().iterator()
+    total = 0
+    while leaves.hasNext():
+        total += int(str(leaves.next().stats().sizeInBytes()))
+    return total
+
+
 def is_small(df: DataFrame, limit: int | None = None) -> bool:
     """Small enough that even all of its rows on one key are harmless."""
     return estimated_bytes(df) <= (SMALL if limit is None else limit)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Below the session's broadcast threshold, so Spark will broadcast it by itself."""
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    number = limit.lower().rstrip("b")
-    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(number[-1:], 1)
-    size = int(number.rstrip("kmg")) * scale
-    return size > 0 and estimated_bytes(df) <= size
+def fits_broadcast(table: DataFrame) -> bool:
+    """Whether a lookup table is surely below the session's broadcast threshold.
+
+    Spark estimates a join as the product of its sides. Lookup tables are made by adding
+    columns of small tables to another one, never rows, so they cannot outgrow a few
+    times the tables they are read from; that is the second, tighter check.
+    """
+    text = table.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().rstrip("b")
+    limit = int(text.rstrip("kmg")) * {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(text[-1:], 1)
+    return limit > 0 and (estimated_bytes(table) <= limit or _source_bytes(table) * GROWTH <= limit)
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], row_id: Sequence[str]) -> DataFrame:
@@ -77,11 +94,12 @@ def lookup_join(
     ``keys`` maps columns of ``rows`` to columns of ``table``, ``columns`` maps new
     names to columns of ``table``.
 
-    Spark broadcasts a table below its threshold. A larger one is sort-merge joined, and
-    because no caller relies on how the result is partitioned, adaptive execution is
-    free to split the rows of an overfull partition among tasks.
+    A table checked to be below the broadcast threshold is broadcast. A larger one is
+    sort-merge joined, and because no caller relies on how the result is partitioned,
+    adaptive execution is free to split the rows of an overfull partition among tasks.
     """
     _, side, on = _sides(rows, table, keys, columns)
+    side = F.broadcast(side) if fits_broadcast(side) else side
     return rows.join(side, on, how).select(*rows.columns, *[F.col(f"_v_{name}").alias(name) for name in columns])
 
 
@@ -103,8 +121,8 @@ def spread_lookup_join(
 
     Hot keys are looked for in ``keys_from`` (default ``rows``), which is read a second
     time, key and id columns only: pass the base table when ``rows`` is the result of
-    work that should not be repeated. Few rows, or a table Spark broadcasts, need none
-    of this.
+    work that should not be repeated. Few rows, or a table small enough to broadcast,
+    need none of this.
     """
     key_names, side, on = _sides(rows, table, keys, columns)
     if is_small(rows) or fits_broadcast(side):

@@ -18,6 +18,20 @@ from cdcmart.functions.money import AMOUNT, MONEY, percent_of
 from cdcmart.functions.text import slug
 from cdcmart.sources.specs import TOPIC_PREFIX
 
+# Declared, so that no job has to look into the files before a query starts.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 # Names given to the sample's coded statuses and methods.
 STATUS = {"F": (4, "delivered"), "O": (3, "shipping"), "P": (1, "pending")}
 PAYMENT = {1: "COD", 2: "Credit Card", 3: "Momo", 4: "ZaloPay", 5: "Bank Transfer"}
@@ -45,7 +59,7 @@ class Sample:
 
     def read(self, name: str) -> DataFrame:
         if name not in self._read:
-            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            self._read[name] = self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
         return self._read[name]
 
     def tables(self) -> dict[str, Callable[[], DataFrame]]:

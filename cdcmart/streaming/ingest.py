@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -32,17 +33,21 @@ def write_typed_batch(
 ) -> None:
     """Append the readable changes of one batch; nothing is written if the batch fails.
 
-    The checks come first, because a batch beyond the limit must leave no trace. The batch owns its folder: a rerun after a failure replaces it.
+    The checks come first, because a batch beyond the limit must leave no trace; the
+    parsed batch is kept for the write. The batch owns its folder: a rerun after a
+    failure replaces it.
     """
-    typed = typed_with_status(batch, spec)
-    broken = typed.agg(F.count_if("_broken")).first()[0]
-    partition = batch.agg(F.max("partition")).first()[0]
-    if (partition or 0) > 0:
-        raise SeveralPartitions(f"{spec.topic}: version by source time, partition and offset instead")
-    if broken > broken_limit:
-        raise TooManyBroken(f"{spec.topic}: {broken} unreadable messages, {broken_limit} tolerated")
-    rows = typed.where(~F.col("_broken")).drop("_broken")
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    typed = typed_with_status(batch, spec, keep=("partition",)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        broken, partition = typed.agg(F.count_if("_broken"), F.max("partition")).first()
+        if (partition or 0) > 0:
+            raise SeveralPartitions(f"{spec.topic}: version by source time, partition and offset instead")
+        if broken > broken_limit:
+            raise TooManyBroken(f"{spec.topic}: {broken} unreadable messages, {broken_limit} tolerated")
+        rows = typed.where(~F.col("_broken")).drop("_broken", "partition")
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    finally:
+        typed.unpersist()
 
 
 def write_raw_batch(batch: DataFrame, batch_id: int, raw_path: str, quarantine_path: str) -> None:
