@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cdcmart.functions.money import AMOUNT, MONEY, TOTAL, exact_ratio_round
 from cdcmart.functions.time import business_date, in_business_days
-from cdcmart.operators.skew import hot_keys, is_small, lookup_join, rank_descending, spread_lookup_join
+from cdcmart.operators.skew import fits_broadcast, hot_keys, is_small, lookup_join, rank_descending, spread_lookup_join
 
 # The calendar runs from 2000-01-01 to 2099-12-31.
 CALENDAR_START = "2000-01-01"
@@ -115,12 +115,16 @@ def _share() -> Column:
 
 
 def _by_window(heads: DataFrame, lines: DataFrame, ranked: bool) -> DataFrame:
-    """Ordinary orders: the join hashes both sides by order, and the windows reuse it.
+    """Ordinary orders: the join hashes and sorts both sides by order, and the windows
+    reuse it. A merge join is asked for because a broadcast of the lines would leave all
+    the moving to the windows. Few orders (a short range of days) are broadcast instead:
+    then only their lines move.
 
     The date is a function of the order. Naming it in the window's partition lets a
     filter on the date pass below the window.
     """
     order = Window.partitionBy("order_id", "date_key")
+    heads = F.broadcast(heads) if fits_broadcast(heads) else heads.hint("merge")
     shares = heads.join(lines, "order_id").withColumn("preliminary_discount", _share())
     rank = F.row_number().over(order.orderBy(F.col("order_item_id").desc())).cast("bigint")
     return shares.select(
