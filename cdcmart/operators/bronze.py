@@ -37,19 +37,21 @@ def _value(text: Column, kind: str) -> Column:
     raise ValueError(f"unknown column kind {kind}")
 
 
-def _unreadable(text: Column, kind: str) -> Column:
-    """A present value the declared wire type cannot hold. Money and floats travel as
-    text and fall back to a default, so they never make a row unreadable."""
-    present = text.isNotNull()
-    if kind in ("id", "id?"):
-        return present & wire.whole(text, "bigint").isNull()
-    if kind == "int":
-        return present & wire.whole(text, "int").isNull()
-    if kind in ("time", "time?"):
-        return present & text.try_cast("bigint").isNull()
-    if kind == "flag+":
-        return present & wire.whole(text, "int").isNull()
-    return F.lit(False)
+def unreadable(texts: Column, spec: TableSpec) -> Column:
+    """Whether a present field (``texts``: struct or map of all fields as text) cannot be
+    held by its declared wire type. Money and floats travel as text and fall back to a
+    default, so they never make a row unreadable."""
+    found = F.lit(False)
+    for name, kind in spec.fields:
+        text = texts[name]
+        if kind in ("id", "id?", "time", "time?"):
+            value = wire.whole(text, "bigint") if kind.startswith("id") else text.try_cast("bigint")
+        elif kind in ("int", "flag+"):
+            value = wire.whole(text, "int")
+        else:
+            continue
+        found = found | (text.isNotNull() & value.isNull())
+    return found
 
 
 def typed_with_status(
@@ -58,20 +60,26 @@ def typed_with_status(
     """Typed change rows plus ``_broken`` (not one JSON object, or a field of the wrong
     type). Unknown fields are ignored. ``keep`` passes columns of the log through."""
     source = log.select(F.col(version).alias("_version"), "payload", *keep)
-    fields = wire.open_fields(source, ["__op", *[name for name, _ in spec.fields]])
-    texts = {name: F.col("_json")[name] for name, _ in spec.fields}
-    broken = F.col("_json").isNull()
-    for name, kind in spec.fields:
-        broken = broken | _unreadable(texts[name], kind)
+    fields = wire.open_fields(source, ["__op", "__source_ts_ms", *[name for name, _ in spec.fields]])
+    texts = F.col("_json")
     return fields.select(
         *[_value(texts[name], kind).alias(name) for name, kind in spec.fields],
         "_version",
-        F.coalesce(F.col("_json.__op") == "d", F.lit(False)).cast("int").alias("_deleted"),
-        broken.alias("_broken"),
+        F.coalesce(texts["__op"] == "d", F.lit(False)).cast("int").alias("_deleted"),
+        (texts.isNull() | unreadable(texts, spec)).alias("_broken"),
+        texts["__source_ts_ms"].try_cast("bigint").alias("_source_ts_ms"),
         *keep,
     )
 
 
-def typed_bronze(log: DataFrame, spec: TableSpec, version: str = "offset") -> DataFrame:
-    """The readable changes of one table: typed columns, ``_version``, ``_deleted``."""
-    return typed_with_status(log, spec, version).where(~F.col("_broken")).drop("_broken")
+def typed_bronze(
+    log: DataFrame, spec: TableSpec, version: str = "offset", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """The readable changes of one table: typed columns, ``_version``, ``_deleted``.
+
+    Offsets order a topic of one partition. For more, keep ``_source_ts_ms`` and
+    ``partition`` and order by (``_source_ts_ms``, ``partition``, ``_version``).
+    """
+    names = [name for name, _ in spec.fields]
+    readable = typed_with_status(log, spec, version, tuple(name for name in keep if name != "_source_ts_ms"))
+    return readable.where(~F.col("_broken")).select(*names, "_version", "_deleted", *keep)

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cdcmart.functions.wire import json_valid, open_object
-from cdcmart.sources.specs import OPERATIONS
+from cdcmart.operators.bronze import unreadable
+from cdcmart.sources.specs import OPERATIONS, TABLES
 
 
 def reason(payload: Column, fields: Column) -> Column:
@@ -25,10 +26,24 @@ def reason(payload: Column, fields: Column) -> Column:
     )
 
 
-def quarantine(raw: DataFrame, detected_at: Column | None = None) -> DataFrame:
-    """Events of the raw log whose JSON or envelope is defective, with the reason."""
+def _type_error(topic: Column, fields: Column) -> Column:
+    wrong = F.lit(False)
+    for spec in TABLES.values():
+        wrong = F.when(topic == spec.topic, unreadable(fields, spec)).otherwise(wrong)
+    return F.when(wrong, "type_error")
+
+
+def quarantine(raw: DataFrame, detected_at: Column | None = None, *, type_errors: bool = False) -> DataFrame:
+    """Events of the raw log whose JSON or envelope is defective, with the reason.
+
+    ``type_errors`` also reports events with a complete envelope whose fields do not fit
+    their table; the typed tables skip those without a trace otherwise.
+    """
     stamp = F.current_timestamp() if detected_at is None else detected_at
-    judged = open_object(raw).withColumn("reason", reason(F.col("payload"), F.col("_json")))
+    defect = reason(F.col("payload"), F.col("_json"))
+    if type_errors:
+        defect = F.coalesce(defect, _type_error(F.col("topic"), F.col("_json")))
+    judged = open_object(raw).withColumn("reason", defect)
     return judged.where(F.col("reason").isNotNull()).select(
         "topic", "kafka_partition", "kafka_offset", "payload", "reason", stamp.alias("detected_at")
     )

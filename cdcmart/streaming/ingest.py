@@ -44,7 +44,7 @@ def write_typed_batch(
             raise SeveralPartitions(f"{spec.topic}: version by source time, partition and offset instead")
         if broken > broken_limit:
             raise TooManyBroken(f"{spec.topic}: {broken} unreadable messages, {broken_limit} tolerated")
-        rows = typed.where(~F.col("_broken")).drop("_broken", "partition")
+        rows = typed.where(~F.col("_broken")).drop("_broken", "_source_ts_ms", "partition")
         rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
     finally:
         typed.unpersist()

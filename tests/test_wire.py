@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cdcmart.functions.wire import json_valid
 from cdcmart.operators.bronze import typed_bronze, typed_with_status
 from cdcmart.operators.quarantine import quarantine, quarantine_summary
+from cdcmart.operators.state import current_state
 from cdcmart.sources.changes import LOG_SCHEMA, capture_raw, drop_sensitive, unwrap_envelope
 from cdcmart.sources.specs import BROKEN_LIMIT, FOREIGN_KEYS, SENSITIVE, TABLES, UNIQUE_COLUMNS
 
@@ -148,3 +149,23 @@ def test_envelopes(spark):
     assert json.loads(flat[0]) == {**kept, "__op": "c", "__deleted": "false"}
     assert json.loads(flat[1]) == {**kept, "__op": "d", "__deleted": "true"}
     assert flat[2:] == ["{bad"]
+
+
+def test_type_errors_are_reported_on_request(spark):
+    complete = '"__op":"c","__table":"t","__source_ts_ms":1}'
+    raw = capture_raw(log(spark, [f'{{"id":1,{complete}', f'{{"id":"n/a",{complete}', '{"id":"n/a"}']))
+    assert [r.reason for r in quarantine(raw).collect()] == ["missing_op"]
+    found = quarantine(raw, type_errors=True).orderBy("kafka_offset").collect()
+    assert [(r.kafka_offset, r.reason) for r in found] == [(1, "type_error"), (2, "missing_op")]
+
+
+def test_changes_of_several_partitions(spark):
+    """The same key on two partitions: source time decides, not the offset."""
+    def payload(name, time):
+        return json.dumps({"id": 1, "username": name, "__op": "u", "__source_ts_ms": time})
+
+    topic = TABLES["users"].topic
+    records = [(topic, 0, 900, payload("old", 10)), (topic, 1, 3, payload("new", 20))]
+    order = ("_source_ts_ms", "partition")
+    typed = typed_bronze(spark.createDataFrame(records, LOG_SCHEMA), TABLES["users"], keep=order)
+    assert current_state(typed, "id", [*order, "_version"]).first().username == "new"
