@@ -36,8 +36,8 @@ def in_business_days(instant: Column, first: dt.date | None, last: dt.date | Non
 
 
 def month_key(instant: Column) -> Column:
-    """Year and month as text (yyyyMM), the partition key of the append-only logs."""
-    return F.date_format(instant, "yyyyMM")
+    """Year and month as a number (yyyymm), the partition key of the append-only logs."""
+    return F.year(instant) * 100 + F.month(instant)
 
 
 def within_days(instant: Column, days: int, now: Column) -> Column:

@@ -20,6 +20,13 @@ NEXT_STEP = {
 CASH_ON_DELIVERY = "COD"
 STEP_LIMIT = 50
 
+# Texts written with the order number.
+PAID_TEXT = "Payment for order #{}"
+UNPAID_TEXT = "Payment pending for order #{}"
+CASH_TEXT = "COD payment received for order #{}"
+CREATED_TEXT = "Order #{} created"
+MOVED_TEXT = "Order #{} moved to {}"
+
 
 def price_lines(lines: DataFrame) -> DataFrame:
     """Add ``product_tax`` (half up to cents) and ``subtotal_amount`` (tax included)."""
@@ -66,8 +73,9 @@ def price_orders(
     )
 
 
-def _comment(*parts: str | Column) -> Column:
-    return F.concat(*[F.lit(part) if isinstance(part, str) else part.cast("string") for part in parts])
+def _filled(text: str, *values: Column) -> Column:
+    """``text`` with its gaps filled by column values."""
+    return F.format_string(text.replace("{}", "%s"), *[value.cast("string") for value in values])
 
 
 def order_bundle(
@@ -81,14 +89,15 @@ def order_bundle(
     """A new order's header, lines, payment and first history row, derived together.
 
     Cash on delivery starts with payment pending, every other method with payment
-    completed. A header without a line is an error. Write the four frames with
+    completed. A header without a line is an error. Three of the frames come from
+    ``priced_orders``: checkpoint it before, and write the four with
     ``sources.log.publish`` so that readers see all of them or none.
     """
     orders = lookup_join(
         priced_orders, payment_methods, {"payment_method_id": "id"}, {"_method": "payment_method_name"}
     )
     paid = F.coalesce(F.trim("_method") != CASH_ON_DELIVERY, F.lit(True))
-    no_line = F.raise_error(_comment("order ", F.col("order_id"), " has no line")).cast("bigint")
+    no_line = F.raise_error(_filled("order {} has no line", F.col("order_id"))).cast("bigint")
     orders = (
         orders.withColumn("_paid", paid)
         .withColumn("_start", F.lit("pending"))
@@ -100,7 +109,7 @@ def order_bundle(
     orders = _with_id(orders, shipping_status, "shipping_status_name", start, "_start", "shipping_status_id")
     orders = _with_id(orders, payment_status, "payment_status_name", payment, "_payment", "payment_status_id")
     order_id = F.col("order_id")
-    text = F.when(F.col("_paid"), "Payment for order #").otherwise("Payment pending for order #")
+    payment_text = F.when(F.col("_paid"), _filled(PAID_TEXT, order_id)).otherwise(_filled(UNPAID_TEXT, order_id))
     return {
         "orders": orders.drop("_method", "_paid", "_start", "_payment"),
         "orderdetails": priced_lines,
@@ -108,10 +117,10 @@ def order_bundle(
             "order_id",
             F.lit("payment").alias("transaction_type"),
             F.col("_paid").cast("int").alias("status"),
-            F.concat(text, order_id.cast("string")).alias("description"),
+            payment_text.alias("description"),
         ),
         "order_status_history": orders.select(
-            "order_id", "order_status_id", _comment("Order #", order_id, " created").alias("comments")
+            "order_id", "order_status_id", _filled(CREATED_TEXT, order_id).alias("comments")
         ),
     }
 
@@ -168,14 +177,14 @@ def advance_orders(
     history = moved.select(
         F.col("id").alias("order_id"),
         F.col("_next_id").alias("order_status_id"),
-        _comment("Order #", F.col("id"), " moved to ", F.col("_next")).alias("comments"),
+        _filled(MOVED_TEXT, F.col("id"), F.col("_next")).alias("comments"),
     )
     cash = moved.where("_cash").select(F.col("id").alias("order_id"))
     payments = (
         transactions.where(F.col("transaction_type") == "payment")
         .join(F.broadcast(cash), "order_id", "left_semi")
         .withColumn("status", F.lit(1))
-        .withColumn("description", _comment("COD payment received for order #", F.col("order_id")))
+        .withColumn("description", _filled(CASH_TEXT, F.col("order_id")))
     )
     return {"orders": updated, "order_status_history": history, "transactions": payments}
 

@@ -57,13 +57,14 @@ def publish(frames: Mapping[str, DataFrame], path: str, batch_id: int) -> bool:
 
 
 def read_published(spark: SparkSession, path: str, table: str, *, newest_only: bool = False) -> DataFrame:
-    """The committed batches of a table; ``newest_only`` for tables replaced as a whole."""
-    commits = spark.read.schema("batch_id bigint").parquet(f"{path}/{COMMITS}").distinct()
+    """The committed batches of a table; ``newest_only`` for tables replaced as a whole,
+    where only the newest batch's folder is read."""
+    commits = spark.read.schema("batch_id bigint").parquet(f"{path}/{COMMITS}")
     if newest_only:
-        commits = commits.agg(F.max("batch_id").alias("batch_id"))
+        newest = commits.agg(F.max("batch_id")).first()[0]
+        return spark.read.parquet(f"{path}/{table}/batch_id={newest}")
     rows = spark.read.parquet(f"{path}/{table}")
-    # The batch id is the folder name, so the join prunes folders, not rows.
-    return rows.join(commits, "batch_id", "left_semi").drop("batch_id")
+    return rows.join(commits.distinct(), "batch_id", "left_semi").drop("batch_id")
 
 
 def _committed(spark: SparkSession, path: str, batch_id: int) -> bool:

@@ -168,7 +168,7 @@ latest AS (
 ),
 state AS (
   SELECT user_id AS id, event_type, CAST(cents AS DOUBLE) / 100.0 AS value, second AS created_at,
-         event_id AS _version, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS _deleted
+         event_id AS _version, CAST(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS BIGINT) AS _deleted
   FROM latest WHERE rn = 1
 )"""
 
@@ -266,7 +266,7 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT user_id, 'name ' || e, e, e + 1099511627776, 0 FROM l
       WHERE kind <> 'error' AND user_id NOT IN (SELECT c_custkey FROM customer)""",
     "unwrap_envelope": """SELECT event_id + 1099511627776 AS "offset", CAST(user_id AS VARCHAR) AS id,
-        'name ' || event_id AS username, CAST(NULL AS VARCHAR) AS password,
+        'name ' || event_id AS username, CAST(0 AS BIGINT) AS password,
         CASE WHEN event_type = 'error' THEN 'd' ELSE 'u' END AS op, 'users' AS "table",
         CAST(epoch_us(ts) // 1000 AS VARCHAR) AS source_ts_ms,
         CASE WHEN event_type = 'error' THEN 'true' ELSE 'false' END AS deleted
@@ -405,12 +405,12 @@ ORACLE: dict[str, str] = {
       FROM pd WHERE line_count > 0"""),
     "order_history": _with(LINES, PRICED, select="""SELECT order_id, CAST(1 AS BIGINT) AS order_status_id,
         'Order #' || order_id || ' created' AS comments FROM pd WHERE line_count > 0"""),
-    "advance_orders": _with(LINES, STEP, select=f"""SELECT order_id AS id, user_id, CAST(NULL AS BIGINT) AS staff_id,
+    "advance_orders": _with(LINES, STEP, select=f"""SELECT order_id AS id, user_id,
         user_id AS address_id, {_money("a_c", "order_amount")}, {_money("d_c", "discount_amount")},
         {_money("a_c - d_c", "total_amount")}, CASE WHEN prio < 5 THEN prio END AS discount_id,
         prio AS payment_method_id, CAST(CASE WHEN cash THEN 2 ELSE 1 END AS BIGINT) AS payment_status_id,
         CAST(next_id AS BIGINT) AS order_status_id, ship AS shipping_method_id,
-        CAST(shipping_id AS BIGINT) AS shipping_status_id, CAST(NULL AS BIGINT) AS shipped_at,
+        CAST(shipping_id AS BIGINT) AS shipping_status_id,
         epoch_us(o_orderdate) // 1000000 AS created_at, {NOW_SECONDS} AS updated_at FROM step"""),
     "advance_history": _with(LINES, STEP, select="""SELECT order_id, CAST(next_id AS BIGINT) AS order_status_id,
         'Order #' || order_id || ' moved to ' || next AS comments FROM step"""),
