@@ -469,14 +469,13 @@ def order_history(sample: Sample) -> DataFrame:
 
 
 def _advanced(sample: Sample) -> dict[str, DataFrame]:
-    tables = {name: make() for name, make in sample.tables().items()}
     return order_ops.advance_orders(
-        tables["orders"],
+        sample.orders(),
         sample.lifecycle_status(),
-        tables["payment_methods"],
-        tables["payment_status"],
-        tables["shipping_status"],
-        tables["transactions"],
+        sample.payment_methods(),
+        sample.payment_status(),
+        sample.shipping_status(),
+        sample.transactions(),
         F.lit(NOW),
     )
 
@@ -484,7 +483,7 @@ def _advanced(sample: Sample) -> dict[str, DataFrame]:
 @query
 def advance_orders(sample: Sample) -> DataFrame:
     # The sample has no staff, and no order that enters shipping: both columns are NULL.
-    return _advanced(sample)["orders"].drop("_version", "_deleted", "staff_id", "shipped_at")
+    return _advanced(sample)["orders"].drop("staff_id", "shipped_at")
 
 
 @query
@@ -494,7 +493,7 @@ def advance_history(sample: Sample) -> DataFrame:
 
 @query
 def advance_transactions(sample: Sample) -> DataFrame:
-    return _advanced(sample)["transactions"].drop("_version", "_deleted")
+    return _advanced(sample)["transactions"]
 
 
 # --- keys, references, constraints ----------------------------------------------------

@@ -10,7 +10,7 @@ from shop import Shop, millis
 
 from cdcmart.operators.state import current_state
 
-REPORTS = ("fact_order_overview", "report_marketing_dashboard")
+REPORTS = ("fact_order_overview", "fact_sales_product")
 
 
 def gross_and_net(warehouse):
