@@ -38,9 +38,13 @@ def unit_cost_asof(
         F.when(F.col("_deleted") == 0, F.col("unit_cost")).alias("cost"),
     )
     newest = [F.max("v").alias("v"), F.max_by("cost", "v").alias("cost")]
+    # Used twice below. The filter is what the join on (p, d) implies anyway; written
+    # here, both uses have the same plan and share one shuffle.
     seconds = (
         points.unionByName(changes, allowMissingColumns=True)
-        .groupBy("p", F.to_date("t").alias("d"), "t")
+        .withColumn("d", F.to_date("t"))
+        .where(F.col("p").isNotNull() & F.col("d").isNotNull())
+        .groupBy("p", "d", "t")
         .agg(*newest)
     )
     earlier_days = Window.partitionBy("p").orderBy("d").rowsBetween(Window.unboundedPreceding, -1)
