@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcmart.llm import chat, shards
+from cdcmart.llm import bpe, chat, html, shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree": shards.op1_hash_tree,
+    "op2_byte_bpe": bpe.op2_byte_bpe,
     "op5_fingerprint_chat": chat.op5_fingerprint_chat,
+    "op7_tree_scoring": html.op7_tree_scoring,
 }
 
 ORACLE: dict[str, str] = {
