@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcmart.llm import bpe, chat, html, shards
+from cdcmart.llm import bpe, chat, forest, html, shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree": shards.op1_hash_tree,
     "op2_byte_bpe": bpe.op2_byte_bpe,
     "op5_fingerprint_chat": chat.op5_fingerprint_chat,
     "op7_tree_scoring": html.op7_tree_scoring,
+    "op10_prefix_forest": forest.op10_prefix_forest,
 }
 
 ORACLE: dict[str, str] = {
