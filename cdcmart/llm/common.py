@@ -144,3 +144,32 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 def uniform(hashes: np.ndarray) -> np.ndarray:
     """Numbers in (0, 1) from 64-bit hashes."""
     return ((hashes >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
+
+
+def add_columns(
+    frame: DataFrame, names: list[str], work: Callable[[list[dict]], list[tuple]], schema: str, slice_rows: int = SLICE
+) -> DataFrame:
+    """``frame`` with more columns, computed for small groups of rows from the columns ``names``.
+
+    Columns of ``frame`` that are called like a new one are replaced.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType, _parse_datatype_string
+
+    new = _parse_datatype_string(schema)
+    kept = frame.select(*[F.col(f"`{c}`") for c in frame.columns if c not in new.fieldNames()])
+    if set(names) & set(new.fieldNames()):
+        raise ValueError("a new column must not be called like one it is computed from")
+    arrow = to_arrow_schema(new)
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            for at in range(0, batch.num_rows, slice_rows):
+                part = batch.slice(at, slice_rows)
+                rows = part.select(names).to_pylist()
+                columns = list(zip(*work(rows), strict=True))
+                arrays = [pa.array(c, type=f.type) for c, f in zip(columns, arrow, strict=True)]
+                fields = [part.schema.field(i) for i in range(part.num_columns)] + list(arrow)
+                yield pa.RecordBatch.from_arrays([*part.columns, *arrays], schema=pa.schema(fields))
+
+    return kept.mapInArrow(batches, StructType(kept.schema.fields + new.fields))

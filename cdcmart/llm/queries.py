@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcmart.llm import bpe, chat, forest, html, shards
+from cdcmart.llm import bpe, chat, forest, html, shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree": shards.op1_hash_tree,
     "op2_byte_bpe": bpe.op2_byte_bpe,
+    "op4_classifier_chain": toxicity.op4_classifier_chain,
     "op5_fingerprint_chat": chat.op5_fingerprint_chat,
     "op7_tree_scoring": html.op7_tree_scoring,
     "op10_prefix_forest": forest.op10_prefix_forest,
