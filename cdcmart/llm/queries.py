@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcmart.llm import bpe, chat, forest, html, shards, toxicity
+from cdcmart.llm import bpe, chat, contamination, forest, html, language, shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree": shards.op1_hash_tree,
@@ -14,6 +14,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_classifier_chain": toxicity.op4_classifier_chain,
     "op5_fingerprint_chat": chat.op5_fingerprint_chat,
     "op7_tree_scoring": html.op7_tree_scoring,
+    "op8_block_max": contamination.op8_block_max,
+    "op9_word_backoff": language.op9_word_backoff,
     "op10_prefix_forest": forest.op10_prefix_forest,
 }
 
