@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcmart.llm import bpe, chat, contamination, forest, html, language, shards, toxicity
+from cdcmart.llm import bpe, chat, contamination, forest, html, language, neardup, shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree": shards.op1_hash_tree,
     "op2_byte_bpe": bpe.op2_byte_bpe,
+    "op3_prob_minhash": neardup.op3_prob_minhash,
     "op4_classifier_chain": toxicity.op4_classifier_chain,
     "op5_fingerprint_chat": chat.op5_fingerprint_chat,
     "op7_tree_scoring": html.op7_tree_scoring,
