@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcmart.llm import bpe, chat, contamination, forest, html, language, neardup, shards, toxicity
+from cdcmart.llm import bpe, chat, contamination, forest, html, language, neardup, repeats, shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree": shards.op1_hash_tree,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_prob_minhash": neardup.op3_prob_minhash,
     "op4_classifier_chain": toxicity.op4_classifier_chain,
     "op5_fingerprint_chat": chat.op5_fingerprint_chat,
+    "op6_suffix_array": repeats.op6_suffix_array,
     "op7_tree_scoring": html.op7_tree_scoring,
     "op8_block_max": contamination.op8_block_max,
     "op9_word_backoff": language.op9_word_backoff,
