@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcmart.llm.common import map_rows, table
+from cdcmart.llm.common import add_columns, map_rows, table
 
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, SHINGLE = 0.5, 0.8, 5
@@ -146,6 +146,28 @@ def parts(items: DataFrame, key: str, text: str) -> Iterator[Index]:
         yield Index.build(held, frequency, facts[0], facts[2], facts[1])
 
 
+def _held(index: Index, text: str | None) -> dict[int, tuple[float, float, float]]:
+    """Verified items of a text, each with its best (score, question and answer overlap)."""
+    best: dict[int, tuple] = {}
+    for at, score, _, passage in index.search(text):
+        asked, answered = overlaps(index.items[at], passage)
+        if asked >= OVERLAP and answered >= OVERLAP:
+            best[at] = max(best.get(at, ()), (score, asked, answered))
+    return best
+
+
+def clean(documents: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``documents`` without the rows that hold an item."""
+    for index in parts(items, item_key, item_text):
+        sent = documents.sparkSession.sparkContext.broadcast(index)
+
+        def work(rows: list[dict], sent=sent) -> list[tuple]:
+            return [(len(_held(sent.value, row[text])),) for row in rows]
+
+        documents = add_columns(documents, [text], work, "__items int").where(F.col("__items") == 0).drop("__items")
+    return documents
+
+
 def matches(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """(key, item_id, score, question_overlap, answer_overlap): one row per document row and item it holds."""
     kind = documents.schema[key].dataType.simpleString()
@@ -155,12 +177,7 @@ def matches(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: s
         sent = documents.sparkSession.sparkContext.broadcast(index)
 
         def work(row: dict, sent=sent) -> Iterator[tuple]:
-            best: dict[int, tuple] = {}
-            for at, score, _, passage in sent.value.search(row[text]):
-                asked, answered = overlaps(sent.value.items[at], passage)
-                if asked >= OVERLAP and answered >= OVERLAP:
-                    best[at] = max(best.get(at, ()), (score, asked, answered))
-            for at, values in sorted(best.items()):
+            for at, values in sorted(_held(sent.value, row[text]).items()):
                 yield row[key], sent.value.ids[at], *values
 
         found.append(map_rows(documents.select(key, text), work, schema))

@@ -248,9 +248,21 @@ def spans(texts: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int
     return done
 
 
-def removed(documents: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
-    """(key, kept, n_bytes, n_removed, n_spans) of every row: its remaining bytes, concatenated."""
-    rows = documents.select(F.col(key).alias("id"), text_key(F.col(text)).alias("tid"), empty_if_null(F.col(text)).cast("binary").alias("body"))
+def _to_characters(body: bytes, low: int, high: int) -> tuple[int, int]:
+    """The part of a span that consists of whole UTF-8 characters."""
+    while low < high and body[low] & 0xC0 == 0x80:
+        low += 1
+    while low < high < len(body) and body[high] & 0xC0 == 0x80:
+        high -= 1
+    return low, high
+
+
+def kept_parts(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT, characters: bool = False) -> DataFrame:
+    """(tid, kept, n_bytes, n_removed, n_spans) of each distinct text of (tid, body) rows.
+
+    With ``characters`` a character goes only if all its bytes are repeats, so that what is
+    kept is a text again.
+    """
     texts = rows.groupBy("tid").agg(F.first("body").alias("body"), F.count("*").alias("copies"))
     own = spans(texts, length, anchor, hot).groupBy("tid").agg(F.collect_list(F.array("low", "high")).alias("spans"))
     joined = texts.join(own, "tid", "left")
@@ -258,11 +270,19 @@ def removed(documents: DataFrame, key: str = "doc_id", text: str = "text", lengt
     def work(row: dict) -> Iterator[tuple]:
         body = row["body"]
         gone = [(0, len(body))] if row["copies"] > 1 and len(body) >= length else merged([tuple(x) for x in row["spans"] or []])
+        if characters:
+            gone = [span for span in (_to_characters(body, *x) for x in gone) if span[0] < span[1]]
         ends = [0, *[at for span in gone for at in span], len(body)]
         kept = b"".join(body[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))
         yield row["tid"], kept, len(body), len(body) - len(kept), len(gone)
 
-    done = map_rows(joined, work, "tid binary, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint")
+    return map_rows(joined, work, "tid binary, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint")
+
+
+def removed(documents: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
+    """(key, kept, n_bytes, n_removed, n_spans) of every row: its remaining bytes, concatenated."""
+    rows = documents.select(F.col(key).alias("id"), text_key(F.col(text)).alias("tid"), empty_if_null(F.col(text)).cast("binary").alias("body"))
+    done = kept_parts(rows.select("tid", "body"), length, anchor, hot)
     return rows.select(F.col("id").alias(key), "tid").join(done, "tid").drop("tid")
 
 
