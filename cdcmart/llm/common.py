@@ -2,19 +2,44 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import cdcmart
 from cdcmart.session import checkpoint_dir
 
 SLICE = 256  # rows per Arrow batch that leaves a Python stage
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which may have no copy of it.
+
+    Must come before the first Python stage is planned: a stage keeps the files known then.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(cdcmart.__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="cdcmart-")) / "cdcmart-package.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -29,6 +54,7 @@ def text_key(text: Column) -> Column:
 
 def cut_lineage(frame: DataFrame) -> DataFrame:
     """Written to the shared checkpoint folder and read back."""
+    ship(frame.sparkSession)
     checkpoint_dir(frame.sparkSession)
     return frame.checkpoint()
 
@@ -44,6 +70,7 @@ def map_rows(
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
+    ship(frame.sparkSession)
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,6 +183,7 @@ def add_columns(
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType, _parse_datatype_string
 
+    ship(frame.sparkSession)
     new = _parse_datatype_string(schema)
     kept = frame.select(*[F.col(f"`{c}`") for c in frame.columns if c not in new.fieldNames()])
     if set(names) & set(new.fieldNames()):

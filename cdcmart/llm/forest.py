@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cdcmart.llm.common import table
+from cdcmart.llm.common import ship, table
 
 TREES, SYMBOLS = 48, 3
 MISS = 0.08
@@ -145,6 +145,7 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int, block_rows: int = BLOCK
 
     Both frames are of the form that ``usable`` gives.
     """
+    ship(rows.sparkSession)
     first = W.partitionBy("digest").orderBy("id")
     few = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1)
     own = few.groupBy("digest").agg(F.sort_array(F.collect_list("id")).alias("ids"), F.first("vector").alias("vector"))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cdcmart.llm.common import add_columns, cut_lineage, table
+from cdcmart.llm.common import add_columns, cut_lineage, ship, table
 
 WORDS, GRAMS, LONGEST = 30_000, 10_000, 4
 UNKNOWN = "und"
@@ -138,6 +138,7 @@ def _table(rows: pa.Table, name: str, languages: list[str], totals: dict[str, fl
 
 
 def fit(rows: DataFrame, lang: str = "lang", text: str = "text") -> Model:
+    ship(rows.sparkSession)
     learnt = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     counted = cut_lineage(_word_counts(learnt))
     totals = {r["lang"]: float(r["n"]) for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
