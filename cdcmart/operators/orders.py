@@ -18,14 +18,13 @@ NEXT_STEP = {
     "shipping": ("delivered", "delivered"),
 }
 CASH_ON_DELIVERY = "COD"
-STEP_LIMIT = 50
 
 # Texts written with the order number.
-PAID_TEXT = "Payment for order #{}"
-UNPAID_TEXT = "Payment pending for order #{}"
-CASH_TEXT = "COD payment received for order #{}"
-CREATED_TEXT = "Order #{} created"
-MOVED_TEXT = "Order #{} moved to {}"
+PAID_TEXT = "Payment for order #%s"
+UNPAID_TEXT = "Payment pending for order #%s"
+CASH_TEXT = "COD payment received for order #%s"
+CREATED_TEXT = "Order #%s created"
+MOVED_TEXT = "Order #%s moved to %s"
 
 
 def price_lines(lines: DataFrame) -> DataFrame:
@@ -75,7 +74,7 @@ def price_orders(
 
 def _filled(text: str, *values: Column) -> Column:
     """``text`` with its gaps filled by column values."""
-    return F.format_string(text.replace("{}", "%s"), *[value.cast("string") for value in values])
+    return F.format_string(text, *[value.cast("string") for value in values])
 
 
 def order_bundle(
@@ -89,20 +88,21 @@ def order_bundle(
     """A new order's header, lines, payment and first history row, derived together.
 
     Cash on delivery starts with payment pending, every other method with payment
-    completed. A header without a line is an error. Three of the frames come from
-    ``priced_orders``: checkpoint it before, and write the four with
+    completed. Headers without a line and lines without a header are no orders: they come
+    back as ``rejected_orders`` and ``rejected_lines`` and stop nothing. Most frames come from
+    ``priced_orders``: checkpoint it before, and write the frames with
     ``sources.log.publish`` so that readers see all of them or none.
     """
+    rejected = priced_orders.where(F.col("line_count") <= 0)
+    priced_orders = priced_orders.where(F.col("line_count") > 0)
     orders = lookup_join(
         priced_orders, payment_methods, {"payment_method_id": "id"}, {"_method": "payment_method_name"}
     )
     paid = F.coalesce(F.trim("_method") != CASH_ON_DELIVERY, F.lit(True))
-    no_line = F.raise_error(_filled("order {} has no line", F.col("order_id"))).cast("bigint")
     orders = (
         orders.withColumn("_paid", paid)
         .withColumn("_start", F.lit("pending"))
         .withColumn("_payment", F.when(F.col("_paid"), "completed").otherwise("pending"))
-        .withColumn("order_id", F.when(F.col("line_count") > 0, F.col("order_id")).otherwise(no_line))
     )
     start, payment = ["pending"], ["pending", "completed"]
     orders = _with_id(orders, order_status, "order_status_name", start, "_start", "order_status_id")
@@ -112,7 +112,9 @@ def order_bundle(
     payment_text = F.when(F.col("_paid"), _filled(PAID_TEXT, order_id)).otherwise(_filled(UNPAID_TEXT, order_id))
     return {
         "orders": orders.drop("_method", "_paid", "_start", "_payment"),
-        "orderdetails": priced_lines,
+        "orderdetails": priced_lines.join(priced_orders.select("order_id"), "order_id", "left_semi"),
+        "rejected_orders": rejected,
+        "rejected_lines": priced_lines.join(priced_orders.select("order_id"), "order_id", "left_anti"),
         "transactions": orders.select(
             "order_id",
             F.lit("payment").alias("transaction_type"),
@@ -133,9 +135,9 @@ def advance_orders(
     shipping_status: DataFrame,
     transactions: DataFrame,
     now: Column,
-    limit: int = STEP_LIMIT,
+    limit: int | None = None,
 ) -> dict[str, DataFrame]:
-    """Move the ``limit`` oldest open orders one step on.
+    """Move all open orders, or the ``limit`` oldest, one step on.
 
     Returns the changed orders, the history rows they cause and the payments completed
     by delivering a cash order. The pick is by order id, so all three see the same
@@ -148,7 +150,8 @@ def advance_orders(
     picked = lookup_join(
         picked, payment_methods, {"payment_method_id": "id"}, {"_method": "payment_method_name"}, "inner"
     )
-    picked = picked.orderBy("id").limit(limit)
+    if limit is not None:
+        picked = picked.orderBy("id").limit(limit)
 
     def following(position: int) -> Column:
         step = F.lit(None).cast("string")
@@ -182,7 +185,7 @@ def advance_orders(
     cash = moved.where("_cash").select(F.col("id").alias("order_id"))
     payments = (
         transactions.where(F.col("transaction_type") == "payment")
-        .join(F.broadcast(cash), "order_id", "left_semi")
+        .join(cash, "order_id", "left_semi")
         .withColumn("status", F.lit(1))
         .withColumn("description", _filled(CASH_TEXT, F.col("order_id")))
     )

@@ -46,58 +46,77 @@ def resolve_parent(
     return spread_lookup_join(children, named, {child_name: "_name"}, {target: "_id"}, [row_id], "inner")
 
 
-def foreign_key_report(
-    tables: Mapping[str, DataFrame], keys: Sequence[tuple[str, str, str]]
-) -> DataFrame:
-    """Per reference between available tables: rows, NULLs and rows whose target is missing.
+def _named(tables: Mapping[str, DataFrame], wanted: Sequence[tuple[str, str]]) -> dict[str, list[str]]:
+    """Table -> columns to look at; every one must be there, or the report would be silent on it."""
+    missing = [f"{t}.{c}" for t, c in wanted if t not in tables or c not in tables[t].columns]
+    if missing:
+        raise ValueError(f"not checked, because missing: {', '.join(sorted(missing))}")
+    found: dict[str, list[str]] = {}
+    for table, column in wanted:
+        found.setdefault(table, []).append(column)
+    return found
+
+
+def _stacked(tables: Mapping[str, DataFrame], wanted: Sequence[tuple[str, str]], kind: str) -> DataFrame:
+    """(name, value, n): how often a column, named table.column, holds each value. Each table is read once."""
+    parts = []
+    for table, columns in _named(tables, wanted).items():
+        pairs = [F.struct(F.lit(f"{table}.{c}").alias("name"), F.col(c).cast(kind).alias("value")) for c in columns]
+        parts.append(tables[table].select(F.explode(F.array(*pairs)).alias("p")).select("p.*"))
+    return reduce(DataFrame.unionByName, parts).groupBy("name", "value").agg(F.count("*").alias("n"))
+
+
+def foreign_key_report(tables: Mapping[str, DataFrame], keys: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """Per reference: rows, NULLs and rows whose target is missing.
 
     References are counted by value first, so one popular target is one row by the time
-    it is joined.
+    it is joined. Every table is read at most twice: for what it refers to, and as a target.
     """
-    parts = []
-    for table, column, target in keys:
-        if table not in tables or target not in tables or column not in tables[table].columns:
-            continue
-        counted = tables[table].groupBy(F.col(column).cast("bigint").alias("ref")).agg(F.count("*").alias("n"))
-        targets = tables[target].select(F.col("id").cast("bigint").alias("id"), F.lit(True).alias("found"))
-        zero = F.lit(0).cast("bigint")
-        parts.append(
-            counted.join(targets, F.col("ref") == F.col("id"), "left").agg(
-                F.lit(f"{table}.{column}").alias("reference"),
-                F.lit(target).alias("target"),
-                F.coalesce(F.sum("n"), zero).alias("row_count"),
-                F.coalesce(F.sum(F.when(F.col("ref").isNull(), F.col("n"))), zero).alias("null_count"),
-                F.coalesce(
-                    F.sum(F.when(F.col("ref").isNotNull() & F.col("found").isNull(), F.col("n"))), zero
-                ).alias("orphan_count"),
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    zero = F.lit(0).cast("bigint")
+    target_of = F.create_map(*[F.lit(x) for table, column, target in keys for x in (f"{table}.{column}", target)])
+    counted = _stacked(tables, [key[:2] for key in keys], "bigint").withColumn("target", target_of[F.col("name")])
+    _named(tables, [(target, "id") for _, _, target in keys])
+    targets = [
+        tables[name].select(F.lit(name).alias("target"), F.col("id").cast("bigint").alias("value"), F.lit(True).alias("found"))
+        for name in sorted({target for _, _, target in keys})
+    ]
+    joined = counted.join(reduce(DataFrame.unionByName, targets), ["target", "value"], "left")
+    orphan = F.col("value").isNotNull() & F.col("found").isNull()
+    found = joined.groupBy(F.col("name").alias("reference"), "target").agg(
+        F.sum("n").alias("row_count"),
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), zero).alias("null_count"),
+        F.coalesce(F.sum(F.when(orphan, F.col("n"))), zero).alias("orphan_count"),
+    )
+    # References of empty tables have a row too.
+    spark = next(iter(tables.values())).sparkSession
+    listed = spark.createDataFrame([(f"{t}.{c}", target) for t, c, target in keys], "reference string, target string")
+    counts = [F.coalesce(name, zero).alias(name) for name in ("row_count", "null_count", "orphan_count")]
+    return F.broadcast(listed).join(found, ["reference", "target"], "left").select("reference", "target", *counts)
 
 
 def unique_report(tables: Mapping[str, DataFrame], columns: Sequence[tuple[str, str]]) -> DataFrame:
-    """Per unique column of the available tables: distinct values, values held more than
-    once, and the rows beyond the first of each."""
-    parts = []
-    for table, column in columns:
-        if table not in tables or column not in tables[table].columns:
-            continue
-        counted = tables[table].dropna(subset=[column]).groupBy(column).agg(F.count("*").alias("n"))
-        parts.append(
-            counted.agg(
-                F.lit(f"{table}.{column}").alias("column_name"),
-                F.count("*").alias("value_count"),
-                F.count_if(F.col("n") > 1).alias("repeated_value_count"),
-                F.coalesce(F.sum(F.col("n") - 1), F.lit(0).cast("bigint")).alias("excess_row_count"),
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    """Per unique column: distinct values, values held more than once, and the rows beyond
+    the first of each."""
+    zero = F.lit(0).cast("bigint")
+    counted = _stacked(tables, columns, "string").where("value IS NOT NULL")
+    found = counted.groupBy(F.col("name").alias("column_name")).agg(
+        F.count("*").alias("value_count"),
+        F.count_if(F.col("n") > 1).alias("repeated_value_count"),
+        F.sum(F.col("n") - 1).alias("excess_row_count"),
+    )
+    spark = next(iter(tables.values())).sparkSession
+    listed = spark.createDataFrame([(f"{t}.{c}",) for t, c in columns], "column_name string")
+    counts = [F.coalesce(name, zero).alias(name) for name in ("value_count", "repeated_value_count", "excess_row_count")]
+    return F.broadcast(listed).join(found, "column_name", "left").select("column_name", *counts)
 
 
-def null_report(table: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows per required column that hold NULL: one pass, one row per column."""
-    counts = table.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in columns])
-    return counts.unpivot([], list(columns), "column_name", "null_count")
+def null_report(tables: Mapping[str, DataFrame], columns: Sequence[tuple[str, str]]) -> DataFrame:
+    """Per required column, named table.column: the rows that hold NULL. Each table is read once."""
+    parts = []
+    for table, names in _named(tables, columns).items():
+        counts = tables[table].agg(*[F.count_if(F.col(name).isNull()).alias(f"{table}.{name}") for name in names])
+        parts.append(counts.unpivot([], [f"`{table}.{name}`" for name in names], "column_name", "null_count"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def outside_domain(table: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
@@ -113,12 +132,15 @@ def newest(table: DataFrame, count: int, key: str = "id") -> DataFrame:
     return table.orderBy(F.col(key).desc()).limit(count)
 
 
-def users_with_addresses(users: DataFrame, addresses: DataFrame, count: int = 50) -> DataFrame:
-    """The first (user, address) pairs by user and address id.
+def users_with_addresses(users: DataFrame, addresses: DataFrame, count: int | None = None) -> DataFrame:
+    """All (user, address) pairs, or the first ``count`` by user and address id.
 
     No user can contribute more than ``count`` pairs, so each user's addresses are cut
     to the first ``count`` before they are joined.
     """
+    if count is None:
+        pairs = addresses.select("user_id", F.col("id").alias("address_id"))
+        return pairs.join(users.select(F.col("id").alias("user_id")), "user_id", "left_semi")
     first = Window.partitionBy("user_id").orderBy("id")
     pairs = (
         addresses.select("user_id", "id")

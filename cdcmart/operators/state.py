@@ -24,6 +24,11 @@ STORED = {
 }
 
 
+#: Columns that order the changes of a key when a topic has several partitions: the time at
+#: the source, then partition and offset, which decide between changes of one instant.
+SEVERAL_PARTITIONS = ("_source_ts_ms", "partition", "_version")
+
+
 def _list(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
@@ -52,13 +57,32 @@ def current_state(
     return latest if include_deleted else latest.where(F.col("_deleted") == 0)
 
 
-def compact(changes: DataFrame, keys: str | Sequence[str] = "id", version: str = "_version") -> DataFrame:
+def compact(
+    changes: DataFrame, keys: str | Sequence[str] = "id", version: str | Sequence[str] = "_version"
+) -> DataFrame:
     """A change table reduced to its newest versions. Tombstones stay, so a late older
     change cannot bring a deleted row back. Write the result to a new place
     (``sources.log.publish``); never over the table being read."""
     return current_state(changes, keys, version, include_deleted=True)
 
 
+def base_and_changes(
+    base: DataFrame, changes: DataFrame, keys: str | Sequence[str] = "id", version: str | Sequence[str] = "_version"
+) -> DataFrame:
+    """Current rows of a compacted ``base`` and the changes since.
+
+    A change that is older than the base's row of its key must not win, so the base's rows of
+    changed keys take part in the pick; all others pass untouched. Filters reach both scans, except for the
+    changes' own columns.
+    """
+    names = _list(keys)
+    changed = changes.select(*names).distinct()
+    touched = base.join(changed, names, "left_semi").select(*base.columns)
+    newest = current_state(changes.unionByName(touched, allowMissingColumns=True), names, version)
+    kept = base.where(F.col("_deleted") == 0).join(changed, names, "left_anti").select(*base.columns)
+    return kept.unionByName(newest, allowMissingColumns=True)
+
+
 def align_schema(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows of an older table version in today's columns; added columns read as NULL."""
     return rows.select(

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcmart.operators.state import current_state
+from cdcmart.operators.state import base_and_changes, current_state
 from cdcmart.plans import gold, report, silver
 from cdcmart.session import checkpoint_dir
 from cdcmart.sources.log import publish
@@ -23,7 +23,11 @@ class Warehouse:
 
     ``bronze`` maps table names to change tables (or functions returning them).
     Tables in ``compacted`` hold one row per key already and skip the newest-version
-    step. ``days`` limits the order-based facts to business days.
+    step. ``base`` maps tables to such compacted copies; ``bronze`` then holds only the
+    changes since. A base row counts unless its key has changed, so a range of days reaches the base's
+    scan and only the changes go through the newest-version step. ``version`` are the
+    columns that order the changes of a key; see ``state.SEVERAL_PARTITIONS``. ``days`` limits
+    the order-based facts to business days.
     """
 
     def __init__(
@@ -32,11 +36,15 @@ class Warehouse:
         bronze: Mapping[str, Source],
         *,
         compacted: Iterable[str] = (),
+        base: Mapping[str, Source] | None = None,
+        version: str | Sequence[str] = "_version",
         days: tuple[dt.date | None, dt.date | None] = (None, None),
     ):
         self.spark = spark
         self.bronze = bronze
         self.compacted = frozenset(compacted)
+        self.base = dict(base or {})
+        self.version = version
         self.days = days
         self._measured: DataFrame | None = None
 
@@ -48,7 +56,10 @@ class Warehouse:
         rows = self.changes(table)
         if table in self.compacted:
             return rows.where(F.col("_deleted") == 0)
-        return current_state(rows)
+        if table in self.base:
+            source = self.base[table]
+            return base_and_changes(source() if callable(source) else source, rows, "id", self.version)
+        return current_state(rows, "id", self.version)
 
     # cleaned entities
 
@@ -184,9 +195,11 @@ class Warehouse:
         The rows go to the cluster's checkpoint folder, so a lost executor costs a
         re-read and not the whole chain.
         """
-        checkpoint_dir(self.spark)
+        checkpoint_dir(self.spark, scratch=True)
         self._measured = self.sales_line_measured(ranked=False).checkpoint()
 
     def publish_reports(self, path: str, batch_id: int) -> bool:
-        """Write all reports as one unit."""
+        """Write all reports as one unit; the sale lines that they share are computed once."""
+        if self._measured is None:
+            self.share_sale_lines()
         return publish({name: getattr(self, name)() for name in self.REPORTS}, path, batch_id)

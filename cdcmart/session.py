@@ -37,16 +37,18 @@ def build_session(app: str = "cdcmart", master: str | None = None, **conf: str)
     return configure(builder.getOrCreate())
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession, *, scratch: bool = False) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Only a local session without one gets a folder of its own; on a cluster a
-    machine-local folder would be lost with the machine, so that is refused.
+    A folder that is not named is refused: a stream that is started again would not find its
+    progress. Only for data of one run (``scratch``) does a session on one machine get a
+    folder of its own.
     """
     context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", "") or context.getCheckpointDir()
     if not path:
-        if not context.master.startswith("local"):
+        one_machine = context.master == "local" or context.master.startswith("local[")
+        if not (scratch and one_machine):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         path = tempfile.mkdtemp(prefix="cdcmart-checkpoint-")
     if context.getCheckpointDir() is None:

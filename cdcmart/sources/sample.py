@@ -1,18 +1,20 @@
 """The star-schema sample tables seen as change tables of the shop.
 
 Every table is derived by Spark from whole sample tables; nothing is made up. The
-mapping is one row per key (version 0, nothing deleted), so the tables count as
-compacted. ``event_log`` and ``order_log`` give real change logs with several versions,
-deletes and defects.
+mapping is one row per key (version 0, nothing deleted), so ``tables`` count as
+compacted. ``histories`` tells the same rows as change tables: every row is created with
+other values, corrected and delivered twice, and one in ten has a neighbour that was
+deleted. ``event_log`` and ``order_log`` give raw change logs with several versions, deletes and defects.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cdcmart.functions.money import AMOUNT, MONEY, percent_of
 from cdcmart.functions.text import slug
@@ -66,10 +68,28 @@ class Sample:
         names = (
             "users", "regions", "provinces", "addresses", "categories", "brands", "products", "order_status",
             "payment_status", "shipping_status", "payment_methods", "shipping_methods", "ads_campaigns",
-            "discounts", "orders", "orderdetails", "transactions",
+            "discounts", "orders", "orderdetails", "transactions", "roles", "role_user", "tags", "product_tag",
+            "order_status_history",
         )
         return {name: partial(self._table, name) for name in names}
 
+    def histories(self) -> dict[str, Callable[[], DataFrame]]:
+        return {name: partial(self.history, name) for name in self.tables()}
+
+    def history(self, name: str) -> DataFrame:
+        """The table as changes of several versions whose current state are the table's rows."""
+        final = self._table(name)
+        numbers = [f.name for f in final.schema if isinstance(f.dataType, T.NumericType) and f.name[0] != "_" and f.name != "id"]
+        first = final.withColumns(
+            # Amounts and counts were one less; references were missing.
+            {c: F.lit(None).cast(final.schema[c].dataType) if c.endswith("_id") else (F.col(c) - 1).cast(final.schema[c].dataType) for c in numbers}
+        )
+        newest = final.withColumn("_version", F.lit(2).cast("bigint"))
+        gone = final.where(F.pmod(F.xxhash64("id"), F.lit(10)) == 0).withColumn("id", -F.col("id") - 1)
+        deleted = gone.withColumns({"_version": F.lit(3).cast("bigint"), "_deleted": F.lit(1)})
+        parts = [first.withColumn("_version", F.lit(1).cast("bigint")), newest, newest, gone, deleted]
+        return reduce(DataFrame.unionByName, parts)
+
     def _table(self, name: str) -> DataFrame:
         return getattr(self, name)().withColumns({"_version": F.lit(0).cast("bigint"), "_deleted": F.lit(0)})
 
@@ -312,6 +332,47 @@ class Sample:
             F.concat(F.lit("Payment for order #"), F.col("o_orderkey").cast("string")).alias("description"),
         )
 
+    def order_status_history(self) -> DataFrame:
+        """The creation of each order."""
+        return self.read("orders").select(
+            F.col("o_orderkey").alias("id"),
+            F.col("o_orderkey").alias("order_id"),
+            F.lit(1).cast("bigint").alias("order_status_id"),
+            F.lit(None).cast("bigint").alias("staff_id"),
+            F.concat(F.lit("Order #"), F.col("o_orderkey").cast("string"), F.lit(" created")).alias("comments"),
+            F.col("o_orderdate").cast("timestamp").alias("created_at"),
+        )
+
+    # roles and tags
+
+    def roles(self) -> DataFrame:
+        """Market segments as roles."""
+        segments = self.read("customer").select("c_mktsegment").distinct()
+        return segments.select(
+            text_id(F.col("c_mktsegment")).alias("id"),
+            F.col("c_mktsegment").alias("role_name"),
+            F.lower("c_mktsegment").alias("role_title"),
+        )
+
+    def role_user(self) -> DataFrame:
+        return self.read("customer").select(
+            F.col("c_custkey").alias("id"),
+            F.col("c_custkey").alias("user_id"),
+            text_id(F.col("c_mktsegment")).alias("role_id"),
+        )
+
+    def tags(self) -> DataFrame:
+        """Part sizes as tags."""
+        sizes = self.read("part").select(F.col("p_size").cast("bigint").alias("id")).distinct()
+        return sizes.select("id", F.concat(F.lit("size "), F.col("id").cast("string")).alias("tag_name"))
+
+    def product_tag(self) -> DataFrame:
+        return self.read("part").select(
+            F.col("p_partkey").alias("id"),
+            F.col("p_partkey").alias("product_id"),
+            F.col("p_size").cast("bigint").alias("tag_id"),
+        )
+
     # change logs
 
     def event_changes(self) -> DataFrame:

@@ -186,6 +186,96 @@ UNIQUE_COLUMNS: tuple[tuple[str, str], ...] = (
     ("shipping_methods", "shipping_method_name"),
 )
 
+# Fixed values: (table, column) pairs that must hold a value, without sensitive columns.
+REQUIRED_COLUMNS: tuple[tuple[str, str], ...] = (
+    ("users", "id"),
+    ("users", "username"),
+    ("users", "created_at"),
+    ("roles", "id"),
+    ("roles", "role_name"),
+    ("roles", "role_title"),
+    ("roles", "created_at"),
+    ("role_user", "id"),
+    ("role_user", "user_id"),
+    ("role_user", "role_id"),
+    ("role_user", "created_at"),
+    ("regions", "id"),
+    ("regions", "region_name"),
+    ("regions", "created_at"),
+    ("provinces", "id"),
+    ("provinces", "province_name"),
+    ("provinces", "region_id"),
+    ("provinces", "created_at"),
+    ("addresses", "id"),
+    ("addresses", "user_id"),
+    ("addresses", "province_id"),
+    ("addresses", "region_id"),
+    ("addresses", "created_at"),
+    ("categories", "id"),
+    ("categories", "category_name"),
+    ("categories", "created_at"),
+    ("brands", "id"),
+    ("brands", "brand_name"),
+    ("brands", "created_at"),
+    ("tags", "id"),
+    ("tags", "tag_name"),
+    ("tags", "created_at"),
+    ("products", "id"),
+    ("products", "product_name"),
+    ("products", "product_price"),
+    ("products", "unit_cost"),
+    ("products", "product_quantity"),
+    ("products", "created_at"),
+    ("product_tag", "id"),
+    ("product_tag", "product_id"),
+    ("product_tag", "tag_id"),
+    ("product_tag", "created_at"),
+    ("order_status", "id"),
+    ("order_status", "order_status_name"),
+    ("order_status", "created_at"),
+    ("payment_status", "id"),
+    ("payment_status", "payment_status_name"),
+    ("payment_status", "created_at"),
+    ("shipping_status", "id"),
+    ("shipping_status", "shipping_status_name"),
+    ("shipping_status", "created_at"),
+    ("payment_methods", "id"),
+    ("payment_methods", "payment_method_name"),
+    ("payment_methods", "created_at"),
+    ("shipping_methods", "id"),
+    ("shipping_methods", "shipping_method_name"),
+    ("shipping_methods", "created_at"),
+    ("ads_campaigns", "id"),
+    ("ads_campaigns", "campaign_title"),
+    ("discounts", "id"),
+    ("discounts", "type"),
+    ("discounts", "value"),
+    ("orders", "id"),
+    ("orders", "user_id"),
+    ("orders", "order_amount"),
+    ("orders", "discount_amount"),
+    ("orders", "total_amount"),
+    ("orders", "created_at"),
+    ("orders", "updated_at"),
+    ("orderdetails", "id"),
+    ("orderdetails", "order_id"),
+    ("orderdetails", "product_id"),
+    ("orderdetails", "quantity"),
+    ("orderdetails", "product_price"),
+    ("orderdetails", "product_tax"),
+    ("orderdetails", "subtotal_amount"),
+    ("orderdetails", "created_at"),
+    ("order_status_history", "id"),
+    ("order_status_history", "order_id"),
+    ("order_status_history", "order_status_id"),
+    ("order_status_history", "created_at"),
+    ("transactions", "id"),
+    ("transactions", "order_id"),
+    ("transactions", "transaction_type"),
+    ("transactions", "status"),
+    ("transactions", "created_at"),
+)
+
 # The operations a change may carry (create, update, delete, snapshot read).
 OPERATIONS = ("c", "u", "d", "r")
 

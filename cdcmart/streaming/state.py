@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def stream_current_state(changes: DataFrame, key: str = "id", version: str = "_version") -> DataFrame:
+def stream_current_state(
+    changes: DataFrame, key: str = "id", version: str | Sequence[str] = "_version"
+) -> DataFrame:
     """The newest row per key of an unbounded change stream, tombstones included.
 
     State is one row per key, however many changes arrive. Write it in update mode and
     drop ``_deleted`` rows when reading; a late older change never wins.
     """
-    newest = changes.groupBy(key).agg(F.max_by(F.struct("*"), version).alias("row"))
+    newest = changes.groupBy(key).agg(F.max_by(F.struct("*"), F.struct(*([version] if isinstance(version, str) else version))).alias("row"))
     return newest.select("row.*")

@@ -6,6 +6,8 @@ integer division; signs are split off before it.
 
 from __future__ import annotations
 
+from cdcmart.sources.specs import REQUIRED_COLUMNS, TABLES
+
 # Line and order level building blocks.
 LINES = """
 raw_lines AS (
@@ -182,8 +184,7 @@ step AS (
   SELECT *, CASE WHEN status = 'pending' THEN 2 ELSE 4 END AS next_id,
          CASE WHEN status = 'pending' THEN 'confirmed' ELSE 'delivered' END AS next,
          CASE WHEN status = 'pending' THEN 1 ELSE 4 END AS shipping_id, status = 'shipping' AND prio = 1 AS cash
-  FROM so WHERE status IN ('pending', 'shipping') ORDER BY order_id LIMIT 50
-)"""
+  FROM so WHERE status IN ('pending', 'shipping')  )"""
 NOW_SECONDS = "CAST(1706659200 AS BIGINT)"
 
 REASON = """CASE k WHEN 1 THEN 'invalid_json' WHEN 7 THEN 'invalid_json' WHEN 2 THEN 'missing_op'
@@ -223,6 +224,13 @@ _REFERENCES = [
     _reference("orderdetails.order_id", "orders", "ln", "order_id", "SELECT o_orderkey FROM orders"),
     _reference("orderdetails.product_id", "products", "ln", "product_id", "SELECT p_partkey FROM part"),
     _reference("transactions.order_id", "orders", "orders", "o_orderkey", "SELECT o_orderkey FROM orders"),
+    _reference("role_user.user_id", "users", "customer", "c_custkey", "SELECT c_custkey FROM customer"),
+    _reference("role_user.role_id", "roles", "customer", "c_mktsegment", "SELECT c_mktsegment FROM customer"),
+    _reference("product_tag.product_id", "products", "part", "p_partkey", "SELECT p_partkey FROM part"),
+    _reference("product_tag.tag_id", "tags", "part", "p_size", "SELECT p_size FROM part"),
+    _reference("order_status_history.order_id", "orders", "orders", "o_orderkey", "SELECT o_orderkey FROM orders"),
+    _reference("order_status_history.order_status_id", "order_status", "orders", "1", "SELECT status_id FROM od"),
+    _reference("order_status_history.staff_id", "users", "orders", "CAST(NULL AS BIGINT)", "SELECT c_custkey FROM customer"),
 ]
 
 
@@ -234,6 +242,10 @@ def _unique(name: str, rows: str, value: str) -> str:
 
 _UNIQUE = [
     _unique("users.username", "customer", "c_name"),
+    _unique("users.email", "customer", "c_name || '@example.com'"),
+    _unique("users.mobile", "customer", "CAST(c_custkey AS VARCHAR)"),
+    _unique("roles.role_name", "(SELECT DISTINCT c_mktsegment FROM customer)", "c_mktsegment"),
+    _unique("tags.tag_name", "(SELECT DISTINCT p_size FROM part)", "p_size"),
     _unique("provinces.province_name", "nation", "n_name"),
     _unique("categories.slug", "cs", "slug"),
     _unique("brands.brand_name", "(SELECT DISTINCT p_brand FROM part)", "p_brand"),
@@ -244,13 +256,84 @@ _UNIQUE = [
     _unique("shipping_methods.shipping_method_name", "(SELECT DISTINCT o_orderkey % 3 AS x FROM orders)", "x"),
 ]
 
-_NULLS = {
-    "id": "0", "user_id": "0", "staff_id": "count(*)", "address_id": "0", "order_amount": "0",
-    "discount_amount": "0", "total_amount": "0", "discount_id": "count(*) FILTER (prio = 5)",
-    "payment_method_id": "0", "payment_status_id": "0", "order_status_id": "0", "shipping_method_id": "0",
-    "shipping_status_id": "0", "shipped_at": "count(*)", "created_at": "0", "updated_at": "0",
+def _id(text: str) -> str:
+    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+
+
+def _seconds(time: str) -> str:
+    return f"epoch_us({time}) // 1000000"
+
+
+def _cents(amount: str) -> str:
+    return f"CAST({amount} AS DOUBLE) / 100.0"
+
+
+_SUB_NAME = "p_type || ' & Co, size ' || p_size"
+_PRICE = "CAST(round(p_retailprice * 100) AS BIGINT)"
+_BRAND = "CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS BIGINT)"
+
+
+def _listed(*names: str) -> str:
+    return f"(SELECT * FROM (VALUES {', '.join(f'({n}, {name!r})' for n, name in enumerate(names, 1))}) t(id, name))"
+
+
+# Table -> (its rows in the sample, column -> value); columns that are not here have none.
+_SOURCES: dict[str, tuple[str, dict[str, str]]] = {
+    "users": ("customer", {"id": "c_custkey", "username": "c_name", "created_at": "0"}),
+    "roles": ("(SELECT DISTINCT c_mktsegment AS s FROM customer)", {"id": _id("s"), "role_name": "s", "role_title": "lower(s)"}),
+    "role_user": ("customer", {"id": "c_custkey", "user_id": "c_custkey", "role_id": _id("c_mktsegment")}),
+    "regions": ("region", {"id": "r_regionkey", "region_name": "r_name"}),
+    "provinces": ("nation", {"id": "n_nationkey", "province_name": "n_name || ' '", "region_id": "n_regionkey", "created_at": "0"}),
+    "addresses": ("customer JOIN nation ON n_nationkey = c_nationkey",
+                  {"id": "c_custkey", "user_id": "c_custkey", "province_id": "c_nationkey", "region_id": "n_regionkey"}),
+    "categories": ("cs", {"id": "id", "category_name": "category_name", "category_id": "category_id", "slug": "slug"}),
+    "brands": ("(SELECT DISTINCT p_brand FROM part)", {"id": _BRAND, "brand_name": "p_brand"}),
+    "tags": ("(SELECT DISTINCT p_size FROM part)", {"id": "p_size", "tag_name": "'size ' || p_size"}),
+    "products": ("part", {"id": "p_partkey", "product_name": "p_name", "category_id": _id(_SUB_NAME), "brand_id": _BRAND,
+                          "product_price": _cents(_PRICE), "unit_cost": _cents(f"({_PRICE} * 60 + 50) // 100"), "created_at": "0"}),
+    "product_tag": ("part", {"id": "p_partkey", "product_id": "p_partkey", "tag_id": "p_size"}),
+    "order_status": ("(SELECT status_id, status, min(o_orderdate) AS o FROM od GROUP BY ALL)",
+                     {"id": "status_id", "order_status_name": "status || ' '", "created_at": _seconds("o")}),
+    "payment_status": (_listed("pending", "completed", "failed", "refunded"), {"id": "id", "payment_status_name": "name"}),
+    "shipping_status": (_listed("pending", "picked_up", "in_transit", "delivered", "returned"), {"id": "id", "shipping_status_name": "name"}),
+    "payment_methods": ("(SELECT DISTINCT prio, payment_method FROM so)", {"id": "prio", "payment_method_name": "payment_method"}),
+    "shipping_methods": ("(SELECT DISTINCT ship, shipping_method FROM so)", {"id": "ship", "shipping_method_name": "shipping_method"}),
+    "ads_campaigns": (_CAMPAIGN_ROWS, {"id": "p", "campaign_title": "'Campaign ' || p"}),
+    "discounts": (_CAMPAIGN_ROWS, {"id": "p", "adscampaign_id": "p", "type": "CASE p % 2 WHEN 1 THEN 'percent' ELSE 'amount' END",
+                                   "value": _cents("CASE p % 2 WHEN 1 THEN p * 500 ELSE p * 50000000 END")}),
+    "orders": ("od", {"id": "order_id", "user_id": "user_id", "address_id": "user_id", "order_amount": _cents("a_c"),
+                      "discount_amount": _cents("d_c"), "total_amount": _cents("a_c - d_c"), "discount_id": "CASE WHEN prio < 5 THEN prio END",
+                      "payment_method_id": "prio", "payment_status_id": "1", "order_status_id": "status_id",
+                      "shipping_method_id": "ship", "shipping_status_id": "1", "created_at": _seconds("o_orderdate"),
+                      "updated_at": _seconds("o_orderdate")}),
+    "orderdetails": ("ln", {"id": "id", "order_id": "order_id", "product_id": "product_id", "quantity": "quantity", "product_price": "price_c",
+                            "product_tax": "tax_c", "subtotal_amount": "sub_c", "created_at": "l_shipdate"}),
+    "order_status_history": ("orders", {"id": "o_orderkey", "order_id": "o_orderkey", "order_status_id": "1",
+                                        "comments": "'Order #' || o_orderkey || ' created'", "created_at": _seconds("o_orderdate")}),
+    "transactions": ("od", {"id": "order_id", "order_id": "order_id", "transaction_type": "'payment'",
+                            "status": "CASE prio WHEN 1 THEN 0 ELSE 1 END", "created_at": _seconds("o_orderdate"),
+                            "description": "'Payment for order #' || order_id"}),
+}
+
+# Kind -> what a missing value becomes, and the type of the result.
+_MISSING = {
+    "id": ("0", "BIGINT"), "id?": ("NULL", "BIGINT"), "int": ("0", "BIGINT"), "str": ("''", "VARCHAR"), "str?": ("NULL", "VARCHAR"),
+    "money": ("0", "DOUBLE"), "money?": ("NULL", "DOUBLE"), "float?": ("NULL", "DOUBLE"), "time": ("0", "BIGINT"),
+    "time?": ("NULL", "BIGINT"), "flag+": ("1", "BIGINT"),
 }
 
+
+def _typed(name: str) -> str:
+    rows, values = _SOURCES[name]
+    columns = [
+        f"CAST(coalesce({values.get(column, 'NULL')}, {_MISSING[kind][0]}) AS {_MISSING[kind][1]}) AS {column}"
+        for column, kind in TABLES[name].fields
+    ]
+    listed = ", ".join(columns)
+    return _with(LINES, CATEGORIES, select=f"""SELECT {listed}, CAST({values['id']} AS BIGINT) AS _version,
+      CAST(0 AS BIGINT) AS _deleted FROM {rows}""")
+
+
 ORACLE: dict[str, str] = {
     # sources
     "raw_event_counts": _with(EVENTS, select=f"""SELECT topic, CAST(0 AS BIGINT) AS kafka_partition,
@@ -399,6 +482,8 @@ ORACLE: dict[str, str] = {
         {_money("order_c - dis_c", "total_amount")}, CAST(1 AS BIGINT) AS order_status_id,
         CAST(1 AS BIGINT) AS shipping_status_id, CAST(CASE WHEN prio = 1 THEN 1 ELSE 2 END AS BIGINT)
           AS payment_status_id FROM pd WHERE line_count > 0"""),
+    "orders_rejected": _with(LINES, PRICED, select="""SELECT order_id, user_id, CAST(line_count AS BIGINT) AS line_count
+      FROM pd WHERE line_count = 0"""),
     "order_transactions": _with(LINES, PRICED, select="""SELECT order_id, 'payment' AS transaction_type,
         CAST(CASE WHEN prio = 1 THEN 0 ELSE 1 END AS BIGINT) AS status,
         CASE WHEN prio = 1 THEN 'Payment pending for order #' ELSE 'Payment for order #' END || order_id AS description
@@ -430,15 +515,20 @@ ORACLE: dict[str, str] = {
       CAST('0x' || substr(md5(p_type), 1, 15) AS BIGINT) AS category_id FROM part""",
     "dq_foreign_keys": _with(LINES, PRODUCTS, CATEGORIES, select=" UNION ALL ".join(_REFERENCES)),
     "dq_unique": _with(CATEGORIES, select=" UNION ALL ".join(_UNIQUE)),
-    "dq_not_null": _with(LINES, select=" UNION ALL ".join(
-        f"SELECT '{name}' AS column_name, CAST({count} AS BIGINT) AS null_count"
-        + (" FROM od" if "count" in count else "") for name, count in _NULLS.items())),
-    "dq_domain": "SELECT event_type AS value, count(*) AS row_count FROM events WHERE event_type = 'error' GROUP BY 1",
+    "dq_not_null": _with(LINES, CATEGORIES, select=" UNION ALL ".join(
+        f"SELECT '{table}.{column}' AS column_name, count(*) - count({_SOURCES[table][1].get(column, 'NULL')}) AS null_count"
+        f" FROM {_SOURCES[table][0]}" for table, column in REQUIRED_COLUMNS)),
+    **{f"typed_{name}": _typed(name) for name in TABLES if name not in ("users", "orderdetails")},
+    "dq_domain": """SELECT event_type AS value, count(*) AS row_count FROM events
+      WHERE event_type NOT IN ('purchase', 'error') GROUP BY 1""",
     "dq_orders_without_lines": "SELECT o_orderkey AS id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)",
     "latest_campaigns": f"""SELECT p AS id, 'Campaign ' || p AS campaign_title FROM {_CAMPAIGN_ROWS}
       ORDER BY p DESC LIMIT 3""",
-    "users_with_addresses": """SELECT c_custkey AS user_id, c_custkey AS address_id FROM customer
-      ORDER BY c_custkey LIMIT 50""",
+    "users_with_addresses": "SELECT c_custkey AS user_id, c_custkey AS address_id FROM customer",
     "leaf_categories": _with(CATEGORIES, select="SELECT id, category_name, category_id, slug FROM cs WHERE category_id IS NOT NULL"),
     "category_slug": _with(CATEGORIES, select="SELECT id, category_name, slug FROM cs"),
 }
+
+# Other ways to the same rows.
+ORACLE["report_overview_sales_compacted"] = ORACLE["report_overview_sales"]
+ORACLE["report_overview_sales_base"] = ORACLE["report_overview_sales_days"]

@@ -29,7 +29,15 @@ from cdcmart.session import configure
 from cdcmart.sources.changes import capture_raw, drop_sensitive, snapshot_as_changes, unwrap_envelope
 from cdcmart.sources.log import expire
 from cdcmart.sources.sample import Sample
-from cdcmart.sources.specs import FOREIGN_KEYS, QUARANTINE_DAYS, RAW_DAYS, TABLES, UNIQUE_COLUMNS
+from cdcmart.sources.specs import (
+    FOREIGN_KEYS,
+    QUARANTINE_DAYS,
+    RAW_DAYS,
+    REQUIRED_COLUMNS,
+    TABLES,
+    TRANSACTION_TYPES,
+    UNIQUE_COLUMNS,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,8 +74,8 @@ def query(run: Callable[[Sample], DataFrame], name: str | None = None) -> Callab
 
 
 def warehouse(sample: Sample, **options) -> Warehouse:
-    tables = sample.tables()
-    return Warehouse(sample.spark, tables, compacted=tables, **options)
+    """Over change tables with several versions per key, re-deliveries and deletes."""
+    return Warehouse(sample.spark, sample.histories(), **options)
 
 
 # --- sources --------------------------------------------------------------------------
@@ -162,6 +170,26 @@ def typed_lines(sample: Sample) -> DataFrame:
     return typed_bronze(sample.event_log(), TABLES["orderdetails"])
 
 
+def _typed(name: str, sample: Sample) -> DataFrame:
+    """A table's rows written to the log as its source would, and read back typed."""
+    rows = sample._table(name).drop("_version", "_deleted")
+    columns = []
+    for field in rows.schema.fields:
+        value = F.col(field.name)
+        if isinstance(field.dataType, T.TimestampType):
+            value = F.unix_millis(value)
+        elif isinstance(field.dataType, T.DecimalType):
+            value = value.cast("string")
+        columns.append(value.alias(field.name))
+    log = snapshot_as_changes(rows.select(*columns), name, F.lit(0), F.col("id"))
+    return typed_bronze(log, TABLES[name])
+
+
+for _name in TABLES:
+    if _name not in ("users", "orderdetails"):  # read by snapshot_union and typed_bronze
+        query(partial(_typed, _name), f"typed_{_name}")
+
+
 def _opened(sample: Sample) -> DataFrame:
     return wire.open_fields(sample.event_log(), ["product_price", "created_at"])
 
@@ -384,6 +412,30 @@ def report_overview_sales_days(sample: Sample) -> DataFrame:
     return warehouse(sample, days=SOME_DAYS).report_overview_sales()
 
 
+@query
+def report_overview_sales_compacted(sample: Sample) -> DataFrame:
+    """The sales report over tables that hold one row per key."""
+    tables = sample.tables()
+    return Warehouse(sample.spark, tables, compacted=tables).report_overview_sales()
+
+
+@query
+def report_overview_sales_base(sample: Sample) -> DataFrame:
+    """The sales report of a range of days over compacted tables and the changes since: every
+    seventh row is corrected late, and changes that came too late lose."""
+    tables = sample.tables()
+
+    def base(name: str) -> DataFrame:
+        return sample._table(name).withColumn("_version", F.lit(2).cast("bigint"))
+
+    def since(name: str) -> DataFrame:
+        return sample.history(name).where(F.pmod(F.xxhash64("id"), F.lit(7)) == 0)
+
+    made = {name: partial(base, name) for name in tables}
+    changes = {name: partial(since, name) for name in tables}
+    return Warehouse(sample.spark, changes, base=made, days=SOME_DAYS).report_overview_sales()
+
+
 @query
 def report_overview_orders(sample: Sample) -> DataFrame:
     return warehouse(sample).report_overview_orders()
@@ -444,7 +496,7 @@ def unit_cost_at_line(sample: Sample) -> DataFrame:
 
 def _bundle(sample: Sample) -> dict[str, DataFrame]:
     return order_ops.order_bundle(
-        _priced_orders(sample).where("line_count > 0"),
+        _priced_orders(sample),
         order_ops.price_lines(_unpriced(sample)),
         sample.payment_methods(),
         sample.payment_status(),
@@ -458,6 +510,12 @@ def order_headers(sample: Sample) -> DataFrame:
     return _bundle(sample)["orders"]
 
 
+@query
+def orders_rejected(sample: Sample) -> DataFrame:
+    """Headers without a line."""
+    return _bundle(sample)["rejected_orders"].select("order_id", "user_id", "line_count")
+
+
 @query
 def order_transactions(sample: Sample) -> DataFrame:
     return _bundle(sample)["transactions"]
@@ -540,25 +598,35 @@ def resolve_parent_key(sample: Sample) -> DataFrame:
     return quality.resolve_parent(parts, parents, "parent_name", "category_name", "category_id", "id")
 
 
+def _made(sample: Sample) -> dict[str, DataFrame]:
+    return {name: make() for name, make in sample.tables().items()}
+
+
 @query
 def dq_foreign_keys(sample: Sample) -> DataFrame:
-    return quality.foreign_key_report({name: make() for name, make in sample.tables().items()}, FOREIGN_KEYS)
+    return quality.foreign_key_report(_made(sample), FOREIGN_KEYS)
 
 
 @query
 def dq_unique(sample: Sample) -> DataFrame:
-    return quality.unique_report({name: make() for name, make in sample.tables().items()}, UNIQUE_COLUMNS)
+    """Users also have the columns that are not captured, as their source table has."""
+    users = _customers(sample).select("id", "username", "email", "mobile")
+    return quality.unique_report(_made(sample) | {"users": users}, UNIQUE_COLUMNS)
 
 
 @query
 def dq_not_null(sample: Sample) -> DataFrame:
-    orders = sample._table("orders")
-    return quality.null_report(orders, [name for name, _ in TABLES["orders"].fields])
+    """Required columns of all tables; columns that the sample has no values for are NULL."""
+    tables = {name: state.align_schema(rows, TABLES[name]) for name, rows in _made(sample).items()}
+    return quality.null_report(tables, REQUIRED_COLUMNS)
 
 
 @query
 def dq_domain(sample: Sample) -> DataFrame:
-    return quality.outside_domain(sample.read("events"), "event_type", ("click", "view", "purchase", "signup"))
+    """Events as transactions: purchases pay, errors refund; the other kinds are not allowed."""
+    kind = F.when(F.col("event_type") == "purchase", "payment").when(F.col("event_type") == "error", "refund")
+    rows = sample.read("events").select(F.coalesce(kind, "event_type").alias("transaction_type"))
+    return quality.outside_domain(rows, "transaction_type", TRANSACTION_TYPES)
 
 
 @query
