@@ -55,7 +55,7 @@ def text_key(text: Column) -> Column:
 def cut_lineage(frame: DataFrame) -> DataFrame:
     """Written to the shared checkpoint folder and read back."""
     ship(frame.sparkSession)
-    checkpoint_dir(frame.sparkSession)
+    checkpoint_dir(frame.sparkSession, scratch=True)
     return frame.checkpoint()
 
 
