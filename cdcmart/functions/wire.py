@@ -24,18 +24,19 @@ def json_valid(payload: Column) -> Column:
     return F.coalesce(F.get(F.from_json(wrapped, "array<string>", STRICT), F.lit(1)) == F.md5(payload), F.lit(False))
 
 
-def _open(log: DataFrame, element: str) -> DataFrame:
-    """Add ``_json``: the payload read as ``element`` if it is one complete JSON object.
+def open_as(log: DataFrame, element: str, column: str = "payload") -> DataFrame:
+    """Add ``_json``: ``column`` read as ``element`` if it is one complete JSON object.
+    ``element`` is a map, or a struct that has the field ``MARK``.
 
     Parse and check sit in one-element explodes because Spark moves filters below
     projections by copying the projected expressions into the filter; a filter on
     several fields would parse once per field. It is not moved below an explode.
     """
-    digested = log.withColumn("_digest", F.md5("payload"))
+    digested = log.withColumn("_digest", F.md5(column))
     end = F.concat(F.lit(f',{{"{MARK}":"'), F.col("_digest"), F.lit('"}]'))
-    pair = F.from_json(F.concat(F.lit("["), F.col("payload"), end), f"array<{element}>", STRICT)
+    pair = F.from_json(F.concat(F.lit("["), F.col(column), end), f"array<{element}>", STRICT)
     opened = digested.select("*", F.explode(F.array(pair)).alias("_pair"))
-    complete = F.get("_pair", F.lit(1))[MARK] == F.col("_digest")
+    complete = F.get("_pair", F.lit(1))[MARK].cast("string") == F.col("_digest")
     checked = opened.select("*", F.explode(F.array(F.when(complete, F.get("_pair", F.lit(0))))).alias("_json"))
     return checked.drop("_pair", "_digest")
 
@@ -43,12 +44,12 @@ def _open(log: DataFrame, element: str) -> DataFrame:
 def open_fields(log: DataFrame, names: Iterable[str]) -> DataFrame:
     """Add ``_json``, a struct of the named fields as text (NULL when absent or null);
     the struct itself is NULL if the payload is not one JSON object."""
-    return _open(log, "struct<" + ", ".join(f"`{name}` string" for name in (*names, MARK)) + ">")
+    return open_as(log, "struct<" + ", ".join(f"`{name}` string" for name in (*names, MARK)) + ">")
 
 
 def open_object(log: DataFrame) -> DataFrame:
     """Add ``_json``, a map of all fields as text; a field holding null is present."""
-    return _open(log, "map<string,string>")
+    return open_as(log, "map<string,string>")
 
 
 def decimal_or_null(text: Column) -> Column:

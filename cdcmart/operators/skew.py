@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 
 SAMPLE = 1024  # one row in this many is looked at, chosen by a hash of its id
 SEEN = 64  # sampled rows that make a key hot: about 65,000 rows of the whole
-HOT_KEYS = 1000  # upper bound of the broadcast; a colder key holds under a thousandth
-SMALL = 256 * 1024 * 1024  # tables up to this size cannot overload one task
+HOT_KEYS = 50_000  # upper bound of the broadcast; a colder key holds under a 50,000th of all rows
 GROWTH = 4  # how much wider a lookup table may be than the tables it is read from
 UNKNOWN = 1 << 62
 
@@ -42,37 +41,58 @@ def _source_bytes(df: DataFrame) -> int:
     return total
 
 
-def is_small(df: DataFrame, limit: int | None = None) -> bool:
-    """Small enough that even all of its rows on one key are harmless."""
-    return estimated_bytes(df) <= (SMALL if limit is None else limit)
+def _threshold(table: DataFrame) -> int:
+    text = table.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().rstrip("b")
+    return int(text.rstrip("kmg")) * {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(text[-1:], 1)
 
 
 def fits_broadcast(table: DataFrame) -> bool:
-    """Whether a lookup table is surely below the session's broadcast threshold.
+    """Whether a lookup table is below the session's broadcast threshold, by Spark's
+    estimate or surely (see ``hinted``)."""
+    limit = _threshold(table)
+    return limit > 0 and (estimated_bytes(table) <= limit or _source_bytes(table) * GROWTH <= limit)
+
 
-    Spark estimates a join as the product of its sides. Lookup tables are made by adding
-    columns of small tables to another one, never rows, so they cannot outgrow a few
-    times the tables they are read from; that is the second, tighter check.
+def hinted(table: DataFrame) -> DataFrame:
+    """A lookup table as the side of a join, with a broadcast hint where that is safe.
+
+    Below the threshold by Spark's own estimate no hint is given: Spark broadcasts by
+    itself and can still change its mind when the real size shows. But Spark estimates a join
+    as the product of its sides. Lookup tables are made by adding columns of small tables to
+    another one, never rows, so they cannot outgrow a few times the files that they are
+    read from; where that is below the threshold, the hint cannot go wrong.
     """
-    text = table.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().rstrip("b")
-    limit = int(text.rstrip("kmg")) * {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(text[-1:], 1)
-    return limit > 0 and (estimated_bytes(table) <= limit or _source_bytes(table) * GROWTH <= limit)
+    limit = _threshold(table)
+    if limit > 0 and estimated_bytes(table) > limit and _source_bytes(table) * GROWTH <= limit:
+        return F.broadcast(table)
+    return table
+
 
+def hot_keys(
+    df: DataFrame,
+    keys: Sequence[str],
+    row_id: Sequence[str],
+    *,
+    sample: int | None = None,
+    seen: int | None = None,
+    limit: int | None = None,
+) -> DataFrame:
+    """At most ``limit`` keys, hottest first, found in a sample of one row in ``sample``.
 
-def hot_keys(df: DataFrame, keys: Sequence[str], row_id: Sequence[str]) -> DataFrame:
-    """At most ``HOT_KEYS`` keys, hottest first, found in a sample.
+    A key is hot from about ``sample`` * ``seen`` rows on, which should be what a task can well
+    take; the defaults are ``SAMPLE``, ``SEEN`` and ``HOT_KEYS``.
 
     The sample is a function of the row's own id, so every evaluation of the plan,
     also after a lost executor, finds the same keys.
     """
-    sampled = df.where(F.pmod(F.xxhash64(*row_id), F.lit(SAMPLE)) == 0)
+    sampled = df.where(F.pmod(F.xxhash64(*row_id), F.lit(sample or SAMPLE)) == 0)
     return (
         sampled.dropna(subset=list(keys))
         .groupBy(*keys)
         .agg(F.count("*").alias("_seen"))
-        .where(F.col("_seen") >= SEEN)
+        .where(F.col("_seen") >= (seen or SEEN))
         .orderBy(F.desc("_seen"), *keys)
-        .limit(HOT_KEYS)
+        .limit(limit or HOT_KEYS)
         .select(*keys)
     )
 
@@ -99,7 +119,7 @@ def lookup_join(
     adaptive execution is free to split the rows of an overfull partition among tasks.
     """
     _, side, on = _sides(rows, table, keys, columns)
-    side = F.broadcast(side) if fits_broadcast(side) else side
+    side = hinted(side)
     return rows.join(side, on, how).select(*rows.columns, *[F.col(f"_v_{name}").alias(name) for name in columns])
 
 
@@ -121,11 +141,10 @@ def spread_lookup_join(
 
     Hot keys are looked for in ``keys_from`` (default ``rows``), which is read a second
     time, key and id columns only: pass the base table when ``rows`` is the result of
-    work that should not be repeated. Few rows, or a table small enough to broadcast,
-    need none of this.
+    work that should not be repeated. A table small enough to broadcast needs none of this.
     """
     key_names, side, on = _sides(rows, table, keys, columns)
-    if is_small(rows) or fits_broadcast(side):
+    if fits_broadcast(side):
         return lookup_join(rows, table, keys, columns, how)
     hot = hot_keys(rows if keys_from is None else keys_from, list(keys), row_id).toDF(*key_names)
     hot_side = side.join(F.broadcast(hot), key_names, "left_semi").select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cdcmart.functions.money import AMOUNT, MONEY, TOTAL, exact_ratio_round
 from cdcmart.functions.time import business_date, in_business_days
-from cdcmart.operators.skew import fits_broadcast, hot_keys, is_small, lookup_join, rank_descending, spread_lookup_join
+from cdcmart.operators.skew import fits_broadcast, hinted, hot_keys, lookup_join, rank_descending, spread_lookup_join
 
 # The calendar runs from 2000-01-01 to 2099-12-31.
 CALENDAR_START = "2000-01-01"
@@ -104,7 +104,7 @@ def sales_line_base(heads: DataFrame, order_items: DataFrame) -> DataFrame:
     """Lines of delivered orders with the order's attributes."""
     attributes = {name: name for name in ORDER_COLUMNS if name != "order_id"}
     lines = order_items.select("order_id", *LINE_COLUMNS)
-    joined = spread_lookup_join(lines, heads, {"order_id": "order_id"}, attributes, ["order_item_id", "order_id"], "inner")
+    joined = spread_lookup_join(lines, heads, {"order_id": "order_id"}, attributes, ["order_item_id"], "inner")
     return joined.select(*ORDER_COLUMNS, *LINE_COLUMNS)
 
 
@@ -124,7 +124,7 @@ def _by_window(heads: DataFrame, lines: DataFrame, ranked: bool) -> DataFrame:
     filter on the date pass below the window.
     """
     order = Window.partitionBy("order_id", "date_key")
-    heads = F.broadcast(heads) if fits_broadcast(heads) else heads.hint("merge")
+    heads = hinted(heads) if fits_broadcast(heads) else heads.hint("merge")
     shares = heads.join(lines, "order_id").withColumn("preliminary_discount", _share())
     rank = F.row_number().over(order.orderBy(F.col("order_item_id").desc())).cast("bigint")
     return shares.select(
@@ -154,9 +154,8 @@ def _by_totals(heads: DataFrame, lines: DataFrame, hot: DataFrame, ranked: bool)
 
 def _shares(heads: DataFrame, order_items: DataFrame, ranked: bool) -> DataFrame:
     lines = order_items.select("order_id", *LINE_COLUMNS)
-    if is_small(lines):
-        return _by_window(heads, lines, ranked)
-    hot = hot_keys(lines, ["order_id"], ["order_item_id", "order_id"])
+    # By the line's own id alone: the sample is then taken before the newest versions are picked.
+    hot = hot_keys(lines, ["order_id"], ["order_item_id"])
     ordinary = _by_window(heads, lines.join(F.broadcast(hot), "order_id", "left_anti"), ranked)
     crowded = _by_totals(heads, lines.join(F.broadcast(hot), "order_id", "left_semi"), hot, ranked)
     return ordinary.unionByName(crowded)

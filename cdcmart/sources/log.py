@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,15 +16,16 @@ COMMITS = "_commits"
 def write_log(log: DataFrame, path: str, time_column: str, batch_id: int) -> None:
     """One batch of an append-only log, by month, in (topic, partition, offset) order.
 
-    Every batch owns a folder, so a batch that is run again after a failure replaces
-    its own files and nothing else.
+    Within a month every batch owns a folder, so a batch that is run again after a failure
+    replaces its own files and nothing else, and a month is one folder to drop.
     """
     (
-        log.withColumn("month", month_key(F.col(time_column)))
+        log.withColumns({"month": month_key(F.col(time_column)), "batch_id": F.lit(batch_id)})
         .sortWithinPartitions("month", "topic", "kafka_partition", "kafka_offset")
         .write.mode("overwrite")
-        .partitionBy("month")
-        .parquet(f"{path}/batch_id={batch_id}")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("month", "batch_id")
+        .parquet(path)
     )
 
 
@@ -39,6 +41,26 @@ def expire(log: DataFrame, time_column: str, days: int, now: Column) -> DataFram
     return kept
 
 
+def drop_expired(spark: SparkSession, path: str, days: int, now: dt.datetime) -> list[int]:
+    """Delete the months of a log that lie wholly before the retention period; their keys.
+
+    Only folders go, no file is read or written anew. Readers that apply ``expire``, as they
+    must for the boundary month, never look into such a folder, so they are not
+    disturbed. Run again, it finds nothing.
+    """
+    oldest = now - dt.timedelta(days=days)
+    boundary = oldest.year * 100 + oldest.month
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    dropped = []
+    for status in system.listStatus(root) if system.exists(root) else []:
+        name = status.getPath().getName()
+        if name.startswith("month=") and name[6:].isdigit() and int(name[6:]) < boundary:
+            system.delete(status.getPath(), True)
+            dropped.append(int(name[6:]))
+    return sorted(dropped)
+
+
 def publish(frames: Mapping[str, DataFrame], path: str, batch_id: int) -> bool:
     """Write several tables as one unit: readers see all of them or none.
 

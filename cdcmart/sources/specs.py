@@ -27,7 +27,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 TOPIC_PREFIX = "shop.public"
-BROKEN_LIMIT = 100  # malformed messages tolerated per table and batch
 
 
 @dataclass(frozen=True)

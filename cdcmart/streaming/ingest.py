@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -15,50 +14,46 @@ from cdcmart.operators.quarantine import quarantine
 from cdcmart.operators.skew import lookup_join
 from cdcmart.operators.state import current_state
 from cdcmart.session import checkpoint_dir
-from cdcmart.sources.changes import capture_raw, table_changes
-from cdcmart.sources.log import write_log
-from cdcmart.sources.specs import BROKEN_LIMIT, TableSpec
+from cdcmart.sources.changes import capture_raw, protect, table_changes
+from cdcmart.sources.log import publish, read_published, write_log
+from cdcmart.sources.specs import TableSpec
 
-
-class TooManyBroken(RuntimeError):
-    """A batch holds more unreadable messages than tolerated."""
+TYPED = "typed"
 
 
-class SeveralPartitions(RuntimeError):
-    """Offsets of several partitions cannot order the changes of a key."""
+class TooManyBroken(RuntimeError):
+    """A batch holds a larger share of unreadable messages than tolerated."""
 
 
 def write_typed_batch(
-    batch: DataFrame, batch_id: int, spec: TableSpec, path: str, broken_limit: int = BROKEN_LIMIT
+    batch: DataFrame, batch_id: int, spec: TableSpec, path: str, broken_limit: tuple[int, float] | None = None
 ) -> None:
-    """Append the readable changes of one batch; nothing is written if the batch fails.
+    """Add the readable changes of one batch, with what orders them across partitions.
 
-    The checks come first, because a batch beyond the limit must leave no trace; the
-    parsed batch is kept for the write. The batch owns its folder: a rerun after a
-    failure replaces it.
+    Unreadable messages are left out here; ``ingest_raw`` keeps them in the raw log and in
+    the quarantine, with their reason. So a broken message stops nothing, however
+    many there are. With a ``broken_limit`` (rows, per cent) a batch that exceeds both is
+    refused before anything is written: for loads that somebody watches. The batch becomes
+    visible with its commit record, written last; a batch that is run again changes nothing.
     """
-    typed = typed_with_status(batch, spec, keep=("partition",)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        broken, partition = typed.agg(F.count_if("_broken"), F.max("partition")).first()
-        if (partition or 0) > 0:
-            raise SeveralPartitions(f"{spec.topic}: version by source time, partition and offset instead")
-        if broken > broken_limit:
-            raise TooManyBroken(f"{spec.topic}: {broken} unreadable messages, {broken_limit} tolerated")
-        rows = typed.where(~F.col("_broken")).drop("_broken", "_source_ts_ms", "partition")
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-    finally:
-        typed.unpersist()
+    typed = typed_with_status(protect(batch), spec, keep=("partition",))
+    if broken_limit is not None:
+        broken, total = typed.agg(F.count_if("_broken"), F.count("*")).first()
+        if broken > max(broken_limit[0], total * broken_limit[1] / 100):
+            raise TooManyBroken(f"{spec.topic}: {broken} of {total} messages are unreadable, tolerated are {broken_limit}")
+    publish({TYPED: typed.where(~F.col("_broken")).drop("_broken")}, path, batch_id)
 
 
 def write_raw_batch(batch: DataFrame, batch_id: int, raw_path: str, quarantine_path: str) -> None:
-    """Every payload to the raw log, the defective ones also to the quarantine.
+    """Every payload to the raw log, the defective ones also to the quarantine, both
+    without sensitive values. Events whose fields do not fit their table are defective too.
 
     The time is taken once per batch, so both logs agree on it.
     """
     now = F.lit(dt.datetime.now(dt.timezone.utc))
-    raw = capture_raw(batch, now)
+    raw = capture_raw(protect(batch), now)
     write_log(raw, raw_path, "ingested_at", batch_id)
-    write_log(quarantine(raw, now), quarantine_path, "detected_at", batch_id)
+    write_log(quarantine(raw, now, type_errors=True), quarantine_path, "detected_at", batch_id)
 
 
 def _start(
@@ -77,7 +72,7 @@ def ingest_table(
     spec: TableSpec,
     path: str,
     *,
-    broken_limit: int = BROKEN_LIMIT,
+    broken_limit: tuple[int, float] | None = None,
     once: bool = False,
     checkpoint: str | None = None,
 ) -> StreamingQuery:
@@ -101,8 +96,11 @@ def ingest_raw(
 
 
 def read_typed(spark: SparkSession, path: str) -> DataFrame:
-    """A typed change table written by ``ingest_table``."""
-    return spark.read.parquet(path).drop("batch_id")
+    """The committed batches of a typed change table written by ``ingest_table``.
+
+    For topics of several partitions order its changes by ``state.SEVERAL_PARTITIONS``.
+    """
+    return read_published(spark, path, TYPED)
 
 
 def snapshot_costs(lines: DataFrame, product_changes: DataFrame) -> DataFrame:

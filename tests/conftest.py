@@ -46,7 +46,6 @@ def crowded(spark, monkeypatch):
     """Treat every table as large and every repeated key as hot."""
     from cdcmart.operators import skew
 
-    monkeypatch.setattr(skew, "SMALL", -1)
     monkeypatch.setattr(skew, "SAMPLE", 1)
     monkeypatch.setattr(skew, "SEEN", 5)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cdcmart.operators.state import align_schema, compact, current_state
 from cdcmart.session import RUNTIME, checkpoint_dir
-from cdcmart.sources.log import expire, publish, read_published, save_bucketed, write_log
+from cdcmart.sources.log import drop_expired, expire, publish, read_published, save_bucketed, write_log
 from cdcmart.sources.specs import QUARANTINE_DAYS, RAW_DAYS, TABLES
 
 NOW = dt.datetime(2024, 3, 4, 12, tzinfo=dt.timezone.utc)
@@ -35,6 +35,11 @@ def test_log_is_partitioned_and_expired_by_month(spark, tmp_path):
     kept = expire(log, "ingested_at", RAW_DAYS, F.lit(NOW))
     assert kept.count() == 2
     assert "PartitionFilters: [isnotnull(month" in kept._jdf.queryExecution().toString()
+    # January lies wholly before the retention period; the boundary month stays, filtered.
+    assert drop_expired(spark, path, RAW_DAYS, NOW) == [202401] and drop_expired(spark, path, RAW_DAYS, NOW) == []
+    assert not (tmp_path / "raw" / "month=202401").exists()
+    log = spark.read.parquet(path)
+    assert log.count() == 3 and expire(log, "ingested_at", RAW_DAYS, F.lit(NOW)).count() == 2
 
 
 def test_publish_is_all_or_nothing(spark, tmp_path):

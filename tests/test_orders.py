@@ -71,9 +71,16 @@ def test_bundle(spark, lookups, method, status, paid):
     assert rows(bundle["order_status_history"]) == [(1, 1, "Order #1 created")]
 
 
-def test_order_without_line_is_an_error(spark, lookups):
-    with pytest.raises(Exception, match="order 1 has no line"):
-        orders.order_bundle(*priced(spark, None, lines=0), **lookups)["orders"].collect()
+def test_headers_without_line_and_lines_without_header_are_rejected(spark, lookups):
+    header, line = priced(spark, None)
+    empty = header.withColumns({"order_id": F.lit(2).cast("bigint"), "line_count": F.lit(0).cast("bigint")})
+    stray = line.withColumn("order_id", F.lit(3).cast("bigint"))
+    bundle = orders.order_bundle(header.unionByName(empty), line.unionByName(stray), **lookups)
+    assert [r.order_id for r in bundle["orders"].collect()] == [1]
+    assert [r.order_id for r in bundle["orderdetails"].collect()] == [1]
+    assert [r.order_id for r in bundle["transactions"].collect()] == [1]
+    assert [r.order_id for r in bundle["rejected_orders"].collect()] == [2]
+    assert [r.order_id for r in bundle["rejected_lines"].collect()] == [3]
 
 
 def test_lifecycle(spark, lookups):
@@ -148,11 +155,18 @@ def test_reports_find_violations(spark):
         "brands": spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, None)], "id bigint, brand_name string"),
         "products": spark.createDataFrame([(1, 1), (2, 9), (3, 9), (4, None)], "id bigint, brand_id bigint"),
     }
-    foreign = quality.foreign_key_report(tables, [("products", "brand_id", "brands"), ("orders", "user_id", "users")])
+    foreign = quality.foreign_key_report(tables, [("products", "brand_id", "brands")])
     assert rows(foreign) == [("products.brand_id", "brands", 4, 1, 2)]
-    unique = quality.unique_report(tables, [("brands", "brand_name"), ("users", "email")])
+    with pytest.raises(ValueError, match="orders.user_id"):
+        quality.foreign_key_report(tables, [("products", "brand_id", "brands"), ("orders", "user_id", "users")])
+    with pytest.raises(ValueError, match="users.email"):
+        quality.unique_report(tables, [("brands", "brand_name"), ("users", "email")])
+    unique = quality.unique_report(tables, [("brands", "brand_name")])
     assert rows(unique) == [("brands.brand_name", 1, 1, 1)]
-    assert rows(quality.null_report(tables["brands"], ["id", "brand_name"])) == [("brand_name", 2), ("id", 0)]
+    nulls = quality.null_report(tables, [("brands", "id"), ("brands", "brand_name"), ("products", "brand_id")])
+    assert rows(nulls) == [("brands.brand_name", 2), ("brands.id", 0), ("products.brand_id", 1)]
+    with pytest.raises(ValueError, match="brands.color"):
+        quality.null_report(tables, [("brands", "color")])
     assert rows(quality.outside_domain(tables["brands"], "brand_name", ("b",))) == [("a", 2), (None, 2)]
 
 

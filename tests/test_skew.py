@@ -90,6 +90,6 @@ def test_one_order_with_a_third_of_all_lines(spark, crowded):
         "0L as campaign_key", "order_amount", "cast(0.37 as decimal(15,2)) as discount_amount",
     )
     split = rows(gold.sales_line_measured(heads, lines))
-    skew.SMALL = 1 << 40
+    skew.SEEN = 1 << 40
     plain = rows(gold.sales_line_measured(heads, lines))
     assert split == plain and len(split) == 3000

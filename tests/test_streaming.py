@@ -1,11 +1,15 @@
 """Ingestion as a stream: restarts, broken rows, raw log, live state."""
 
+from types import SimpleNamespace
+
 import pytest
 from conftest import rows
 from shop import Shop
 
 from cdcmart.operators.bronze import typed_bronze
-from cdcmart.operators.state import current_state
+from cdcmart.operators.state import SEVERAL_PARTITIONS, compact, current_state
+from cdcmart.plans.warehouse import Warehouse
+from cdcmart.session import checkpoint_dir
 from cdcmart.sources.changes import read_changes, table_changes
 from cdcmart.sources.specs import TABLES
 from cdcmart.streaming import ingest
@@ -50,7 +54,7 @@ def test_restart_loses_and_repeats_nothing(spark, folders):
     assert sorted(r._version for r in typed.collect()) == [0, 1, 2, 3, 4]
     assert rows(current_state(typed).select("id", "username")) == [(1, "u1"), (2, "new")]
     batch = typed_bronze(table_changes(read_changes(spark, source), USERS), USERS)
-    assert rows(current_state(batch)) == rows(current_state(typed))
+    assert rows(current_state(batch)) == rows(current_state(typed).select(*batch.columns))
 
 
 def test_batch_run_again_replaces_itself(spark, folders):
@@ -62,29 +66,50 @@ def test_batch_run_again_replaces_itself(spark, folders):
     assert ingest.read_typed(spark, target).count() == 1
 
 
-@pytest.mark.parametrize("broken", [100, 101])
-def test_broken_rows_are_skipped_up_to_the_limit(spark, folders, broken):
-    _, target = folders
+@pytest.mark.parametrize("broken", [99, 101])
+def test_broken_rows_stop_nothing_unless_a_limit_is_asked_for(spark, folders, broken):
+    source, target = folders
     shop = Shop()
     shop.change("users", id=1, username="a", created_at=0)
     for _ in range(broken):
-        shop.raw("users", '{"id":"n/a"}')
-    if broken <= 100:
-        ingest.write_typed_batch(shop.log(spark), 0, USERS, target)
-        assert ingest.read_typed(spark, target).count() == 1
-    else:
+        shop.raw("users", '{"id":"n/a","__op":"c","__table":"users","__source_ts_ms":1}')
+    frame = shop.log(spark)
+    if broken > 100:
         with pytest.raises(ingest.TooManyBroken):
-            ingest.write_typed_batch(shop.log(spark), 0, USERS, target)
+            ingest.write_typed_batch(frame, 0, USERS, target, broken_limit=(100, 1.0))
         with pytest.raises(Exception, match="PATH_NOT_FOUND"):
             ingest.read_typed(spark, target)
-
-
-def test_several_partitions_are_refused(spark, folders):
-    shop = Shop()
-    shop.change("users", id=1, username="a", created_at=0)
-    shop.records = [(topic, 1, offset, payload) for topic, _, offset, payload in shop.records]
-    with pytest.raises(ingest.SeveralPartitions):
-        ingest.write_typed_batch(shop.log(spark), 0, USERS, folders[1])
+    ingest.write_typed_batch(frame, 0, USERS, target)
+    assert ingest.read_typed(spark, target).count() == 1
+    ingest.write_raw_batch(frame, 0, f"{target}-raw", f"{target}-quarantine")
+    bad = spark.read.parquet(f"{target}-quarantine")
+    assert bad.count() == broken and {r.reason for r in bad.collect()} == {"type_error"}
+    shop.change("users", id=2, username="b", created_at=0)
+    append(spark, shop, source)
+    run(ingest.ingest_table(stream(spark, source), USERS, target + "-2", once=True, checkpoint=target + "-progress"))
+    assert ingest.read_typed(spark, target + "-2").count() == 2
+
+
+def test_changes_of_several_partitions_are_ordered_by_source_time(spark, folders):
+    def payload(name, time):
+        return f'{{"id":1,"username":"{name}","__op":"u","__source_ts_ms":{time}}}'
+
+    records = [(USERS.topic, 0, 900, payload("old", 10)), (USERS.topic, 1, 3, payload("new", 20))]
+    schema = "topic string, `partition` int, `offset` bigint, payload string"
+    ingest.write_typed_batch(spark.createDataFrame(records, schema), 0, USERS, folders[1])
+    typed = ingest.read_typed(spark, folders[1])
+    assert current_state(typed, "id", SEVERAL_PARTITIONS).first().username == "new"
+    assert compact(typed, "id", SEVERAL_PARTITIONS).count() == 1
+    assert Warehouse(spark, {"users": typed}, version=SEVERAL_PARTITIONS).users().first().username == "new"
+
+
+@pytest.mark.parametrize(("master", "scratch"), [("local[4]", False), ("spark://host:7077", True)])
+def test_a_checkpoint_folder_must_be_named(master, scratch):
+    """Also on one machine, but for the data of one run."""
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+    session = SimpleNamespace(sparkContext=context, conf={})
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(session, scratch=scratch)
 
 
 def test_raw_log_and_quarantine(spark, folders):
