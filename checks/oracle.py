@@ -187,9 +187,45 @@ step AS (
   FROM so WHERE status IN ('pending', 'shipping')  )"""
 NOW_SECONDS = "CAST(1706659200 AS BIGINT)"
 
-REASON = """CASE k WHEN 1 THEN 'invalid_json' WHEN 7 THEN 'invalid_json' WHEN 2 THEN 'missing_op'
-  WHEN 8 THEN 'missing_op' WHEN 3 THEN 'invalid_op' WHEN 4 THEN 'invalid_op' WHEN 5 THEN 'missing_table'
-  WHEN 6 THEN 'missing_source_ts' END"""
+# The log's texts, written once more, and what DuckDB's own JSON functions read in them.
+PAYLOADS = """
+texts AS (
+  SELECT *, '"id":' || event_id || ',"order_id":' || user_id || ',"product_id":7,"quantity":' || (event_id % 5 + 1)
+      || ',"created_at":' || millis AS body,
+    ',"product_price":"' || price || '","unit_cost_at_order":"' || price || '"' AS money,
+    ',"__op":"' || CASE WHEN event_type = 'error' THEN 'd' ELSE 'c' END
+      || '","__table":"orderdetails","__source_ts_ms":' || millis AS envelope
+  FROM (SELECT *, epoch_us(ts) // 1000 AS millis,
+          (cents - cents % 100) // 100 || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') AS price FROM ev)
+),
+payloads AS (
+  SELECT *, CASE k
+    WHEN 1 THEN '{bad ' || event_id
+    WHEN 2 THEN '{' || body || '}'
+    WHEN 3 THEN '{' || body || ',"__op":"x","__table":"orderdetails","__source_ts_ms":1}'
+    WHEN 4 THEN '{' || body || ',"__op":null}'
+    WHEN 5 THEN '{' || body || ',"__op":"u"}'
+    WHEN 6 THEN '{' || body || ',"__op":"u","__table":"orderdetails"}'
+    WHEN 7 THEN '{' || body || money || envelope || '} tail'
+    WHEN 8 THEN CAST(event_id AS VARCHAR)
+    WHEN 9 THEN '{' || body || ',"product_price":"abc","unit_cost_at_order":"abc"' || envelope || '}'
+    WHEN 10 THEN '{' || body || ',"product_price":null,"unit_cost_at_order":null' || envelope || '}'
+    WHEN 11 THEN '{"id":"n/a",' || '"quantity":1' || money || envelope || '}'
+    ELSE '{' || body || money || envelope || '}' END AS payload
+  FROM texts
+),
+read AS (
+  SELECT *, CASE WHEN json_valid(payload) AND json_type(payload) = 'OBJECT' THEN CAST(payload AS JSON) END AS doc FROM payloads
+),
+fields AS (
+  SELECT *, doc ->> '$.id' AS id_text, doc ->> '$.product_price' AS price_text, doc ->> '$.unit_cost_at_order' AS cost_text,
+    try_cast(doc ->> '$.created_at' AS BIGINT) // 1000 AS created, doc ->> '$.__op' AS op,
+    CASE WHEN NOT json_valid(payload) THEN 'invalid_json' WHEN doc IS NULL OR NOT json_exists(doc, '$.__op') THEN 'missing_op'
+      WHEN coalesce(doc ->> '$.__op', '') NOT IN ('c', 'u', 'd', 'r') THEN 'invalid_op'
+      WHEN NOT json_exists(doc, '$.__table') THEN 'missing_table'
+      WHEN NOT json_exists(doc, '$.__source_ts_ms') THEN 'missing_source_ts' END AS reason
+  FROM read
+)"""
 
 
 def _reference(name: str, target: str, rows: str, value: str, ids: str) -> str:
@@ -341,42 +377,41 @@ ORACLE: dict[str, str] = {
       {NOW_SECONDS} AS ingested_at FROM ev GROUP BY topic"""),
     "snapshot_union": """WITH l AS (
         SELECT user_id, arg_max(event_type, event_id) AS kind, max(event_id) AS e
-        FROM events WHERE event_type <> 'view' GROUP BY 1)
+        FROM events WHERE event_type <> 'view' AND event_id % 10 <> 4 GROUP BY 1)
       SELECT c_custkey AS id, CASE WHEN e IS NULL THEN c_name ELSE 'name ' || e END AS username,
         CASE WHEN e IS NULL THEN c_custkey ELSE e END AS created_at,
         CASE WHEN e IS NULL THEN c_custkey ELSE e + 1099511627776 END AS _version, CAST(0 AS BIGINT) AS _deleted
       FROM customer LEFT JOIN l ON user_id = c_custkey WHERE kind IS NULL OR kind <> 'error'
       UNION ALL SELECT user_id, 'name ' || e, e, e + 1099511627776, 0 FROM l
       WHERE kind <> 'error' AND user_id NOT IN (SELECT c_custkey FROM customer)""",
-    "unwrap_envelope": """SELECT event_id + 1099511627776 AS "offset", CAST(user_id AS VARCHAR) AS id,
-        'name ' || event_id AS username, CAST(0 AS BIGINT) AS password,
-        CASE WHEN event_type = 'error' THEN 'd' ELSE 'u' END AS op, 'users' AS "table",
-        CAST(epoch_us(ts) // 1000 AS VARCHAR) AS source_ts_ms,
-        CASE WHEN event_type = 'error' THEN 'true' ELSE 'false' END AS deleted
-      FROM events WHERE event_type <> 'view'""",
+    "unwrap_envelope": """SELECT event_id + 1099511627776 AS "offset", IF(whole, CAST(user_id AS VARCHAR), NULL) AS id,
+        IF(whole, 'name ' || event_id, NULL) AS username, CAST(0 AS BIGINT) AS password,
+        IF(whole, CASE WHEN event_type = 'error' THEN 'd' ELSE 'u' END, NULL) AS op, IF(whole, 'users', NULL) AS "table",
+        IF(whole, CAST(epoch_us(ts) // 1000 AS VARCHAR), NULL) AS source_ts_ms,
+        IF(whole, CASE WHEN event_type = 'error' THEN 'true' ELSE 'false' END, NULL) AS deleted
+      FROM (SELECT *, event_id % 10 <> 4 AS whole FROM events) WHERE event_type <> 'view'""",
     "pii_excluded": """SELECT c_custkey AS "offset", 'id,username,created_at,__op,__table,__source_ts_ms' AS payload_keys,
-      c_name AS username FROM customer""",
+      c_name AS username FROM customer UNION ALL SELECT -c_custkey, 'id,username,created_at,__op', c_name FROM customer""",
     "retention_kept": _with(EVENTS, select="""
       SELECT topic, count(*) AS event_count, CAST(7 AS BIGINT) AS days FROM ev
       WHERE ts >= TIMESTAMP '2024-01-24' GROUP BY 1
       UNION ALL SELECT topic, count(*), 30 FROM ev WHERE ts >= TIMESTAMP '2024-01-01' GROUP BY 1"""),
     # typed change tables
-    "typed_bronze": _with(EVENTS, select="""SELECT event_id AS id, user_id AS order_id, CAST(7 AS BIGINT) AS product_id,
-        event_id % 5 + 1 AS quantity, CASE WHEN k IN (0, 12, 13) THEN CAST(cents AS DOUBLE) / 100.0 ELSE 0.0::DOUBLE END
-          AS product_price, 0.0::DOUBLE AS product_tax, 0.0::DOUBLE AS subtotal_amount,
-        CASE WHEN k IN (0, 12, 13) THEN CAST(cents AS DOUBLE) / 100.0 END AS unit_cost_at_order,
-        second AS created_at, event_id AS _version,
-        CAST(CASE WHEN k IN (0, 9, 10, 12, 13) AND event_type = 'error' THEN 1 ELSE 0 END AS BIGINT) AS _deleted
-      FROM ev WHERE k NOT IN (1, 7, 8, 11)"""),
-    "coerce_numeric": _with(EVENTS, select="""SELECT event_id AS "offset",
-        CASE WHEN k IN (0, 11, 12, 13) THEN CAST(cents AS DOUBLE) / 100.0 ELSE 0.0::DOUBLE END AS money_or_zero,
-        CASE WHEN k IN (0, 11, 12, 13) THEN CAST(cents AS DOUBLE) / 100.0 END AS money_or_null,
-        CASE WHEN k IN (0, 11, 12, 13) THEN CAST(cents AS DOUBLE) / 100.0 END AS float_or_null FROM ev"""),
-    "coerce_millis": _with(EVENTS, select="""SELECT event_id AS "offset",
-        CASE WHEN k IN (1, 7, 8, 11) THEN 0 ELSE second END AS time_or_epoch,
-        CASE WHEN k IN (1, 7, 8, 11) THEN NULL ELSE second END AS time_or_null FROM ev"""),
-    "json_valid": _with(EVENTS, select="""SELECT event_id AS "offset",
-        CAST(CASE WHEN k IN (1, 7) THEN 0 ELSE 1 END AS BIGINT) AS valid FROM ev"""),
+    "typed_bronze": _with(EVENTS, PAYLOADS, select="""SELECT CAST(id_text AS BIGINT) AS id,
+        CAST(coalesce(doc ->> '$.order_id', '0') AS BIGINT) AS order_id, CAST(doc ->> '$.product_id' AS BIGINT) AS product_id,
+        CAST(doc ->> '$.quantity' AS BIGINT) AS quantity,
+        CAST(coalesce(try_cast(price_text AS DECIMAL(15, 2)), 0) AS DOUBLE) AS product_price, 0.0::DOUBLE AS product_tax,
+        0.0::DOUBLE AS subtotal_amount, CAST(try_cast(cost_text AS DECIMAL(15, 2)) AS DOUBLE) AS unit_cost_at_order,
+        created AS created_at, event_id AS _version, CAST(coalesce(op, '') = 'd' AS BIGINT) AS _deleted
+      FROM fields WHERE doc IS NOT NULL AND try_cast(id_text AS BIGINT) IS NOT NULL"""),
+    "coerce_numeric": _with(EVENTS, PAYLOADS, select="""SELECT event_id AS "offset",
+        CAST(coalesce(try_cast(price_text AS DECIMAL(15, 2)), 0) AS DOUBLE) AS money_or_zero,
+        CAST(try_cast(price_text AS DECIMAL(15, 2)) AS DOUBLE) AS money_or_null,
+        try_cast(price_text AS DOUBLE) AS float_or_null FROM fields"""),
+    "coerce_millis": _with(EVENTS, PAYLOADS, select="""SELECT event_id AS "offset",
+        coalesce(created, 0) AS time_or_epoch, created AS time_or_null FROM fields"""),
+    "json_valid": _with(EVENTS, PAYLOADS, select="""SELECT event_id AS "offset",
+        CAST(json_valid(payload) AS BIGINT) AS valid FROM fields"""),
     # current state and quarantine
     "current_state": _with(EVENTS, CHANGES, select="SELECT * FROM state WHERE _deleted = 0"),
     "current_state_audit": _with(EVENTS, CHANGES, select="SELECT * FROM state"),
@@ -386,11 +421,10 @@ ORACLE: dict[str, str] = {
         count(cost_c) FILTER (l_shipdate >= TIMESTAMP '1998-01-01') AS known_cost_count,
         CAST(sum(cost_c) FILTER (l_shipdate >= TIMESTAMP '1998-01-01') AS DOUBLE) / 100.0 AS known_cost
       FROM ln GROUP BY 1"""),
-    "quarantine_reasons": _with(EVENTS, select=f"""SELECT topic, CAST(0 AS BIGINT) AS kafka_partition,
-        event_id AS kafka_offset, {REASON} AS reason, {NOW_SECONDS} AS detected_at
-      FROM ev WHERE k BETWEEN 1 AND 8"""),
-    "quarantine_summary": _with(EVENTS, select=f"""SELECT topic, {REASON} AS reason, count(*) AS event_count
-      FROM ev WHERE k BETWEEN 1 AND 8 GROUP BY ALL"""),
+    "quarantine_reasons": _with(EVENTS, PAYLOADS, select=f"""SELECT topic, CAST(0 AS BIGINT) AS kafka_partition,
+        event_id AS kafka_offset, reason, {NOW_SECONDS} AS detected_at FROM fields WHERE reason IS NOT NULL"""),
+    "quarantine_summary": _with(EVENTS, PAYLOADS, select="""SELECT topic, reason, count(*) AS event_count
+      FROM fields WHERE reason IS NOT NULL GROUP BY ALL"""),
     # cleaned entities
     "silver_users": _with(USERS, select="""SELECT user_id, username,
         CAST(CAST(created + INTERVAL 7 HOUR AS DATE) AS VARCHAR) AS registration_date,

@@ -26,7 +26,7 @@ from cdcmart.operators.bronze import typed_bronze
 from cdcmart.operators.quarantine import quarantine, quarantine_summary
 from cdcmart.plans.warehouse import Warehouse
 from cdcmart.session import configure
-from cdcmart.sources.changes import capture_raw, drop_sensitive, snapshot_as_changes, unwrap_envelope
+from cdcmart.sources.changes import capture_raw, drop_sensitive, protect, snapshot_as_changes, unwrap_envelope
 from cdcmart.sources.log import expire
 from cdcmart.sources.sample import Sample
 from cdcmart.sources.specs import (
@@ -105,9 +105,16 @@ def _customers(sample: Sample) -> DataFrame:
 
 
 def _user_envelopes(sample: Sample) -> DataFrame:
-    """Events as before/after messages of the users table; views are empty messages."""
+    """Events as before/after messages of the users table; views are empty messages.
+
+    By residue of the event: 1 repeats a column, 2 has a column named like an added one, 3
+    does not name its table, 4 has text behind the envelope and so is none.
+    """
+    residue = F.pmod(F.col("event_id"), F.lit(10))
     row = F.concat(
-        F.lit('{"id":'), F.col("user_id").cast("string"), F.lit(',"username":"name '),
+        F.lit('{"id":'), F.col("user_id").cast("string"),
+        F.when(residue == 1, ',"username":"old"').when(residue == 2, ',"__op":"x","__table":"y"').otherwise(""),
+        F.lit(',"username":"name '),
         F.col("event_id").cast("string"), F.lit('","password":"x","created_at":'),
         (F.col("event_id") * 1000).cast("string"), F.lit("}"),
     )
@@ -115,8 +122,9 @@ def _user_envelopes(sample: Sample) -> DataFrame:
     text = F.concat(
         F.lit('{"before":'), F.when(gone, row).otherwise("null"), F.lit(',"after":'),
         F.when(gone, "null").otherwise(row), F.lit(',"op":"'), F.when(gone, "d").otherwise("u"),
-        F.lit('","source":{"table":"users","ts_ms":'), F.unix_millis(F.col("ts").cast("timestamp")).cast("string"),
-        F.lit("}}"),
+        F.lit('","source":{'), F.when(residue == 3, "").otherwise('"table":"users",'), F.lit('"ts_ms":'),
+        F.unix_millis(F.col("ts").cast("timestamp")).cast("string"), F.lit("}}"),
+        F.when(residue == 4, " tail").otherwise(""),
     )
     return sample.read("events").select(
         F.lit(TABLES["users"].topic).alias("topic"),
@@ -145,10 +153,16 @@ def unwrap_envelopes(sample: Sample) -> DataFrame:
 
 @query
 def pii_excluded(sample: Sample) -> DataFrame:
+    """Keys that are stored of snapshot rows, and of flat rows whose source kept the columns."""
     rows = snapshot_as_changes(_customers(sample), "users", F.lit(0), F.col("id"))
     kept = drop_sensitive(_customers(sample), "users")
+    whole = F.to_json(F.struct(*[F.col(c) for c in _customers(sample).columns], F.lit("c").alias("__op")))
+    flat = _customers(sample).select(
+        F.lit(TABLES["users"].topic).alias("topic"), F.lit(0).alias("partition"), (-F.col("id")).alias("offset"), whole.alias("payload")
+    )
+    rows = rows.unionByName(protect(flat))
     listed = rows.select("offset", F.array_join(F.json_object_keys("payload"), ",").alias("payload_keys"))
-    return listed.join(kept.select("id", "username"), F.col("offset") == F.col("id")).drop("id")
+    return listed.join(kept.select("id", "username"), F.abs("offset") == F.col("id")).drop("id")
 
 
 @query
