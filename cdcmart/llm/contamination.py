@@ -25,6 +25,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -34,8 +35,10 @@ from cdcmart.llm.common import add_columns, map_rows, table
 
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, SHINGLE = 0.5, 0.8, 5
-BLOCK = 16  # items
-PART_BYTES = 16 << 20
+#: Items in a block. Passages hold common words of most items, so maxima over more items than
+#: a few come close to the threshold anywhere and skip nothing.
+BLOCK = 2
+PART_BYTES = 256 << 10
 _WORDS = re.compile(r"\w+")
 
 
@@ -51,9 +54,7 @@ class Index:
     items: tuple[list[str], ...]
     terms: dict[str, int]
     maxima: np.ndarray  # terms x blocks
-    starts: np.ndarray  # postings of term t: starts[t] .. starts[t + 1]
-    posted: np.ndarray  # items
-    impacts: np.ndarray
+    postings: tuple[tuple[np.ndarray, np.ndarray], ...]  # per item: its terms and their impacts
     step: int
 
     @staticmethod
@@ -62,46 +63,46 @@ class Index:
         items = sorted(items, key=lambda x: (min(x[1], key=lambda w: (frequency[w], w)), x[0]))
         terms = {w: i for i, w in enumerate(sorted({w for _, found in items for w in found}))}
         idf = {w: float(np.log1p((total - frequency[w] + 0.5) / (frequency[w] + 0.5))) for w in terms}
-        rows: list[tuple[int, int, float]] = []
+        maxima = np.zeros((len(terms), -(-len(items) // BLOCK)), np.float32)
+        postings = []
         for at, (_, found) in enumerate(items):
             norm = K1 * (1 - B + B * len(found) / mean)
-            own = {w: idf[w] * n * (K1 + 1) / (n + norm) for w, n in Counter(found).items()}
-            whole = sum(own.values())
-            rows += [(terms[w], at, x / whole) for w, x in own.items()]
-        rows.sort()
-        term, posted, impacts = (np.array(x) for x in zip(*rows, strict=True))
-        maxima = np.zeros((len(terms), -(-len(items) // BLOCK)), np.float32)
-        np.maximum.at(maxima, (term, posted // BLOCK), impacts.astype(np.float32))
-        starts = np.searchsorted(term, np.arange(len(terms) + 1))
-        return Index(tuple(i for i, _ in items), tuple(f for _, f in items), terms, maxima, starts, posted, impacts, step)
+            own = {terms[w]: idf[w] * n * (K1 + 1) / (n + norm) for w, n in Counter(found).items()}
+            codes, impacts = np.array(list(own)), np.array(list(own.values()))
+            impacts = impacts / impacts.sum()
+            maxima[codes, at // BLOCK] = np.maximum(maxima[codes, at // BLOCK], impacts)
+            postings.append((codes, impacts))
+        return Index(tuple(i for i, _ in items), tuple(f for _, f in items), terms, maxima, tuple(postings), step)
 
     def search(self, text: str | None) -> Iterator[tuple[int, float, int, list[str]]]:
         """(item, score, passage, words of the passage) of all above the threshold."""
         found = words(text)
-        codes = np.array(list(map(lambda w: self.terms.get(w, -1), found)), np.int64)
+        codes = np.fromiter(map(self.terms.get, found, repeat(-1)), np.int64, len(found))
         places = np.flatnonzero(codes >= 0)
         if not len(places):
             return
         # Each term once per step, then the sums of the maxima of two steps: an upper bound.
         n = len(self.terms)
-        pairs = np.unique(places // self.step * n + codes[places])
-        steps, terms = pairs // n, pairs % n
+        pairs = np.sort(places // self.step * n + codes[places])
+        pairs = pairs[np.r_[True, pairs[1:] != pairs[:-1]]]
+        steps, terms = np.divmod(pairs, n)
         first = np.flatnonzero(np.r_[True, steps[1:] != steps[:-1]])
         last = max(1, -(-len(found) // self.step) - 1)
         bounds = np.zeros((last + 1, self.maxima.shape[1]), np.float32)
         bounds[steps[first]] = np.add.reduceat(self.maxima[terms], first)
         above = bounds[:last] + bounds[1 : last + 1] >= THRESHOLD - 1e-4
+        held = np.zeros(n + 1, bool)  # the last place stands for unknown words
         for passage in np.flatnonzero(above.any(1)):
-            body = found[passage * self.step : (passage + 2) * self.step]
-            inside = np.unique(codes[passage * self.step : (passage + 2) * self.step])
-            inside = inside[inside >= 0]
-            scores = np.zeros(len(self.ids))
-            for term in inside:
-                here = slice(self.starts[term], self.starts[term + 1])
-                scores[self.posted[here]] += self.impacts[here]
-            open_blocks = np.repeat(above[passage], BLOCK)[: len(self.ids)]
-            for at in np.flatnonzero((scores >= THRESHOLD) & open_blocks):
-                yield int(at), float(scores[at]), int(passage), body
+            inside = codes[passage * self.step : (passage + 2) * self.step]
+            held[inside] = True
+            held[-1] = False
+            for block in np.flatnonzero(above[passage]):
+                for at in range(block * BLOCK, min((block + 1) * BLOCK, len(self.ids))):
+                    own, impacts = self.postings[at]
+                    score = float(impacts[held[own]].sum())
+                    if score >= THRESHOLD:
+                        yield at, score, int(passage), found[passage * self.step : (passage + 2) * self.step]
+            held[inside] = False
 
 
 def _shingles(found: list[str], n: int) -> set[tuple[str, ...]]:

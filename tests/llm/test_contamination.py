@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 
@@ -50,8 +51,6 @@ def test_matches_equal_brute_force(spark, monkeypatch, part):
 
 
 def test_bounds_never_hide_an_item_above_the_threshold():
-    from collections import Counter
-
     frequency = Counter(w for _, t in ITEMS for w in set(t.split()))
     index = contamination.Index.build([(i, t.split()) for i, t in ITEMS], frequency, len(ITEMS), 30.0, 50)
     for _, text, _ in documents():
@@ -60,7 +59,7 @@ def test_bounds_never_hide_an_item_above_the_threshold():
         for p in range(max(1, -(-len(words) // 50) - 1)):
             inside = {index.terms[w] for w in words[p * 50 : p * 50 + 100] if w in index.terms}
             for at in range(len(ITEMS)):
-                score = sum(index.impacts[k] for t in inside for k in range(index.starts[t], index.starts[t + 1]) if index.posted[k] == at)
+                score = sum(x for t, x in zip(*index.postings[at], strict=True) if t in inside)
                 if score >= contamination.THRESHOLD:
                     wanted.add((at, p))
         assert {(at, p) for at, _, p, _ in index.search(text)} == wanted
