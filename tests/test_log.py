@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from cdcmart.operators.state import align_schema, compact, current_state
+from cdcmart.operators.state import align_schema, base_and_changes, compact, current_state
 from cdcmart.session import RUNTIME, checkpoint_dir
 from cdcmart.sources.log import drop_expired, expire, publish, read_published, save_bucketed, write_log
 from cdcmart.sources.specs import QUARANTINE_DAYS, RAW_DAYS, TABLES
@@ -77,6 +77,17 @@ def test_compaction_keeps_tombstones(spark, tmp_path):
     assert rows(current_state(compacted.unionByName(late))) == rows(current_state(changes(spark)))
 
 
+def test_base_and_changes(spark):
+    """The same rows as the newest versions of all; changes older than the base lose."""
+    base = compact(changes(spark))
+    since = spark.createDataFrame(
+        [(1, "late", 4, 0), (2, "again", 9, 0), (3, "", 8, 1), (4, "new", 1, 0), (4, "newer", 2, 0), (5, "", 3, 1)], base.schema
+    )
+    found = base_and_changes(base, since)
+    assert rows(found) == rows(current_state(base.unionByName(since))) == [(1, "b", 5, 0), (2, "again", 9, 0), (4, "newer", 2, 0)]
+    assert rows(base_and_changes(base, since.limit(0))) == rows(current_state(base))
+
+
 def test_schema_alignment(spark):
     old = spark.createDataFrame([(1, 2, 3, 0, 0)], "id int, order_id int, product_id int, _version int, _deleted int")
     spec = TABLES["orderdetails"]

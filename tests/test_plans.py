@@ -68,6 +68,25 @@ def test_day_range_reaches_the_scan(spark, sample, tmp_path):
     assert "GreaterThanOrEqual(created_at,1996-04-30" in pushed and "LessThan(created_at,1996-05-01" in pushed
 
 
+def test_day_range_reaches_the_base_of_changing_tables(spark, sample, tmp_path, unbroadcast):
+    """Tables that are a compacted base and changes since: the base is pruned by the range, and
+    only the changes and the base's rows of changed keys are ranked by version."""
+    day, tables, base = dt.date(1996, 5, 1), {}, {}
+    for name in sample.tables():
+        tables[name] = sample.history(name).where("pmod(xxhash64(id), 7) = 0")
+    for name in ("orders", "orderdetails"):
+        path = str(tmp_path / f"base-{name}")
+        sample._table(name).write.parquet(path)
+        base[name] = spark.read.parquet(path)
+        tables[name].write.parquet(path + "-changes")
+        tables[name] = spark.read.parquet(path + "-changes")
+    rest = {name: table for name, table in sample.tables().items() if name not in base}
+    warehouse = Warehouse(spark, tables | rest, base=base, compacted=rest, days=(day, day))
+    plan = physical(warehouse.fact_sales_product())
+    pushed = re.findall(r"base-orders\].*?PushedFilters: \[(.*?)\]", plan)
+    assert any("GreaterThanOrEqual(created_at,1996-04-30" in x and "LessThan(created_at,1996-05-01" in x for x in pushed)
+
+
 def test_facts_read_only_their_columns(spark, sample, tmp_path):
     plan = physical(compacted(spark, sample, tmp_path).fact_order_overview())
     read = re.search(r"compacted-orders\].*?ReadSchema: struct<(.*?)>", plan).group(1)
