@@ -48,8 +48,12 @@ def empty_if_null(text: Column) -> Column:
 
 
 def text_key(text: Column) -> Column:
-    """128-bit key of a text; equal texts have equal keys, null counts as empty."""
-    return F.unhex(F.md5(empty_if_null(text)))
+    """128-bit key of a text; equal texts have equal keys, null counts as empty.
+
+    Declared to be never null: joins then add no filters, which would make plans that
+    group the same texts differ, and texts would be moved once more.
+    """
+    return F.coalesce(F.unhex(F.md5(empty_if_null(text))), F.lit(b""))
 
 
 def cut_lineage(frame: DataFrame) -> DataFrame:

@@ -6,8 +6,8 @@ same text or another, is removed. Matches never cross texts.
 Texts are sharded by content, so that each shard can be sorted alone: of every
 ``LENGTH``-byte window the least hashed ``ANCHOR``-byte string is its anchor, and equal windows
 have equal anchors at equal places. Anchors that occur once are dropped; of the others, the
-text around them that any window with this anchor can reach goes to the shard of the
-anchor's hash. Equal surroundings are repeats as a whole and are kept once per shard. A shard's
+windows that have this anchor go to the shard of its hash, as one string. Equal strings are
+repeats as a whole and are kept once per shard, the others are cut to what they may share. A shard's
 strings are concatenated with unique separators, sorted by induced sorting, and all windows
 that share a common prefix of ``LENGTH`` with a neighbour at another place are repeats.
 
@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from cdcmart.llm.common import cut_lineage, empty_if_null, map_rows, range_hashes, table, text_key
 from cdcmart.llm.suffix import permuted_prefixes, suffix_array
 
-LENGTH, ANCHOR = 400, 200
+LENGTH, ANCHOR = 400, 64
 HOT = 20_000
 SHARD_BYTES = 1 << 20  # sorted at once, unless the strings of one anchor are longer
 _SEGMENT = 1 << 20
@@ -41,8 +42,9 @@ _SEGMENT = 1 << 20
 # --- one text ---------------------------------------------------------------------------
 
 
-def anchors(data: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, places) of the anchors of all windows of a text."""
+def anchors(data: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, places, first, last) of the anchors of a text: ``first`` and ``last`` are the
+    starts of the windows whose anchor it is, which follow each other."""
     wide = length - anchor + 1  # anchor places in a window
     found = []
     for at in range(0, max(0, len(data) - length + 1), _SEGMENT):
@@ -52,19 +54,43 @@ def anchors(data: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR) -> tup
         # The place in the low bits makes the leftmost of equal strings the least.
         mask = np.uint64((1 << 21) - 1)
         packed = (hashes & ~mask) | starts.astype(np.uint64)
-        rest = -len(packed) % wide
-        blocks = np.r_[packed, np.full(rest, ~np.uint64(0))].reshape(-1, wide)
+        blocks = np.full((-(-len(packed) // wide), wide), ~np.uint64(0))
+        blocks.ravel()[: len(packed)] = packed
         ahead = np.minimum.accumulate(blocks, axis=1).ravel()
         behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
         windows = len(part) - length + 1
-        least = np.minimum(behind[:windows], ahead[wide - 1 : wide - 1 + windows])
-        places = np.unique((least & mask).astype(np.int64))
-        found.append((hashes[places], places + at))
+        places = (np.minimum(behind[:windows], ahead[wide - 1 : wide - 1 + windows]) & mask).astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))
+        last = np.append(first[1:], windows) - 1
+        found.append((hashes[places[first]], places[first] + at, first + at, last + at))
     if not found:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    hashes, places = (np.concatenate(x) for x in zip(*found, strict=True))
-    places, first = np.unique(places, return_index=True)
-    return hashes[first], places
+        return (np.empty(0, np.uint64), *(np.empty(0, np.int64) for _ in range(3)))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _common(a: bytes, b: bytes) -> int:
+    """Length of the common prefix."""
+    n = min(len(a), len(b))
+    if not n or a[:n] == b[:n]:
+        return n
+    return int((np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)).argmax())
+
+
+def trims(strings: list[bytes], places: list[int]) -> list[tuple[int, int]]:
+    """(low, high) of each string: the part that any other may share with it around the anchor.
+
+    ``places`` are those of the anchor, where equal windows of two strings lie over each
+    other. So no such window reaches further than the longest common prefix, from the
+    anchor on, with any other string, nor than the longest common suffix before it.
+    """
+    ends = [0] * len(strings), [0] * len(strings)
+    sides = [s[:p][::-1] for s, p in zip(strings, places, strict=True)], [s[p:] for s, p in zip(strings, places, strict=True)]
+    for reach, parts in zip(ends, sides, strict=True):
+        order = sorted(range(len(parts)), key=parts.__getitem__)
+        for i, j in zip(order, order[1:], strict=False):
+            both = _common(parts[i], parts[j])
+            reach[i], reach[j] = max(reach[i], both), max(reach[j], both)
+    return [(p - before, p + after) for p, before, after in zip(places, *ends, strict=True)]
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -138,55 +164,79 @@ class Shard:
 
 
 def _anchored(texts: DataFrame, length: int, anchor: int) -> DataFrame:
+    """(h, tid, hit); ``hit`` packs the anchor's place and the reach of its windows to both sides."""
+
     def work(row: dict) -> Iterator[tuple]:
-        hashes, places = anchors(np.frombuffer(row["body"], np.uint8), length, anchor)
-        for h, at in zip(hashes.view(np.int64).tolist(), places.tolist(), strict=True):
-            yield h, row["tid"], at
+        hashes, places, first, last = anchors(np.frombuffer(row["body"], np.uint8), length, anchor)
+        hits = (places << 24) | ((places - first) << 12) | (last + length - places)
+        for h, hit in zip(hashes.view(np.int64).tolist(), hits.tolist(), strict=True):
+            yield h, row["tid"], hit
 
     long = texts.where(F.octet_length("body") >= length)
-    return map_rows(long.select("tid", "body"), work, "h bigint, tid binary, at int", slice_rows=1 << 14)
+    return map_rows(long.select("tid", "body"), work, "h bigint, tid binary, hit bigint", slice_rows=1 << 14)
 
 
-def _surroundings(texts: DataFrame, hits: DataFrame, length: int, anchor: int) -> DataFrame:
-    """(h, c, body, tid, start, n, own): distinct surroundings of a text's repeated anchors.
+def _surroundings(texts: DataFrame, hits: DataFrame, length: int) -> DataFrame:
+    """(h, c, body, place, tid, start, n, own, seen): distinct surroundings of a text's repeated anchors.
 
-    ``c`` is the digest of ``body``; ``n`` is 2 when the text holds it more than once. ``own``
-    has the merged spans of all its places; none if they are too short to be repeats.
+    The surroundings are the windows whose anchor it is; ``place`` is that of the anchor in
+    ``body`` and ``c`` the digest of ``body``. ``n`` is 2 when the text holds it more than
+    once. ``own`` has the merged spans of all its places, ``seen`` is how often the anchor
+    occurs. ``body`` is null where the same task has given it before.
     """
-    own = hits.groupBy("tid").agg(F.collect_list(F.struct("h", "at")).alias("hits"))
+    given: set[tuple] = set()
+    own = hits.groupBy("tid").agg(F.collect_list(F.struct("h", "hit", "n")).alias("hits"))
 
     def work(row: dict) -> Iterator[tuple]:
         body, found = row["body"], {}
-        for hit in row["hits"]:
-            low, high = max(0, hit["at"] + anchor - length), min(len(body), hit["at"] + length)
+        for x in row["hits"]:
+            at, before, after = x["hit"] >> 24, (x["hit"] >> 12) & 4095, x["hit"] & 4095
+            low, high = at - before, at + after
             part = body[low:high]
-            found.setdefault((hit["h"], hashlib.md5(part).digest()), []).append((low, high))
-        for (h, c), places in found.items():
+            found.setdefault((x["h"], before, hashlib.md5(part).digest(), x["n"]), []).append((low, high))
+        for (h, place, c, seen), places in found.items():
             low, high = places[0]
-            own = [list(span) for span in merged(places)] if high - low >= length else []
-            yield h, c, body[low:high], row["tid"], low, min(2, len(places)), own
+            part = None if (h, c) in given else body[low:high]
+            given.add((h, c))
+            yield h, c, part, place, row["tid"], low, min(2, len(places)), [list(span) for span in merged(places)], seen
+
+    schema = "h bigint, c binary, body binary, place int, tid binary, start int, n int, own array<array<int>>, seen bigint"
+    # All columns of the texts, so that they are grouped once for this and for what is kept of them.
+    return map_rows(texts.join(own, "tid"), work, schema, slice_rows=1024)
 
-    schema = "h bigint, c binary, body binary, tid binary, start int, n int, own array<array<int>>"
-    return map_rows(texts.select("tid", "body").join(own, "tid"), work, schema, slice_rows=1024)
 
+def _sorted_shards(dealt: DataFrame, length: int, hot: int) -> DataFrame:
+    """(tid, low, high) of repeats around anchors that are not hot.
 
-def _sorted_shards(rows: DataFrame, length: int) -> DataFrame:
-    """(tid, low, high) of repeats; ``rows`` are surroundings whose anchors are not hot."""
+    A task reads its surroundings in order of anchor and digest. Equal ones are repeats as
+    a whole and are kept once. Those of one anchor are cut to what they may share, then
+    they are gathered for sorting.
+    """
 
     def cover(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = Shard(length)
         out: list[tuple] = []
-        held: dict | None = None  # the surroundings being read, and whether seen again
-        twice = False
+        group: list[dict] = []  # distinct surroundings of one anchor; "n" > 1 if seen again
 
         def whole(row: dict) -> list[tuple]:
             return [(row["tid"], low, high) for low, high in row["own"]]
 
-        def keep() -> None:
-            if held is not None:
-                shard.add(held["body"], held["tid"], held["start"], twice)
-                if twice:
-                    out.extend(whole(held))
+        def gather() -> None:
+            cuts = trims([row["body"] for row in group], [row["place"] for row in group])
+            seen: dict[bytes, list] = {}
+            for row, (low, high) in zip(group, cuts, strict=True):
+                if row["n"] > 1:
+                    out.extend(whole(row))
+                    low, high = 0, len(row["body"])
+                if high - low >= length:
+                    alike = seen.setdefault(row["body"][low:high], [])
+                    alike.append((row["tid"], row["start"] + low, row["n"] > 1))
+            for body, places in seen.items():
+                twice = len(places) > 1 or places[0][2]
+                if len(places) > 1:
+                    out.extend((tid, start, start + len(body)) for tid, start, _ in places)
+                if len(seen) > 1:
+                    shard.add(body, places[0][0], places[0][1], twice)
 
         def batch() -> pa.RecordBatch:
             columns = list(zip(*out, strict=True))
@@ -195,32 +245,42 @@ def _sorted_shards(rows: DataFrame, length: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["tid", "low", "high"])
 
         for part in source:
-            for row in part.to_pylist():
-                if held is not None and (row["h"], row["c"]) == (held["h"], held["c"]):
+            for row in part.filter(pc.less_equal(part.column("seen"), hot)).to_pylist():
+                if group and row["h"] != group[0]["h"]:
+                    gather()
+                    group = []
+                    if shard.size >= SHARD_BYTES:
+                        out.extend(shard.repeats())
+                        shard = Shard(length)
+                if group and row["c"] == group[-1]["c"]:
                     # Equal surroundings elsewhere: both are repeats as a whole.
-                    twice = True
+                    group[-1]["n"] = 2
                     out.extend(whole(row))
                 else:
-                    keep()
-                    if held is not None and row["h"] != held["h"] and shard.size >= SHARD_BYTES:
-                        out.extend(shard.repeats())
-                        shard = Shard(length)
-                    held, twice = row, row["n"] > 1
+                    group.append(row)
                 if len(out) > 4096:
                     yield batch()
-        keep()
+        if group:
+            gather()
         out.extend(shard.repeats())
         if out:
             yield batch()
 
-    return rows.repartition("h").sortWithinPartitions("h", "c").mapInArrow(cover, "tid binary, low int, high int")
+    ordered = dealt.sortWithinPartitions("h", "c", F.col("body").isNull())
+    return ordered.mapInArrow(cover, "tid binary, low int, high int")
 
 
-def _counted_windows(rows: DataFrame, length: int) -> DataFrame:
+def _counted_windows(dealt: DataFrame, length: int, hot: int) -> DataFrame:
     """(tid, low, high) of repeats around hot anchors, window by window."""
+
+    def only_hot(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in source:
+            yield part.filter(pc.greater(part.column("seen"), hot))
+
+    # Filtered here and not in the plan, so that both paths read what was moved once.
+    rows = dealt.mapInArrow(only_hot, dealt.schema)
     alike = W.partitionBy("h", "c")
-    marked = rows.withColumn("all", F.sum("n").over(alike)).withColumn("first", F.row_number().over(alike.orderBy("tid", "start")))
-    marked = cut_lineage(marked)
+    marked = rows.withColumn("all", F.sum("n").over(alike)).withColumn("first", F.row_number().over(alike.orderBy(F.col("body").isNull(), "tid", "start")))
     whole = marked.where("all > 1").select("tid", F.explode("own").alias("s"))
     whole = whole.select("tid", F.col("s")[0].alias("low"), F.col("s")[1].alias("high"))
 
@@ -236,15 +296,24 @@ def _counted_windows(rows: DataFrame, length: int) -> DataFrame:
     return whole.unionByName(single.select("tid", F.col("at").alias("low"), (F.col("at") + length).alias("high")))
 
 
-def spans(texts: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
-    """(tid, low, high): repeated parts of distinct texts; parts may overlap."""
-    found = _anchored(texts, length, anchor)
+def spans(rows: DataFrame, texts: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
+    """(tid, low, high): repeated parts of ``texts``, the distinct ones of (tid, body) ``rows``.
+
+    Parts may overlap. Anchors are taken from the rows as they lie, so that no text is moved for
+    them; those of copies are dropped where the anchors meet.
+    """
+    if not 0 < anchor <= length < 4096:
+        raise ValueError("a window must hold its anchor and have less than 4096 bytes")
+    found = _anchored(rows, length, anchor).repartition("h").dropDuplicates(["h", "tid", "hit"])
     found = found.withColumn("n", F.count("*").over(W.partitionBy("h"))).where("n > 1")
     hits = cut_lineage(found)
-    done = _sorted_shards(_surroundings(texts, hits.where(F.col("n") <= hot), length, anchor), length)
-    many = hits.where(F.col("n") > hot)
-    if not many.isEmpty():
-        done = done.unionByName(_counted_windows(_surroundings(texts, many, length, anchor), length))
+    rows = _surroundings(texts, hits, length)
+    # The surroundings of an anchor meet in one task; those of a hot one are spread.
+    spread = F.when(F.col("seen") > hot, F.pmod(F.xxhash64("c"), F.lit(1024))).otherwise(F.lit(-1))
+    dealt = rows.repartition("h", spread)
+    done = _sorted_shards(dealt, length, hot)
+    if not hits.where(F.col("n") > hot).isEmpty():
+        done = done.unionByName(_counted_windows(dealt, length, hot))
     return done
 
 
@@ -264,7 +333,7 @@ def kept_parts(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot:
     kept is a text again.
     """
     texts = rows.groupBy("tid").agg(F.first("body").alias("body"), F.count("*").alias("copies"))
-    own = spans(texts, length, anchor, hot).groupBy("tid").agg(F.collect_list(F.array("low", "high")).alias("spans"))
+    own = spans(rows, texts, length, anchor, hot).groupBy("tid").agg(F.collect_list(F.array("low", "high")).alias("spans"))
     joined = texts.join(own, "tid", "left")
 
     def work(row: dict) -> Iterator[tuple]:
@@ -279,14 +348,20 @@ def kept_parts(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot:
     return map_rows(joined, work, "tid binary, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint")
 
 
+def _keyed(documents: DataFrame, key: str, text: str) -> DataFrame:
+    return documents.select(F.col(key).alias("id"), text_key(F.col(text)).alias("tid"), empty_if_null(F.col(text)).cast("binary").alias("body"))
+
+
 def removed(documents: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
     """(key, kept, n_bytes, n_removed, n_spans) of every row: its remaining bytes, concatenated."""
-    rows = documents.select(F.col(key).alias("id"), text_key(F.col(text)).alias("tid"), empty_if_null(F.col(text)).cast("binary").alias("body"))
+    rows = _keyed(documents, key, text)
     done = kept_parts(rows.select("tid", "body"), length, anchor, hot)
     return rows.select(F.col("id").alias(key), "tid").join(done, "tid").drop("tid")
 
 
 def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with what long repeats leave of it, digested."""
-    found = removed(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    rows = _keyed(table(spark, sf_dir, "documents"), "doc_id", "text")
+    # Digested before it meets the ids, so that what is kept need not be moved.
+    found = kept_parts(rows.select("tid", "body")).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+    return rows.select("id", "tid").join(found, "tid").select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")

@@ -38,8 +38,8 @@ def _ranks(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     narrow = chars.astype(np.uint16) if len(chars) and chars.max() < 1 << 16 else chars
     order = np.argsort(narrow, kind="stable")
     ranked = chars[order]
-    first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-    counts = np.diff(np.r_[first, len(ranked)])
+    first = np.concatenate([[0], np.flatnonzero(ranked[1:] != ranked[:-1]) + 1])[: len(ranked)]
+    counts = np.append(first[1:], len(ranked)) - first
     rank = np.empty(len(chars), np.int64)
     rank[order] = np.arange(len(chars)) - np.repeat(first, counts)
     return rank, ranked[first], counts

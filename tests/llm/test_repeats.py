@@ -64,9 +64,15 @@ def test_removed_bytes_equal_brute_force(spark, monkeypatch, seed, hot, shard):
 def test_long_texts_are_read_in_segments(monkeypatch):
     rng = np.random.default_rng(4)
     data = rng.integers(0, 4, 5000).astype(np.uint8)
-    whole = [x.tolist() for x in repeats.anchors(data, 60, 30)]
+
+    def by_window():
+        _, places, first, last = repeats.anchors(data, 60, 30)
+        return {w: p for p, a, b in zip(places, first, last, strict=True) for w in range(a, b + 1)}
+
+    whole = by_window()
+    assert sorted(whole) == list(range(5000 - 60 + 1)) and all(0 <= p - w <= 30 for w, p in whole.items())
     monkeypatch.setattr(repeats, "_SEGMENT", 128)
-    assert [x.tolist() for x in repeats.anchors(data, 60, 30)] == whole
+    assert by_window() == whole
 
 
 def test_characters_stay_whole(spark):
