@@ -5,9 +5,9 @@ A word seen in training adds its log frequency in each language. A word never se
 first length with a known n-gram counts, by the mean over its known n-grams. Words are runs
 of letters in lower case; n-grams see a mark at both ends of a word.
 
-All training rows are counted; a language keeps its ``WORDS`` most frequent words and per
-length its ``GRAMS`` most frequent n-grams, so the model that tasks receive has a bound that
-does not follow the data. Null texts and texts without a letter are ``und`` with score 0, and
+All training rows are counted; a language keeps its most frequent words and per length its most
+frequent n-grams: as many whole levels of frequency as fit in ``WORDS`` and ``GRAMS``. So the
+model that tasks receive has a bound that does not follow the data, and no task ranks all words. Null texts and texts without a letter are ``und`` with score 0, and
 so is every text if nothing was learnt. Ties go to the language that sorts first. Rows with a
 null language are not learnt from.
 """
@@ -17,7 +17,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from cdcmart.llm.common import add_columns, cut_lineage, ship, table
 
 WORDS, GRAMS, LONGEST = 30_000, 10_000, 4
+CACHE = 100_000  # words whose n-gram scores a task remembers
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -49,8 +51,18 @@ class Model:
     word_scores: np.ndarray  # log frequencies, a column per language
     grams: tuple[dict[str, int], ...]  # by length - 1
     gram_scores: tuple[np.ndarray, ...]
+    known: dict[str, np.ndarray] = field(default_factory=dict, compare=False)
 
     def unseen(self, word: str) -> np.ndarray:
+        """Kept for words to come, as long as they are few."""
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) >= CACHE:
+                self.known.clear()
+            found = self.known[word] = self._unseen(word)
+        return found
+
+    def _unseen(self, word: str) -> np.ndarray:
         for n in range(LONGEST, 0, -1):
             known = [i for i in map(self.grams[n - 1].get, grams(word, n)) if i is not None]
             if known:
@@ -61,11 +73,11 @@ class Model:
         found = words(text)
         if not found or not self.languages:
             return UNKNOWN, 0.0
-        rows = [self.words.get(w, -1) for w in found]
-        seen = np.asarray(rows)
-        total = self.word_scores[seen[seen >= 0]].sum(0)
-        for word, times in Counter(w for w, row in zip(found, rows, strict=True) if row < 0).items():
-            total = total + times * self.unseen(word)
+        rows = np.fromiter(map(self.words.get, found, repeat(-1)), np.int64, len(found))
+        total = self.word_scores[rows[rows >= 0]].sum(0, dtype=np.float64)
+        other = [self.unseen(found[at]) for at in np.flatnonzero(rows < 0)]
+        if other:
+            total = total + np.sum(other, axis=0, dtype=np.float64)
         best = int(total.argmax())
         return self.languages[best], float(1 / np.exp(total - total[best]).sum())
 
@@ -144,16 +156,20 @@ def fit(rows: DataFrame, lang: str = "lang", text: str = "text") -> Model:
     totals = {r["lang"]: float(r["n"]) for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
 
-    def most(frame: DataFrame, group: list[str], name: str, limit: int) -> pa.Table:
-        order = W.partitionBy(*group).orderBy(F.col("n").desc(), name)
-        # The group limit is taken per task before rows are moved.
-        return frame.withColumn("place", F.row_number().over(order)).where(F.col("place") <= limit).drop("place").toArrow()
+    def most(frame: DataFrame, group: list[str], limit: int) -> pa.Table:
+        """The rows of the highest frequencies; of a level all or none."""
+        above = W.partitionBy(*group).orderBy(F.col("n").desc())
+        levels = frame.groupBy(*group, "n").agg(F.count("*").alias("kinds"))
+        levels = levels.withColumn("sum", F.sum("kinds").over(above)).where(F.col("sum") <= limit)
+        least = levels.groupBy(*group).agg(F.min("n").alias("least"))
+        # A row per language and length at most.
+        return frame.join(F.broadcast(least), group).where("n >= least").drop("least").toArrow()
 
-    top = most(counted, ["lang"], "word", WORDS)
+    top = most(counted, ["lang"], WORDS)
     known, scores = _table(top, "word", languages, totals, WORDS)
     pieces = cut_lineage(_gram_counts(counted))
     sums = pieces.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()
-    short = most(pieces, ["lang", "size"], "gram", GRAMS)
+    short = most(pieces, ["lang", "size"], GRAMS)
     tables = []
     for size in range(1, LONGEST + 1):
         own = short.filter(pa.compute.equal(short.column("size"), size))
