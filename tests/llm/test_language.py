@@ -56,3 +56,45 @@ def test_held_out_rows_teach_nothing(spark, tmp_path):
     a, b = (sorted(map(tuple, language.op9_word_backoff(spark, f"{tmp_path}/{n}").collect())) for n in "ab")
     assert a == b
     assert F is not None
+
+
+def test_tokens_past_the_head_count_in_every_language(spark, monkeypatch):
+    """A head of next to nothing gives the scores of the full counts."""
+    monkeypatch.setattr(language, "WORDS", 3)
+    monkeypatch.setattr(language, "GRAMS", 4)
+    rows = [("the cat and the dog sat and ran", "en"), ("the the of a cat", "en"), ("der hund und die katze der of", "de"), ("die the und der", "de")]
+    counts, pieces, wholes = {}, {}, {}
+    for text, lang in rows:
+        for word in text.split():
+            counts.setdefault(word, {}).setdefault(lang, 0)
+            counts[word][lang] += 1
+            for n in range(1, 5):
+                for gram in language.grams(word, n):
+                    pieces.setdefault((n, gram), {}).setdefault(lang, 0)
+                    pieces[n, gram][lang] += 1
+                    wholes[n, lang] = wholes.get((n, lang), 0) + 1
+            wholes[0, lang] = wholes.get((0, lang), 0) + 1
+
+    def score(word):
+        log = lambda found, n, kinds: np.log([(found.get(x, 0) + 0.5) / (wholes[n, x] + 0.5 * kinds) for x in ("de", "en")])
+        if word in counts:
+            return log(counts[word], 0, 3)
+        for n in range(4, 0, -1):
+            known = [log(pieces[n, g], n, 4) for g in language.grams(word, n) if (n, g) in pieces]
+            if known:
+                return np.mean(known, axis=0)
+        return np.zeros(2)
+
+    texts = ["cat", "katze of", "sat ran dog dog", "hunds", "cats the dieder", "zq", "kn of", "пример a", "the the cat und xandx", None, "12", "cat"]
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert len(model.words) < len(counts)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = sorted(map(tuple, language.identify(frame, model).collect()))
+    assert [r[:2] for r in found] == list(enumerate(texts))
+    for _, text, lang, share in found:
+        if not language.words(text):
+            assert (lang, share) == ("und", 0.0)
+            continue
+        total = np.sum([score(w) for w in language.words(text)], axis=0)
+        assert lang == ("de", "en")[int(total.argmax())]
+        assert np.isclose(share, 1 / np.exp(total - total.max()).sum(), atol=1e-5)
