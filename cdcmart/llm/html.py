@@ -15,7 +15,8 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
+from itertools import takewhile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,16 +30,19 @@ BLOCK = frozenset(
 RAW = frozenset("script style noscript template textarea title xmp iframe noembed noframes svg math object".split())
 #: Elements that never hold main text.
 DROP = RAW | frozenset("head nav footer aside form button select option dialog menu canvas audio video label".split())
-#: A page's own header goes; that of an article holds its headline.
+#: Parts of class, id and role tokens. A page's own header goes; that of an article holds its headline.
 _FURNITURE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar|side|footer|foot|header|masthead|"
+    r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar|side|footer|foot|header|masthead|"
     r"cookies?|consent|gdpr|notices?|alert|popup|modal|newsletter|subscribe|signup|login|comments?|commentlist|replies|reply|respond|disqus|"
-    r"related|recommend\w*|share|sharing|social|widget|toolbar|pagination|pager|rating|tags|copyright|legal|disclaimer|skip|hidden)(?:$|[\s_-])",
-    re.I,
+    r"related|recommend\w*|share|sharing|social|widget|toolbar|pagination|pager|rating|tags|copyright|legal|disclaimer|skip"
 )
+_OUT_OF_SIGHT = frozenset("hidden is-hidden visually-hidden visuallyhidden".split())
+#: What follows these in a token is said of the layout: has-sidebar, no-comments.
+_STATES = frozenset("has have with without no".split())
+_STORY = frozenset("article entry post story content".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?until)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b")
 #: What an opening tag closes when it is still open.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = {"ul", "ol", "dl", "table", "article", "section", "main", "div", "body", "td", "th", "li", "blockquote", "aside", "nav", "header", "footer", "form"}
@@ -106,20 +110,40 @@ def parse(page: str) -> Node:
     return root
 
 
+@lru_cache(1 << 16)
+def _furniture(value: str, inside: bool) -> bool:
+    """Whether a class, id or role names furniture; ``inside`` an article or main element headers do not."""
+    for token in value.lower().split():
+        if token in _OUT_OF_SIGHT:
+            return True
+        parts = re.split("[-_]+", token)
+        for part in takewhile(lambda part: part not in _STATES, parts):
+            if _FURNITURE.fullmatch(part) and not (part == "header" and (inside or _STORY.intersection(parts))):
+                return True
+    return False
+
+
+def _inside(node: Node | None) -> bool:
+    while node is not None and node.name not in ("article", "main"):
+        node = node.parent
+    return node is not None
+
+
 def _dropped(name: str, attributes: str, parent: Node) -> bool:
     if name in DROP:
         return True
-    if name == "header":
-        up: Node | None = parent
-        while up is not None and up.name not in ("article", "main"):
-            up = up.parent
-        if up is None:
-            return True
+    if name == "header" and not _inside(parent):
+        return True
     if attributes and name not in ("html", "body", "article", "main"):
-        if _HIDDEN.search(attributes):
-            return True
-        for found in _NAMED.finditer(attributes):
-            if _FURNITURE.search(found[1] or found[2] or found[3] or ""):
+        for found in _ATTRIBUTE.finditer(attributes):
+            key, value = found[1].lower(), found[2] or found[3] or found[4] or ""
+            if key == "hidden" and not value.strip().lower().startswith("until"):
+                return True
+            if key == "aria-hidden" and value.strip().lower() == "true":
+                return True
+            if key == "style" and _NO_DISPLAY.search(value.lower()):
+                return True
+            if key in ("class", "id", "role") and _furniture(value, "header" in value.lower() and _inside(parent)):
                 return True
     return False
 

@@ -26,6 +26,21 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "attributes",
+    ["style='overflow:hidden'", "class='overflow-hidden'", "title='the hidden valley'", "class='content has-sidebar'", "class=with-sidebar", "class='no-comments'", "data-x='a class=menu'", "class=entry-header", "hidden=until-found"],
+)
+def test_attributes_that_only_sound_like_furniture(attributes):
+    assert main_text(f"<div {attributes}><p>{LONG}</p><p>{LONG}</p></div>") == f"{LONG} {LONG}"
+    assert main_text(f"<article><div {attributes}><h1>Title</h1></div><p>{LONG}</p></article>") == f"Title {LONG}"
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "HIDDEN=''", "aria-hidden=true", "style='color:red; display : none'", "class='box hidden'", "class=site-footer", "id=left-sidebar", "role=navigation", "class='nav-with-icons'"])
+def test_hidden_parts_and_furniture_go(attributes):
+    assert main_text(f"<article><p>{LONG}</p><div {attributes}><p>gone</p></div></article>") == LONG
+    assert main_text(f"<article><div class=article-header><h1>T</h1></div><p>{LONG}</p></article>") == f"T {LONG}"
+
+
 def test_deep_and_long_pages_end():
     assert main_text("<div>" * 20_000 + f"<p>{LONG}</p>") == LONG
     assert main_text(f"<article><p>{LONG * 5000}</p></article>") == " ".join((LONG * 5000).split())
