@@ -3,8 +3,8 @@
 A page becomes a tree of elements. Scripts, styles, forms, menus and other furniture are
 left out by element and by class or id. Each paragraph earns points for its length and
 commas and passes them to its ancestors, the nearer the more; a container's points are
-discounted by its share of link text. The best container is kept with those siblings that
-score well or read like text. Null and empty html, and pages without text, give an empty
+discounted by its share of link text. A best container within an article or main element stands
+for all of that element; any other is kept with those siblings that score well or read like text. Null and empty html, and pages without text, give an empty
 string. Broken markup is closed where the next block or the parent's end shows it; an
 unclosed script or style reaches to the end. Each page is handled alone, so repeated rows
 stay repeated rows.
@@ -194,7 +194,7 @@ def blocks(node: Node) -> list[tuple[Node, str, int]]:
 
 
 def main_text(page: str | None) -> str:
-    """Blocks of the best container and of its text-like siblings, joined by spaces."""
+    """Blocks of the best container (of all its article or main element) and of its text-like siblings, joined by spaces."""
     if not page:
         return ""
     root = parse(page)
@@ -230,8 +230,14 @@ def main_text(page: str | None) -> str:
 
     candidates = [n for n in touched.values() if n.name not in ("p", "li", "ul", "ol", "a", "span", "b", "i", "em", "strong")]
     best = max(candidates or touched.values(), key=final)
-    keep = {id(best)}
     bound = max(10.0, 0.2 * final(best))
+    # The outermost article or main element is kept whole: its parts need no score.
+    up = best
+    while up is not None:
+        if up.name in ("article", "main"):
+            best = up
+        up = up.parent
+    keep = {id(best)}
     if best.parent is not None:
         for sibling in best.parent.children:
             if isinstance(sibling, str) or id(sibling) not in sizes or sibling is best:

@@ -26,6 +26,16 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+def test_an_article_is_kept_whole():
+    long = "word, word, word, " + "more words of the story " * 12
+    told = " ".join(long.split())
+    five = f"<p>{long}</p>" * 5
+    assert main_text(f"<nav>Menu</nav><article><h1>T</h1><div>{five}</div></article>") == " ".join(["T", *[told] * 5])
+    assert main_text(f"<article><p>Lead</p><section>{five}{five}</section><section><p>{long}</p></section><p>End</p></article>") == " ".join(["Lead", *[told] * 11, "End"])
+    assert main_text(f"<main><h1>T</h1><article><div><div>{five}</div></div><p>End</p></article><div class=comments>{five}</div></main>") == " ".join(["T", *[told] * 5, "End"])
+    assert main_text(f"<div><p>Short</p><div>{five}</div></div>").endswith(told)
+
+
 @pytest.mark.parametrize(
     "attributes",
     ["style='overflow:hidden'", "class='overflow-hidden'", "title='the hidden valley'", "class='content has-sidebar'", "class=with-sidebar", "class='no-comments'", "data-x='a class=menu'", "class=entry-header", "hidden=until-found"],
