@@ -8,7 +8,8 @@ kept. All passages of a document are scored against these maxima together: a blo
 the threshold holds no item to retrieve and is skipped for that passage, which is the
 pivot test of block-max WAND taken for many passages at once. The items of the other blocks
 are scored exactly through their postings, and all above the threshold are verified:
-the words of the question and of the answer must be in the passage.
+of the words of the question and of the answer, most must be held in order by one stretch of the
+passage about as long as the item. An answer of few words may lack ``EDITS``, but not all.
 
 An item's last fifth of words is its answer, the rest its question. Words are compared in
 lower case without punctuation. Null, empty and wordless texts match nothing; items without
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from cdcmart.llm.common import add_columns, map_rows, table
 
 K1, B = 1.2, 0.75
-THRESHOLD, OVERLAP, SHINGLE = 0.5, 0.8, 5
+THRESHOLD, OVERLAP, EDITS = 0.5, 0.8, 2
 #: Items in a block. Passages hold common words of most items, so maxima over more items than
 #: a few come close to the threshold anywhere and skip nothing.
 BLOCK = 2
@@ -105,23 +106,57 @@ class Index:
             held[inside] = False
 
 
-def _shingles(found: list[str], n: int) -> set[tuple[str, ...]]:
-    return {tuple(found[i : i + n]) for i in range(len(found) - n + 1)}
+def _in_order(wanted: list[str], found: list[str]) -> list[int]:
+    """Length of the longest common subsequence of ``wanted`` and each prefix of ``found``; a bit per wanted word."""
+    whole, masks = (1 << len(wanted)) - 1, {}
+    for i, w in enumerate(wanted):
+        masks[w] = masks.get(w, 0) | 1 << i
+    left, lengths = whole, [0]
+    for w in found:
+        mask = masks.get(w)
+        if mask is not None:
+            same = left & mask
+            left = ((left + same) | (left - same)) & whole
+        lengths.append(len(wanted) - left.bit_count())
+    return lengths
+
+
+def _split(item: list[str]) -> tuple[list[str], list[str]]:
+    """Question and answer; an item of one word is an answer."""
+    at = len(item) - max(1, len(item) // 5)
+    return item[:at], item[at:]
 
 
 def overlaps(item: list[str], passage: list[str]) -> tuple[float, float]:
-    """Shares of the question's word 5-grams and of the answer's words that the passage holds.
+    """Shares of the question's and of the answer's words held in order, the answer after the question.
 
-    The answer's words are looked for where the passage holds the end of the question or more.
+    Both are looked for in one stretch of the passage, a fifth longer than the item. The
+    stretch and its division that hold most words of the item count, among equal ones those that
+    hold most of the question, so that its last words do not pass for an answer; 0 for too few.
     """
-    answer = item[len(item) - max(1, len(item) // 5) :]
-    question = item[: len(item) - len(answer)] or answer
-    n = min(SHINGLE, len(question))
-    wanted = _shingles(question, n)
-    asked = len(wanted & _shingles(passage, n)) / len(wanted)
-    n = min(2, len(answer))
-    wanted = _shingles(answer, n)
-    return asked, len(wanted & _shingles(passage, n)) / len(wanted)
+    size = len(item)
+    question, answer = _split(item)
+    best = (0, 0, 0)
+    held = set(passage)
+    if sum(w in held for w in item) < OVERLAP * size or _in_order(item, passage)[-1] < OVERLAP * size:
+        return 0.0, 0.0
+    stride = max(1, size // 20)
+    width = size + max(2, size // 5) + stride
+    for at in range(0, max(1, len(passage) - width + stride), stride):
+        part = passage[at : at + width]
+        asked = _in_order(question, part)
+        answered = _in_order(answer[::-1], part[::-1])[::-1]
+        best = max(best, max((q + a, q, a) for q, a in zip(asked, answered, strict=True)))
+        if best[0] == size:
+            break
+    return best[1] / len(question) if question else best[2] / len(answer), best[2] / len(answer)
+
+
+def holds(item: list[str], asked: float, answered: float) -> bool:
+    question, answer = map(len, _split(item))
+    lacking = round(answer * (1 - answered))
+    whole = question + answer - round(question * (1 - asked)) - lacking
+    return asked >= OVERLAP and lacking < answer and lacking <= max(EDITS, (1 - OVERLAP) * answer) and whole >= OVERLAP * len(item)
 
 
 def parts(items: DataFrame, key: str, text: str) -> Iterator[Index]:
@@ -152,7 +187,7 @@ def _held(index: Index, text: str | None) -> dict[int, tuple[float, float, float
     best: dict[int, tuple] = {}
     for at, score, _, passage in index.search(text):
         asked, answered = overlaps(index.items[at], passage)
-        if asked >= OVERLAP and answered >= OVERLAP:
+        if holds(index.items[at], asked, answered):
             best[at] = max(best.get(at, ()), (score, asked, answered))
     return best
 

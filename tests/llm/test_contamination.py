@@ -73,6 +73,46 @@ def test_edited_items_are_found_and_topics_are_not():
     assert min(contamination.overlaps(item, sorted(item))) < contamination.OVERLAP
 
 
+@pytest.mark.parametrize("size", [16, 18, 20, 24, 27, 30])
+def test_one_and_two_edits_of_short_items_are_found(size):
+    own = random.Random(size)
+    items = [(i, [own.choice(VOCABULARY) for _ in range(size)]) for i in range(30)]
+    frequency = Counter(w for _, x in items for w in set(x))
+    index = contamination.Index.build(items, frequency, len(items), float(size), size)
+    clean = [" ".join(own.choice(VOCABULARY) for _ in range(300)) for _ in range(30)]
+    assert not any(contamination._held(index, text) for text in clean)
+    answer = max(1, size // 5)
+    for number, item in items:
+        # Within the question; within the answer; one in each; two in each part as far as it has them.
+        for places in ([size // 3], [size - 2], [size // 3, size - 2], [size // 4, size // 2], [size - answer, size - 1]):
+            edited = item.copy()
+            for at in places:
+                edited[at] = "changed"
+            text = " ".join([*clean[number].split()[:130], *edited, *clean[number].split()[130:]])
+            assert number in {index.ids[at] for at in contamination._held(index, text)}, places
+        gone = " ".join(item[: size - answer])
+        assert number not in {index.ids[at] for at in contamination._held(index, f"{gone} other words follow here")}
+        shuffled = own.sample(item, size)
+        assert number not in {index.ids[at] for at in contamination._held(index, " ".join(shuffled))} or contamination._in_order(item, shuffled)[-1] >= 0.8 * size
+
+
+def test_long_items_and_longest_common_subsequences():
+    own = random.Random(3)
+    for _ in range(60):
+        a, b = ([own.choice("abcd") for _ in range(own.randint(0, 12))] for _ in "ab")
+        rows = [[0] * (len(a) + 1)]
+        for y in b:
+            rows.append([0])
+            for i, x in enumerate(a):
+                rows[-1].append(rows[-2][i] + 1 if x == y else max(rows[-2][i + 1], rows[-1][i]))
+        assert contamination._in_order(a, b) == [r[-1] for r in rows]
+    item = ["v%d" % own.randrange(5000) for _ in range(1000)]
+    spread = [w for i, x in enumerate(item) for w in ([x, "more"] if i % 9 == 0 else [x])]
+    assert contamination.overlaps(item, ["x"] * 471 + spread + ["y"] * 300) == (1.0, 1.0)
+    assert contamination.overlaps(item, [w for x in item for w in (x, "a", "b")])[1] < 0.8
+    assert contamination.overlaps(["one"], ["a", "one"]) == (1.0, 1.0)
+
+
 def test_empty_tables(spark, tmp_path):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string")
     none = spark.createDataFrame([], "item_id bigint, text string")
