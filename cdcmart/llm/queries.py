@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcmart.llm import bpe, chat, contamination, forest, html, language, neardup, repeats, shards, toxicity
+from cdcmart.llm import bpe, chat, contamination, forest, html, language, neardup, repeats, shards, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree": shards.op1_hash_tree,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_block_max": contamination.op8_block_max,
     "op9_word_backoff": language.op9_word_backoff,
     "op10_prefix_forest": forest.op10_prefix_forest,
+    "op12_token_counts": tokens.op12_token_counts,
 }
 
 ORACLE: dict[str, str] = {
