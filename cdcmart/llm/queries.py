@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcmart.llm import bpe, chat, contamination, forest, html, language, neardup, repeats, shards, tokens, toxicity
+from cdcmart.llm import bpe, chat, contamination, forest, html, language, neardup, ranked, repeats, shards, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree": shards.op1_hash_tree,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_word_backoff": language.op9_word_backoff,
     "op10_prefix_forest": forest.op10_prefix_forest,
     "op12_token_counts": tokens.op12_token_counts,
+    "op13_treap_search": ranked.op13_treap_search,
 }
 
 ORACLE: dict[str, str] = {
@@ -38,4 +39,38 @@ ORACLE: dict[str, str] = {
                CAST(sum(chars + length('<|start|>') + 1 + length('<|end|>') + 1) AS BIGINT) AS formatted_chars
         FROM said GROUP BY conv_id
     """,
+    "op13_treap_search": """
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents WHERE text IS NOT NULL
+        ), sizes AS (
+            SELECT r, doc_id, len(terms) AS n FROM docs WHERE len(terms) > 0
+        ), whole AS (
+            SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS l FROM sizes
+        ), wanted AS (
+            SELECT DISTINCT row_number() OVER () AS i, item_id, regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM benchmark WHERE text IS NOT NULL
+        ), asked AS (
+            SELECT DISTINCT i, item_id, unnest(terms) AS term FROM wanted
+        ), points AS (
+            SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM docs)
+            WHERE term IN (SELECT term FROM asked) GROUP BY r, term
+        ), weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM points, whole GROUP BY term, nn
+        ), scores AS (
+            SELECT a.i, a.item_id, s.r, s.doc_id,
+                   CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * nn) // l))))) AS BIGINT) AS score
+            FROM points p JOIN weights USING (term) JOIN asked a USING (term) JOIN sizes s ON s.r = p.r, whole
+            GROUP BY a.i, a.item_id, s.r, s.doc_id
+        ), ranked AS (
+            SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) AS rank
+            FROM scores WHERE score > 0
+        )
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+    """,
 }
