@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcmart.llm import bpe, chat, contamination, forest, html, language, neardup, ranked, repeats, shards, tokens, toxicity
+from cdcmart.llm import bpe, chat, contamination, forest, html, language, neardup, ranked, repeats, shards, tokens, toxicity, trie
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree": shards.op1_hash_tree,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_block_max": contamination.op8_block_max,
     "op9_word_backoff": language.op9_word_backoff,
     "op10_prefix_forest": forest.op10_prefix_forest,
+    "op11_prefix_trie": trie.op11_prefix_trie,
     "op12_token_counts": tokens.op12_token_counts,
     "op13_treap_search": ranked.op13_treap_search,
 }
@@ -73,4 +74,41 @@ ORACLE: dict[str, str] = {
         )
         SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
     """,
+    # A member's h is the CRC-32 of its id's digits, bit by bit: 3988292384 is the reversed polynomial.
+    "op11_prefix_trie": """
+        WITH turns AS (
+            SELECT conv_id AS c, struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) AS turn,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), lists AS (
+            SELECT c, list(turn ORDER BY pos) AS turns, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)) AS digits
+            FROM turns GROUP BY c
+        ), hashed AS (
+            SELECT *, xor(list_reduce(list_prepend(4294967295, digits), lambda crc, b: list_reduce(
+                       list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]),
+                       lambda x, bit: CASE x % 2 WHEN 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) % 9 AS h FROM lists
+        ), members AS (
+            SELECT a.c, list_concat(coalesce(b.turns[1:a.h], []), a.turns[a.h + 1:]) AS turns
+            FROM hashed a LEFT JOIN hashed b ON b.c = a.c - a.c % 5
+        ), prefixes AS (
+            SELECT c, len(turns) AS n, d, turns[1:d] AS prefix
+            FROM (SELECT *, unnest(range(0, CAST(len(turns) AS BIGINT) + 1)) AS d FROM members)
+        ), nodes AS (
+            SELECT prefix, d, min(c) AS conv_id, count(*) AS n_convs,
+                   coalesce(strlen(prefix[d].t), 0) * (count(*) - 1) AS own,
+                   sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256
+            FROM prefixes GROUP BY prefix, d
+        ), kids AS (
+            SELECT prefix[1:d - 1] AS prefix, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL
+        ), known AS (
+            SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids USING (prefix, d)
+        ), above AS (
+            SELECT prefix[1:e] AS prefix, e AS d, sum(own) AS saved, count(*) FILTER (n_children = 0) AS leaves
+            FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM known) GROUP BY ALL
+        )
+        SELECT k.conv_id, k.d AS depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children,
+               CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, k.ends_sha256
+        FROM known k JOIN above a ON a.prefix = k.prefix AND a.d = k.d
+        LEFT JOIN nodes p ON p.prefix = k.prefix[1:k.d - 1] AND p.d = k.d - 1
+    """,
 }
