@@ -43,7 +43,7 @@ BLOCK_DOCS, BLOCK_POINTS = 8192, 2_000_000
 PIECE = 1 << 20
 #: Ranges of documents that descend at once.
 GROUP = 128
-#: Blocks that give the first lower bounds.
+#: Blocks, about, that give the first lower bounds.
 SEEDS = 4
 #: Distinct (item, term) pairs that are sent to the tasks at once; more are searched in turns.
 PAIRS = 1_000_000
@@ -386,6 +386,7 @@ def ranked(
     told = cut_lineage(_item_terms(items, item, text).withColumn("number", F.monotonically_increasing_id()))
     pairs = told.agg(F.sum(F.octet_length("terms") / 8)).first()[0] or 0
     turns = max(1, math.ceil(pairs / PAIRS))
+    stored = blocks.count()
     found = empty
     schema = "number bigint, doc bigint, score bigint"
     for turn in range(turns):
@@ -399,7 +400,9 @@ def ranked(
             df = np.array([held.get(int(h), 0) for h in hashes.view(np.int64)], np.int64)
             weights = np.array([math.floor(1000 * math.log((2 * n + 2) / (2 * int(d) + 1))) for d in df], np.int64)
             asked.append((None, hashes[df > 0], weights[df > 0]))
-        seeds = _finds(blocks.limit(SEEDS), asked, k, [1] * len(asked), schema).groupBy("number").agg(F.sort_array(F.collect_list("score"), False).alias("s"))
+        # Drawn where they lie: a limit would bring blocks of every task to one.
+        some_blocks = blocks.sample(SEEDS / stored, 7) if stored > SEEDS else blocks
+        seeds = _finds(some_blocks, asked, k, [1] * len(asked), schema).groupBy("number").agg(F.sort_array(F.collect_list("score"), False).alias("s"))
         least = [1] * len(asked)
         for row in seeds.collect():
             best = sorted(row.s, reverse=True)
