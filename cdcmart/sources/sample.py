@@ -10,7 +10,7 @@ deleted. ``event_log`` and ``order_log`` give raw change logs with several versi
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial, reduce
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,15 +80,26 @@ class Sample:
         """The table as changes of several versions whose current state are the table's rows."""
         final = self._table(name)
         numbers = [f.name for f in final.schema if isinstance(f.dataType, T.NumericType) and f.name[0] != "_" and f.name != "id"]
-        first = final.withColumns(
-            # Amounts and counts were one less; references were missing.
-            {c: F.lit(None).cast(final.schema[c].dataType) if c.endswith("_id") else (F.col(c) - 1).cast(final.schema[c].dataType) for c in numbers}
-        )
-        newest = final.withColumn("_version", F.lit(2).cast("bigint"))
-        gone = final.where(F.pmod(F.xxhash64("id"), F.lit(10)) == 0).withColumn("id", -F.col("id") - 1)
-        deleted = gone.withColumns({"_version": F.lit(3).cast("bigint"), "_deleted": F.lit(1)})
-        parts = [first.withColumn("_version", F.lit(1).cast("bigint")), newest, newest, gone, deleted]
-        return reduce(DataFrame.unionByName, parts)
+
+        def told(kind: str, version: int, deleted: int = 0) -> Column:
+            return F.struct(F.lit(kind).alias("kind"), F.lit(version).cast("bigint").alias("version"), F.lit(deleted).alias("deleted"))
+
+        newest = told("newest", 2)
+        events = F.array(told("first", 1), newest, newest)
+        gone = F.array(told("gone", 0), told("gone", 3, 1))
+        # One pass over the mapped rows: every row tells all its versions.
+        events = F.when(F.pmod(F.xxhash64("id"), F.lit(10)) == 0, F.concat(events, gone)).otherwise(events)
+        kind, rows = F.col("_event.kind"), final.withColumn("_event", F.explode(events))
+        # At first amounts and counts were one less, references were missing.
+        first = {c: None if c.endswith("_id") else F.col(c) - 1 for c in numbers}
+        changed = {c: F.when(kind != "first", F.col(c)) if value is None else F.when(kind == "first", value).otherwise(F.col(c)) for c, value in first.items()}
+        changed = {c: value.cast(final.schema[c].dataType) for c, value in changed.items()}
+        changed |= {
+            "id": F.when(kind == "gone", -F.col("id") - 1).otherwise(F.col("id")),
+            "_version": F.col("_event.version"),
+            "_deleted": F.col("_event.deleted"),
+        }
+        return rows.withColumns(changed).select(*final.columns)
 
     def _table(self, name: str) -> DataFrame:
         return getattr(self, name)().withColumns({"_version": F.lit(0).cast("bigint"), "_deleted": F.lit(0)})
