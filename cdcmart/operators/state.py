@@ -71,16 +71,20 @@ def base_and_changes(
 ) -> DataFrame:
     """Current rows of a compacted ``base`` and the changes since.
 
-    A change that is older than the base's row of its key must not win, so the base's rows of
-    changed keys take part in the pick; all others pass untouched. Filters reach both scans, except for the
-    changes' own columns.
+    A change that is older than the base's row of its key must not win. So the newest change of each key
+    is held against the base's version, of which only key and version columns are read; a base
+    row counts unless a newer change exists. Filters reach the base's scan. Where the base is bucketed by the key
+    (``sources.base``), none of its rows is moved.
     """
-    names = _list(keys)
-    changed = changes.select(*names).distinct()
-    touched = base.join(changed, names, "left_semi").select(*base.columns)
-    newest = current_state(changes.unionByName(touched, allowMissingColumns=True), names, version)
-    kept = base.where(F.col("_deleted") == 0).join(changed, names, "left_anti").select(*base.columns)
-    return kept.unionByName(newest, allowMissingColumns=True)
+    names, order = _list(keys), _list(version)
+    newest = current_state(changes, names, order, include_deleted=True)
+    told = newest.select(*names, F.struct(*order).alias("_told")).hint("merge")
+    known = base.select(*names, F.struct(*order).alias("_known"))
+    newer = [F.col(f"b.{k}") == F.col(f"c.{k}") for k in names] + [F.col("_told") > F.struct(*[F.col(f"b.{v}") for v in order])]
+    kept = base.where(F.col("_deleted") == 0).alias("b").join(told.alias("c"), newer, "left_anti").select(*base.columns)
+    older = [F.col(f"b.{k}") == F.col(f"c.{k}") for k in names] + [F.col("_known") >= F.struct(*[F.col(f"c.{v}") for v in order])]
+    wins = newest.alias("c").join(known.hint("merge").alias("b"), older, "left_anti").select(*newest.columns)
+    return kept.unionByName(wins.where(F.col("_deleted") == 0), allowMissingColumns=True)
 
 
 def align_schema(rows: DataFrame, spec: TableSpec) -> DataFrame:

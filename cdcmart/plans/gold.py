@@ -100,11 +100,12 @@ def sale_heads(orders: DataFrame) -> DataFrame:
     return orders.withColumn("date_key", business_date(F.col("created_at"))).select(*ORDER_COLUMNS)
 
 
-def sales_line_base(heads: DataFrame, order_items: DataFrame) -> DataFrame:
-    """Lines of delivered orders with the order's attributes."""
+def sales_line_base(heads: DataFrame, order_items: DataFrame, keys_from: DataFrame | None = None) -> DataFrame:
+    """Lines of delivered orders with the order's attributes. Hot orders are looked for in ``keys_from``
+    (default: the lines themselves), also in the steps below."""
     attributes = {name: name for name in ORDER_COLUMNS if name != "order_id"}
     lines = order_items.select("order_id", *LINE_COLUMNS)
-    joined = spread_lookup_join(lines, heads, {"order_id": "order_id"}, attributes, ["order_item_id"], "inner")
+    joined = spread_lookup_join(lines, heads, {"order_id": "order_id"}, attributes, ["order_item_id"], "inner", keys_from)
     return joined.select(*ORDER_COLUMNS, *LINE_COLUMNS)
 
 
@@ -152,23 +153,25 @@ def _by_totals(heads: DataFrame, lines: DataFrame, hot: DataFrame, ranked: bool)
     return shares.join(F.broadcast(totals), "order_id")
 
 
-def _shares(heads: DataFrame, order_items: DataFrame, ranked: bool) -> DataFrame:
+def _shares(heads: DataFrame, order_items: DataFrame, ranked: bool, keys_from: DataFrame | None) -> DataFrame:
     lines = order_items.select("order_id", *LINE_COLUMNS)
     # By the line's own id alone: the sample is then taken before the newest versions are picked.
-    hot = hot_keys(lines, ["order_id"], ["order_item_id"])
+    hot = hot_keys(lines if keys_from is None else keys_from, ["order_id"], ["order_item_id"])
     ordinary = _by_window(heads, lines.join(F.broadcast(hot), "order_id", "left_anti"), ranked)
     crowded = _by_totals(heads, lines.join(F.broadcast(hot), "order_id", "left_semi"), hot, ranked)
     return ordinary.unionByName(crowded)
 
 
-def sales_line_preliminary(heads: DataFrame, order_items: DataFrame) -> DataFrame:
+def sales_line_preliminary(heads: DataFrame, order_items: DataFrame, keys_from: DataFrame | None = None) -> DataFrame:
     """Discount share per line, its rank from the last line, and the order's sum of shares."""
-    return _shares(heads, order_items, ranked=True).select(
+    return _shares(heads, order_items, True, keys_from).select(
         *ORDER_COLUMNS, *LINE_COLUMNS, "preliminary_discount", "reverse_line_number", "preliminary_total"
     )
 
 
-def sales_line_allocated(heads: DataFrame, order_items: DataFrame, *, ranked: bool = True) -> DataFrame:
+def sales_line_allocated(
+    heads: DataFrame, order_items: DataFrame, *, ranked: bool = True, keys_from: DataFrame | None = None
+) -> DataFrame:
     """The last line (largest id) takes what rounding left over, cents may go negative.
 
     ``ranked=False`` leaves the line rank out; the facts do not need it.
@@ -177,7 +180,7 @@ def sales_line_allocated(heads: DataFrame, order_items: DataFrame, *, ranked: bo
     gross = F.when(F.col("order_item_id") == F.col("last_item_id"), remainder).otherwise(
         F.col("preliminary_discount")
     )
-    return _shares(heads, order_items, ranked).select(
+    return _shares(heads, order_items, ranked, keys_from).select(
         *ORDER_COLUMNS,
         *LINE_COLUMNS,
         "preliminary_discount",
@@ -187,10 +190,12 @@ def sales_line_allocated(heads: DataFrame, order_items: DataFrame, *, ranked: bo
     )
 
 
-def sales_line_measured(heads: DataFrame, order_items: DataFrame, *, ranked: bool = True) -> DataFrame:
+def sales_line_measured(
+    heads: DataFrame, order_items: DataFrame, *, ranked: bool = True, keys_from: DataFrame | None = None
+) -> DataFrame:
     """The discount without tax: gross discount times the line's untaxed share."""
     ratio = exact_ratio_round(F.col("discount_gross"), F.col("gmv"), F.col("subtotal_amount").cast(AMOUNT))
-    return sales_line_allocated(heads, order_items, ranked=ranked).withColumn(
+    return sales_line_allocated(heads, order_items, ranked=ranked, keys_from=keys_from).withColumn(
         "discount_ex_vat",
         F.coalesce(ratio, F.lit(0).cast(MONEY)),
     )

@@ -57,11 +57,17 @@ def order_status(order_status: DataFrame) -> DataFrame:
     )
 
 
-def placed_orders(orders: DataFrame, addresses: DataFrame, discounts: DataFrame) -> DataFrame:
-    """Orders with delivery city and campaign: all that the sales facts need."""
-    joined = spread_lookup_join(orders, addresses, {"address_id": "id"}, {"_province": "province_id"}, ["id"])
+def placed_orders(
+    orders: DataFrame, addresses: DataFrame, discounts: DataFrame, keys_from: DataFrame | None = None
+) -> DataFrame:
+    """Orders with delivery city and campaign: all that the sales facts need. Hot references are
+    looked for in ``keys_from`` (default: the orders)."""
+    source = orders if keys_from is None else keys_from
+    joined = spread_lookup_join(
+        orders, addresses, {"address_id": "id"}, {"_province": "province_id"}, ["id"], keys_from=source
+    )
     joined = spread_lookup_join(
-        joined, discounts, {"discount_id": "id"}, {"_campaign": "adscampaign_id"}, ["id"], keys_from=orders
+        joined, discounts, {"discount_id": "id"}, {"_campaign": "adscampaign_id"}, ["id"], keys_from=source
     )
     return joined.withColumns(
         {
@@ -79,8 +85,9 @@ def orders(
     discounts: DataFrame,
     payment_methods: DataFrame,
     shipping_methods: DataFrame,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    joined = placed_orders(orders, addresses, discounts)
+    joined = placed_orders(orders, addresses, discounts, keys_from)
     joined = lookup_join(
         joined, payment_methods, {"payment_method_id": "id"}, {"_payment": "payment_method_name"}
     )

@@ -57,10 +57,15 @@ class Warehouse:
         if table in self.compacted:
             return rows.where(F.col("_deleted") == 0)
         if table in self.base:
-            source = self.base[table]
-            return base_and_changes(source() if callable(source) else source, rows, "id", self.version)
+            return base_and_changes(self._base(table), rows, "id", self.version)
         return current_state(rows, "id", self.version)
 
+    def _base(self, table: str) -> DataFrame | None:
+        """The compacted copy of a table, where hot keys are looked for: a key that is hot there is hot.
+        The few changes since cannot make one that a task could not take."""
+        source = self.base.get(table)
+        return source() if callable(source) else source
+
     # cleaned entities
 
     def users(self) -> DataFrame:
@@ -85,6 +90,7 @@ class Warehouse:
             self.current("discounts"),
             self.current("payment_methods"),
             self.current("shipping_methods"),
+            self._base("orders"),
         )
 
     def products(self) -> DataFrame:
@@ -121,21 +127,30 @@ class Warehouse:
     def sale_heads(self) -> DataFrame:
         """Delivered orders only, filtered before their places are looked up."""
         sold = gold.only_delivered(self._live_orders(), self.order_status())
-        return gold.sale_heads(silver.placed_orders(sold, self.current("addresses"), self.current("discounts")))
+        placed = silver.placed_orders(sold, self.current("addresses"), self.current("discounts"), self._base("orders"))
+        return gold.sale_heads(placed)
+
+    def _base_items(self) -> DataFrame | None:
+        base = self._base("orderdetails")
+        return None if base is None else silver.order_items(base)
 
     def sales_line_base(self) -> DataFrame:
-        return gold.sales_line_base(self.sale_heads(), self.order_items())
+        return gold.sales_line_base(self.sale_heads(), self.order_items(), self._base_items())
 
     def sales_line_preliminary(self) -> DataFrame:
-        return gold.sales_line_preliminary(self.sale_heads(), self.order_items())
+        return gold.sales_line_preliminary(self.sale_heads(), self.order_items(), self._base_items())
 
     def sales_line_allocated(self, *, ranked: bool = True) -> DataFrame:
-        return gold.sales_line_allocated(self.sale_heads(), self.order_items(), ranked=ranked)
+        return gold.sales_line_allocated(
+            self.sale_heads(), self.order_items(), ranked=ranked, keys_from=self._base_items()
+        )
 
     def sales_line_measured(self, *, ranked: bool = True) -> DataFrame:
         if self._measured is not None and not ranked:
             return self._measured
-        return gold.sales_line_measured(self.sale_heads(), self.order_items(), ranked=ranked)
+        return gold.sales_line_measured(
+            self.sale_heads(), self.order_items(), ranked=ranked, keys_from=self._base_items()
+        )
 
     def fact_sales_product(self) -> DataFrame:
         return gold.fact_sales_product(self.sales_line_measured(ranked=False))
