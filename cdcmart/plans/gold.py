@@ -201,40 +201,45 @@ def sales_line_measured(
     )
 
 
+SALES_KEYS = ("date_key", "city_id", "product_id", "campaign_key")
+
+
+def sales_sums(measured: DataFrame, *more: str) -> DataFrame:
+    """The additive measures of sale lines by day, city, product, campaign (and ``more``)."""
+    known = F.sum((F.col("quantity") * F.col("unit_cost_at_order")).cast(MONEY)).cast(TOTAL)
+    return measured.groupBy(*SALES_KEYS, *more).agg(
+        F.sum(F.col("quantity").cast("bigint")).alias("quantity"),
+        F.sum("gmv").cast(TOTAL).alias("gmv"),
+        F.coalesce(known, F.lit(0).cast(TOTAL)).alias("known_cost"),
+        F.count_if(F.col("unit_cost_at_order").isNull()).alias("unknown_cost_line_count"),
+        F.sum("discount_gross").cast(TOTAL).alias("discount_gross"),
+        F.sum("discount_ex_vat").cast(TOTAL).alias("discount_val"),
+        *[F.count_distinct("order_id").alias("order_count")] * (not more),
+    )
+
+
+def finish_sales(sums: DataFrame) -> DataFrame:
+    """The sales fact from its sums."""
+    return sums.select(
+        *SALES_KEYS,
+        "quantity",
+        "gmv",
+        F.when(F.col("unknown_cost_line_count") == 0, F.col("known_cost")).alias("total_cost"),
+        "unknown_cost_line_count",
+        "discount_gross",
+        "discount_val",
+        (F.col("gmv") - F.col("discount_val")).cast(TOTAL).alias("net_revenue"),
+        "order_count",
+    )
+
+
 def fact_sales_product(measured: DataFrame) -> DataFrame:
     """Delivered sales by day, city, product and campaign.
 
     ``total_cost`` is NULL as soon as one line's cost is unknown. ``order_count`` is
     distinct within its row and must not be added up over products.
     """
-    unknown = F.count_if(F.col("unit_cost_at_order").isNull())
-    cost = F.sum((F.col("quantity") * F.col("unit_cost_at_order")).cast(MONEY)).cast(TOTAL)
-    return (
-        measured.groupBy("date_key", "city_id", "product_id", "campaign_key")
-        .agg(
-            F.sum(F.col("quantity").cast("bigint")).alias("quantity"),
-            F.sum("gmv").cast(TOTAL).alias("gmv"),
-            cost.alias("_cost"),
-            unknown.alias("unknown_cost_line_count"),
-            F.sum("discount_gross").cast(TOTAL).alias("discount_gross"),
-            F.sum("discount_ex_vat").cast(TOTAL).alias("discount_val"),
-            F.count_distinct("order_id").alias("order_count"),
-        )
-        .select(
-            "date_key",
-            "city_id",
-            "product_id",
-            "campaign_key",
-            "quantity",
-            "gmv",
-            F.when(F.col("unknown_cost_line_count") == 0, F.col("_cost")).alias("total_cost"),
-            "unknown_cost_line_count",
-            "discount_gross",
-            "discount_val",
-            (F.col("gmv") - F.col("discount_val")).cast(TOTAL).alias("net_revenue"),
-            "order_count",
-        )
-    )
+    return finish_sales(sales_sums(measured))
 
 
 def discount_conservation(allocated: DataFrame) -> DataFrame:

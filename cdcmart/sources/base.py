@@ -1,7 +1,7 @@
 """Keyed tables kept in hash buckets and merged incrementally.
 
-A store is a folder of immutable Parquet files and a manifest per version, which names for
-every bucket (``slot``) the folder that holds it. A merge joins the incoming rows with the
+A store is a folder of immutable Parquet files and a manifest per version, a small text that names for
+every bucket (``slot``) the folder that holds it and appears as a whole. A merge joins the incoming rows with the
 buckets that they fall into, writes those buckets anew and commits a manifest; all other
 buckets keep their files. Readers of an older version are not disturbed, since no file is
 changed or removed before ``drop_unreferenced``.
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import json
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 
@@ -21,9 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcmart.operators.state import current_state
-from cdcmart.sources.log import COMMITS, _committed, _exists, publish
 
-MANIFEST = "manifest"
 _ADDED_AT_ONCE = 1000
 
 #: From a full outer join of a stored row ``old`` and an incoming one ``new``, either of which may
@@ -68,21 +67,32 @@ class Store:
     def __init__(self, spark: SparkSession, path: str, *, buckets: int, keys: Sequence[str] = ("id",), by: Sequence[str] | None = None):
         self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
         self.keys, self.by = list(keys), list(by or keys)
+        self._manifests: dict[int, dict[int, str]] = {}
         if not set(self.by) <= set(self.keys):
             raise ValueError("rows are bucketed by some of their keys")
 
     # versions
 
+    def _hadoop(self, path: str):
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{path}")
+        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
+
+    def _names(self, path: str) -> list[str]:
+        system, target = self._hadoop(path)
+        return [status.getPath().getName() for status in system.listStatus(target)] if system.exists(target) else []
+
     def versions(self) -> list[int]:
-        if not _exists(self.spark, f"{self.path}/{COMMITS}"):
-            return []
-        rows = self.spark.read.schema("batch_id bigint").parquet(f"{self.path}/{COMMITS}").distinct().collect()
-        return sorted(row.batch_id for row in rows)
+        return sorted(int(name[:-5]) for name in self._names("manifests") if name.endswith(".json"))
 
     def manifest(self, version: int) -> dict[int, str]:
         """Folder of each bucket that has rows; there are at most ``buckets``."""
-        rows = self.spark.read.schema("slot int, folder string").parquet(f"{self.path}/{MANIFEST}/batch_id={version}").collect()
-        return {row.slot: row.folder for row in rows}
+        if version not in self._manifests:
+            system, target = self._hadoop(f"manifests/{version}.json")
+            stream = system.open(target)
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            stream.close()
+            self._manifests[version] = {slot: folder for folder, slots in json.loads(text).items() for slot in slots}
+        return self._manifests[version]
 
     def _pick(self, upto: int | None, before: int | None) -> int | None:
         found = [v for v in self.versions() if (upto is None or v <= upto) and (before is None or v < before)]
@@ -97,6 +107,10 @@ class Store:
         renamed = rows.select(*[F.col(theirs).alias(ours) for theirs, ours in zip(by or self.by, self.by, strict=True)])
         return [row[0] for row in renamed.select(self.slot()).distinct().collect()]
 
+    def has_rows(self, *, upto: int | None = None, before: int | None = None) -> bool:
+        version = self._pick(upto, before)
+        return version is not None and bool(self.manifest(version))
+
     # reading
 
     def read(self, *, upto: int | None = None, before: int | None = None, slots: Iterable[int] | None = None) -> DataFrame:
@@ -142,30 +156,34 @@ class Store:
         return folder
 
     def _commit(self, batch_id: int, folders: dict[int, str]) -> None:
-        manifest = self.spark.createDataFrame(sorted(folders.items()), "slot int, folder string").coalesce(1)
-        publish({MANIFEST: manifest}, self.path, batch_id)
+        slots: dict[str, list[int]] = {}
+        for slot, folder in sorted(folders.items()):
+            slots.setdefault(folder, []).append(slot)
+        system, written = self._hadoop(f"manifests/{uuid.uuid4().hex}.part")
+        stream = system.create(written, False)
+        stream.write(bytearray(json.dumps(slots).encode()))
+        stream.close()
+        system.rename(written, self._hadoop(f"manifests/{batch_id}.json")[1])
 
     def _written(self, folder: str) -> list[int]:
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
-        names = [s.getPath().getName() for s in root.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(root)]
-        return [int(name[5:]) for name in names if name.startswith("slot=")]
+        return [int(name[5:]) for name in self._names(folder) if name.startswith("slot=")]
 
     def create(self, rows: DataFrame, batch_id: int = 0) -> bool:
         """The first version, from rows with one row per key; False if the batch is there."""
-        if _committed(self.spark, self.path, batch_id):
+        if batch_id in self.versions():
             return False
         folder = self._write(rows.repartition(self.buckets, *self.by))
         self._commit(batch_id, dict.fromkeys(self._written(folder), folder))
         return True
 
     def merge(self, rows: DataFrame, batch_id: int, resolve: Resolve, keep: Column | None = None) -> bool:
-        """A new version with ``rows`` (one per key) merged in; False if the batch is there.
+        """A new version with ``rows`` (one per key) merged in; False if the batch is there. ``rows`` are computed twice.
 
         Only buckets that a row falls into are read and written. Stored rows are not moved: the
         incoming ones come to them, and a task writes the bucket that it has read. Merged rows
         for which ``keep`` does not hold are left out.
         """
-        if _committed(self.spark, self.path, batch_id):
+        if batch_id in self.versions():
             return False
         version = self._pick(None, batch_id)
         if version is None:
@@ -208,8 +226,7 @@ class Store:
         """Delete folders that none of the newest ``keep`` versions names and that were written
         ``before`` (a merge that runs now has not committed its folder yet)."""
         named = {folder for version in self.versions()[-keep:] for folder in self.manifest(version).values()}
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/files")
-        system = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        system, root = self._hadoop("files")
         dropped = []
         for status in system.listStatus(root) if system.exists(root) else []:
             folder = f"files/{status.getPath().getName()}"
@@ -222,5 +239,5 @@ class Store:
         """Forget all versions and delete the files: for stores of one run."""
         for version in self.versions():
             self.spark.sql(f"DROP TABLE IF EXISTS store_{hashlib.md5(self.path.encode()).hexdigest()[:16]}_{version}")
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        root.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(root, True)
+        system, root = self._hadoop(".")
+        system.delete(root.getParent() if root.getName() == "." else root, True)

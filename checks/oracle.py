@@ -566,3 +566,6 @@ ORACLE: dict[str, str] = {
 # Other ways to the same rows.
 ORACLE["report_overview_sales_compacted"] = ORACLE["report_overview_sales"]
 ORACLE["report_overview_sales_base"] = ORACLE["report_overview_sales_days"]
+ORACLE["incremental_compaction"] = ORACLE["compacted_changes"]
+for _name in ("fact_sales_product", "fact_order_overview", "fact_user_registration"):
+    ORACLE[f"maintained_{_name}"] = ORACLE[_name]

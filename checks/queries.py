@@ -8,6 +8,7 @@ decimal arithmetic.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -24,8 +25,10 @@ from cdcmart.operators import quality, state
 from cdcmart.operators.asof import unit_cost_asof
 from cdcmart.operators.bronze import typed_bronze
 from cdcmart.operators.quarantine import quarantine, quarantine_summary
+from cdcmart.plans.maintained import MaintainedFacts
 from cdcmart.plans.warehouse import Warehouse
-from cdcmart.session import configure
+from cdcmart.session import checkpoint_dir, configure
+from cdcmart.sources.base import Store
 from cdcmart.sources.changes import capture_raw, drop_sensitive, protect, snapshot_as_changes, unwrap_envelope
 from cdcmart.sources.log import expire
 from cdcmart.sources.sample import Sample
@@ -254,6 +257,46 @@ def compacted_changes(sample: Sample) -> DataFrame:
     return state.compact(state.compact(log).unionByName(log))
 
 
+def _scratch(sample: Sample, name: str) -> str:
+    return f"{checkpoint_dir(sample.spark, scratch=True)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def incremental_compaction(sample: Sample) -> DataFrame:
+    """Users' changes merged in four batches into a bucketed base. Later batches hold older changes as well, and the
+    last one comes a second time."""
+    store = Store(sample.spark, _scratch(sample, "compaction"), buckets=16)
+    log = sample.event_changes()
+    part = F.pmod(F.xxhash64("_version"), F.lit(4))
+    for batch in (0, 1, 2, 3, 4):
+        store.merge_changes(log.where(part == min(batch, 3)), batch)
+    found = store.read().checkpoint()
+    store.discard()
+    return found
+
+
+def _maintained(name: str, sample: Sample) -> DataFrame:
+    """A fact after a first load and two batches of changes. A third of all rows is corrected late, half of
+    these with the first batch; rows that are deleted later count until then; the second batch
+    also repeats the first one's changes and corrects what orders refer to."""
+    facts = MaintainedFacts(sample.spark, _scratch(sample, name), [name], buckets=8)
+    late, soon = F.pmod(F.xxhash64("id"), F.lit(3)) == 0, F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2)) == 0
+    version = F.col("_version")
+    first = {table: sample.history(table).where((version == 0) | (late & (version == 1)) | (~late & (version == 2))) for table in facts.tables}
+    corrected = {table: sample.history(table).where(((version == 2) & late) | (version == 3)) for table in facts.tables}
+    own = ("orders", "orderdetails", "users")
+    facts.apply(first, 0)
+    facts.apply({table: rows.where(soon) for table, rows in corrected.items() if table in own}, 1)
+    facts.apply(corrected, 2)
+    found = getattr(facts, name)().checkpoint()
+    facts.discard()
+    return found
+
+
+for _name in ("fact_sales_product", "fact_order_overview", "fact_user_registration"):
+    query(partial(_maintained, _name), f"maintained_{_name}")
+
+
 @query
 def replay_idempotent(sample: Sample) -> DataFrame:
     log = sample.order_log()
