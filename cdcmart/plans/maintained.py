@@ -95,7 +95,7 @@ class MaintainedFacts:
         """
         checkpoint_dir(self.spark, scratch=True)
         told = {table: rows for table, rows in changes.items() if table in self.tables}
-        if any(store.has_rows(before=batch_id) for store in self.tables.values()):
+        if any(store.exists(before=batch_id) for store in self.tables.values()):
             # Read several times below. A first load is not copied.
             told = {table: rows.checkpoint() for table, rows in told.items()}
         for table, rows in told.items():
@@ -133,16 +133,16 @@ class MaintainedFacts:
         if about == "orders":
             if "orderdetails" in told:
                 found.append(told["orderdetails"].select(F.col("order_id").alias("id")))
-            orders = self._rows("orders", {"upto": batch_id})
             for table, reference in REFERENCES.items():
                 if table in told and table in self.tables:
                     # Orders whose own reference changed are affected anyhow, so the new references do.
                     ids = told[table].select(F.col("id").alias(reference)).distinct()
+                    orders = self._rows("orders", {"upto": batch_id})
                     found.append(orders.join(ids, reference, "left_semi").select("id"))
         return reduce(DataFrame.unionByName, found).where("id IS NOT NULL").distinct()
 
     def _has(self, table: str, which: Mapping[str, int]) -> bool:
-        return self.tables[table].has_rows(**which)
+        return self.tables[table].exists(**which)
 
     def _rows(self, table: str, which: Mapping[str, int], slots: Sequence[int] | None = None) -> DataFrame:
         if self._has(table, which):

@@ -20,6 +20,7 @@ from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cdcmart.operators.state import current_state
 
@@ -67,7 +68,7 @@ class Store:
     def __init__(self, spark: SparkSession, path: str, *, buckets: int, keys: Sequence[str] = ("id",), by: Sequence[str] | None = None):
         self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
         self.keys, self.by = list(keys), list(by or keys)
-        self._manifests: dict[int, dict[int, str]] = {}
+        self._manifests: dict[int, tuple[dict[int, str], T.StructType]] = {}
         if not set(self.by) <= set(self.keys):
             raise ValueError("rows are bucketed by some of their keys")
 
@@ -89,10 +90,15 @@ class Store:
         if version not in self._manifests:
             system, target = self._hadoop(f"manifests/{version}.json")
             stream = system.open(target)
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            told = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
             stream.close()
-            self._manifests[version] = {slot: folder for folder, slots in json.loads(text).items() for slot in slots}
-        return self._manifests[version]
+            folders = {slot: folder for folder, slots in told["folders"].items() for slot in slots}
+            self._manifests[version] = folders, T.StructType.fromJson(told["schema"])
+        return self._manifests[version][0]
+
+    def schema(self, version: int) -> T.StructType:
+        self.manifest(version)
+        return self._manifests[version][1]
 
     def _pick(self, upto: int | None, before: int | None) -> int | None:
         found = [v for v in self.versions() if (upto is None or v <= upto) and (before is None or v < before)]
@@ -107,9 +113,8 @@ class Store:
         renamed = rows.select(*[F.col(theirs).alias(ours) for theirs, ours in zip(by or self.by, self.by, strict=True)])
         return [row[0] for row in renamed.select(self.slot()).distinct().collect()]
 
-    def has_rows(self, *, upto: int | None = None, before: int | None = None) -> bool:
-        version = self._pick(upto, before)
-        return version is not None and bool(self.manifest(version))
+    def exists(self, *, upto: int | None = None, before: int | None = None) -> bool:
+        return self._pick(upto, before) is not None
 
     # reading
 
@@ -123,17 +128,16 @@ class Store:
             rows = rows.where(F.col("slot").isin(sorted(slots)))
         return rows.drop("slot")
 
+    def _name(self, version: int) -> str:
+        return f"store_{hashlib.md5(self.path.encode()).hexdigest()[:16]}_{version}"
+
     def _declared(self, version: int) -> str:
         """The catalog table of a version: external, bucketed, a partition per bucket."""
-        name = f"store_{hashlib.md5(self.path.encode()).hexdigest()[:16]}_{version}"
+        name = self._name(version)
         if self.spark.catalog.tableExists(name):
             return name
         folders = self.manifest(version)
-        first = next(iter(folders.values()), None)
-        schema = self.spark.read.parquet(f"{self.path}/{first}").drop("slot").schema if first else None
-        if schema is None:
-            raise ValueError(f"version {version} of {self.path} has no row")
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema(version))
         by = ", ".join(f"`{c}`" for c in self.by)
         self.spark.sql(
             f"CREATE TABLE {name} ({columns}, slot INT) USING parquet PARTITIONED BY (slot) "
@@ -155,13 +159,13 @@ class Store:
         self.spark.sql(f"DROP TABLE {name}")  # its files stay
         return folder
 
-    def _commit(self, batch_id: int, folders: dict[int, str]) -> None:
+    def _commit(self, batch_id: int, folders: dict[int, str], schema: T.StructType) -> None:
         slots: dict[str, list[int]] = {}
         for slot, folder in sorted(folders.items()):
             slots.setdefault(folder, []).append(slot)
         system, written = self._hadoop(f"manifests/{uuid.uuid4().hex}.part")
         stream = system.create(written, False)
-        stream.write(bytearray(json.dumps(slots).encode()))
+        stream.write(bytearray(json.dumps({"schema": schema.jsonValue(), "folders": slots}).encode()))
         stream.close()
         system.rename(written, self._hadoop(f"manifests/{batch_id}.json")[1])
 
@@ -173,7 +177,7 @@ class Store:
         if batch_id in self.versions():
             return False
         folder = self._write(rows.repartition(self.buckets, *self.by))
-        self._commit(batch_id, dict.fromkeys(self._written(folder), folder))
+        self._commit(batch_id, dict.fromkeys(self._written(folder), folder), rows.schema)
         return True
 
     def merge(self, rows: DataFrame, batch_id: int, resolve: Resolve, keep: Column | None = None) -> bool:
@@ -191,17 +195,11 @@ class Store:
         folders = self.manifest(version)
         touched = self.slots_of(rows)
         if touched:
-            # Without a stored row in any bucket there is no table to declare.
-            if not folders:
-                merged = rows if keep is None else rows.where(keep)
-                merged = merged.repartition(self.buckets, *self.by)
-            else:
-                merged = self._joined(self.read(upto=version, slots=touched), rows, resolve)
-                merged = merged if keep is None else merged.where(keep)
-            folder = self._write(merged)
+            merged = self._joined(self.read(upto=version, slots=touched), rows, resolve)
+            folder = self._write(merged if keep is None else merged.where(keep))
             folders = {slot: name for slot, name in folders.items() if slot not in set(touched)}
             folders |= dict.fromkeys(self._written(folder), folder)
-        self._commit(batch_id, folders)
+        self._commit(batch_id, folders, self.schema(version))
         return True
 
     def _joined(self, stored: DataFrame, rows: DataFrame, resolve: Resolve) -> DataFrame:
@@ -238,6 +236,6 @@ class Store:
     def discard(self) -> None:
         """Forget all versions and delete the files: for stores of one run."""
         for version in self.versions():
-            self.spark.sql(f"DROP TABLE IF EXISTS store_{hashlib.md5(self.path.encode()).hexdigest()[:16]}_{version}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(version)}")
         system, root = self._hadoop(".")
         system.delete(root.getParent() if root.getName() == "." else root, True)

@@ -473,6 +473,15 @@ ORACLE: dict[str, str] = {
     "discount_conservation": _with(LINES, select="""SELECT count(*) AS order_count,
         count(*) FILTER (g <> d) AS violation_count, CAST(sum(g) AS DOUBLE) / 100.0 AS discount_total
       FROM (SELECT order_id, sum(g_c) AS g, max(d_c) AS d FROM alloc GROUP BY 1)"""),
+    "distinct_orders": _with(LINES, PRODUCTS, select="""
+      SELECT 'category' AS scope, category_name AS name, count(DISTINCT order_id) AS order_count
+      FROM base LEFT JOIN sp USING (product_id) GROUP BY ALL
+      UNION ALL SELECT 'month', strftime(day, '%Y-%m'), count(DISTINCT order_id) FROM base GROUP BY ALL"""),
+    "chunked_snapshot": """WITH last AS (
+        SELECT user_id AS id, max(event_id) AS v, arg_max(event_type, event_id) AS kind FROM events GROUP BY 1
+      )
+      SELECT id, 'name ' || v AS username FROM last WHERE kind <> 'error'
+      UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT id FROM last)""",
     # reports
     "report_marketing_dashboard": _with(LINES, PRODUCTS, LOCATIONS, select=f"""
       SELECT CAST(day AS VARCHAR) AS date, month, quarter, year,

@@ -24,12 +24,14 @@ from cdcmart.operators import orders as order_ops
 from cdcmart.operators import quality, state
 from cdcmart.operators.asof import unit_cost_asof
 from cdcmart.operators.bronze import typed_bronze
+from cdcmart.operators.distinct import count_sets, distinct_sets
 from cdcmart.operators.quarantine import quarantine, quarantine_summary
 from cdcmart.plans.maintained import MaintainedFacts
 from cdcmart.plans.warehouse import Warehouse
 from cdcmart.session import checkpoint_dir, configure
 from cdcmart.sources.base import Store
 from cdcmart.sources.changes import capture_raw, drop_sensitive, protect, snapshot_as_changes, unwrap_envelope
+from cdcmart.sources.chunks import ChunkedSnapshot
 from cdcmart.sources.log import expire
 from cdcmart.sources.sample import Sample
 from cdcmart.sources.specs import (
@@ -81,6 +83,10 @@ def warehouse(sample: Sample, **options) -> Warehouse:
     return Warehouse(sample.spark, sample.histories(), **options)
 
 
+def _scratch(sample: Sample, name: str) -> str:
+    return f"{checkpoint_dir(sample.spark, scratch=True)}/{name}-{uuid.uuid4().hex}"
+
+
 # --- sources --------------------------------------------------------------------------
 
 
@@ -145,6 +151,32 @@ def snapshot_union(sample: Sample) -> DataFrame:
     return state.current_state(typed_bronze(log, TABLES["users"]))
 
 
+@query
+def chunked_snapshot(sample: Sample) -> DataFrame:
+    """Customers taken in four chunks while events rename and delete them: each chunk's rows are read a while
+    after its first position in the log and a while before its second one."""
+    events = sample.read("events").select(
+        F.col("user_id").alias("id"), F.concat(F.lit("name "), F.col("event_id").cast("string")).alias("username"),
+        F.col("event_id").alias("_version"), (F.col("event_type") == "error").cast("int").alias("_deleted"),
+    )
+    customers = sample.read("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("username"))
+    last = events.agg(F.max("_version")).first()[0] or 0
+    positions = iter([last * i // 16 for i in range(1, 17)])
+
+    def read(chunk) -> DataFrame:
+        happened = events.where(F.col("_version") <= next(positions))
+        start = customers.withColumns({"_version": F.lit(-1).cast("bigint"), "_deleted": F.lit(0)})
+        return state.current_state(start.unionByName(happened)).where(chunk.holds(F.col("id"))).select("id", "username")
+
+    def log(low: int, high: int) -> DataFrame:
+        return events.where((F.col("_version") > low) & (F.col("_version") <= high))
+
+    snapshot = ChunkedSnapshot(sample.spark, _scratch(sample, "snapshot"), read, log, lambda: next(positions))
+    snapshot.plan(customers, sample.read("customer").count() // 4 + 1)
+    snapshot.run()
+    return state.current_state(snapshot.changes().unionByName(events)).select("id", "username")
+
+
 @partial(query, name="unwrap_envelope")
 def unwrap_envelopes(sample: Sample) -> DataFrame:
     names = ("id", "username", "password", "__op", "__table", "__source_ts_ms", "__deleted")
@@ -257,10 +289,6 @@ def compacted_changes(sample: Sample) -> DataFrame:
     return state.compact(state.compact(log).unionByName(log))
 
 
-def _scratch(sample: Sample, name: str) -> str:
-    return f"{checkpoint_dir(sample.spark, scratch=True)}/{name}-{uuid.uuid4().hex}"
-
-
 @query
 def incremental_compaction(sample: Sample) -> DataFrame:
     """Users' changes merged in four batches into a bucketed base. Later batches hold older changes as well, and the
@@ -450,6 +478,19 @@ def discount_conservation(sample: Sample) -> DataFrame:
     return warehouse(sample).discount_conservation()
 
 
+@query
+def distinct_orders(sample: Sample) -> DataFrame:
+    """Delivered orders by category and by month, each order once, from one set of stored sets by day and product."""
+    shop = warehouse(sample)
+    checkpoint_dir(sample.spark, scratch=True)
+    sets = distinct_sets(shop.sales_line_base(), ["date_key", "product_id"], "order_id").checkpoint()
+    named = sets.join(shop.dim_products().select("product_id", "category_name"), "product_id", "left")
+    by_category = count_sets(named, ["category_name"], "order_count").select(F.lit("category").alias("scope"), F.col("category_name").alias("name"), "order_count")
+    dated = sets.withColumn("month", F.date_format("date_key", "yyyy-MM"))
+    by_month = count_sets(dated, ["month"], "order_count").select(F.lit("month").alias("scope"), F.col("month").alias("name"), "order_count")
+    return by_category.unionByName(by_month)
+
+
 # --- reports --------------------------------------------------------------------------
 
 
