@@ -1,13 +1,14 @@
 """Approximate nearest neighbours by a forest of sorted hash strings.
 
 Rows are dealt to blocks; each block keeps, per tree, the sorted array of its rows' hash
-strings. A string is a row of symbols; a symbol is the axis (and its sign) that a randomly
-rotated vector lies nearest to. A query finds its longest matching prefixes by binary search
-in every tree and ascends in all trees together, one symbol at a time, taking in the rows that
-share the shorter prefix. It stops when a row as near as the k-th found so far would have
-been missed by all trees with a probability of ``MISS`` at most; the empty prefix is the
-whole block, so a query that never gets there has seen everything. Nothing else limits
-candidates.
+strings of ``BITS`` bits. A bit tells on which side of a random hyperplane a vector lies. A query finds
+its longest matching prefix in every tree by binary search and ascends in all trees together, one
+bit at a time; rows that share a tree's prefix with the query meet it there. A row at an angle
+of a has the same bit with the chance 1 - a / pi, so its meetings are binomial. The ascent ends
+when a row as near as the k-th found so far meets the query in ``MEETINGS`` trees on average.
+Then distances are computed in falling order of meetings, down to the number that such a row
+reaches with a chance of 1 - ``MISS``; the k-th nearest found, which decides it, gets nearer
+meanwhile. There is no cap on candidates: where all rows are about as far away, more of them are compared.
 
 Equal vectors are searched once: a block keeps their k + 1 least ids, which is enough for any
 query, and equal queries share one search. So a vector that holds a third of all rows costs
@@ -29,39 +30,37 @@ from pyspark.sql import functions as F
 
 from cdcmart.llm.common import ship, table
 
-TREES, SYMBOLS = 48, 3
-MISS = 0.08
+TREES, BITS = 256, 32
+#: Meetings expected of a row as near as the k-th, the chance that it has too few, and distances computed at once.
+MEETINGS, MISS, GROUP = 40.0, 0.12, 64
 BLOCK_ROWS, BLOCK_QUERIES = 1 << 14, 1 << 14
 K, EVERY = 10, 100
 
 
 @cache
-def rotations(dims: int, seed: int) -> list[np.ndarray]:
-    """SYMBOLS random rotations for one tree."""
-    rng = np.random.default_rng([seed, dims])
-    return [np.linalg.qr(rng.standard_normal((dims, dims)))[0].astype(np.float32) for _ in range(SYMBOLS)]
+def planes(dims: int) -> np.ndarray:
+    """Normal vectors of the hyperplanes of all trees, orthogonal in groups of ``dims``."""
+    rng = np.random.default_rng(dims)
+    groups = [np.linalg.qr(rng.standard_normal((dims, dims)))[0] for _ in range(-(-TREES * BITS // dims))]
+    return np.concatenate(groups)[: TREES * BITS].astype(np.float32)
 
 
-@cache
-def meeting(dims: int) -> tuple[np.ndarray, np.ndarray]:
-    """(distances on the unit sphere, chance that such a pair gets the same symbol)."""
-    rng = np.random.default_rng(dims)
-    distances = np.linspace(0.0, 2.0, 41)
-    x, z = rng.standard_normal((2, 4000, dims))
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    z -= (z * x).sum(1, keepdims=True) * x
-    z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
-    chances = []
-    for distance in distances:
-        angle = 2 * np.arcsin(distance / 2)
-        y = np.cos(angle) * x + np.sin(angle) * z
-        chances.append(np.mean(_symbol(x) == _symbol(y)))
-    return distances, np.minimum.accumulate(np.array(chances))
+def same_bit(distance: float) -> float:
+    """Chance that two points of the unit sphere lie on the same side of a random hyperplane."""
+    return 1.0 - float(np.arccos(np.clip(1.0 - distance * distance / 2.0, -1.0, 1.0))) / np.pi
 
 
-def _symbol(rotated: np.ndarray) -> np.ndarray:
-    axis = np.abs(rotated).argmax(1)
-    return axis * 2 + (rotated[np.arange(len(rotated)), axis] > 0)
+@cache
+def least_meetings(trees: int, chance: float) -> int:
+    """The number of meetings that is reached with a chance of 1 - ``MISS``, of ``trees`` with this ``chance`` each."""
+    if chance >= 1.0:
+        return trees
+    below, term, n = 0.0, (1.0 - chance) ** trees, 0
+    while n < trees and below + term <= MISS:
+        below += term
+        term *= (trees - n) / (n + 1) * chance / (1.0 - chance)
+        n += 1
+    return n
 
 
 def lifted(vectors: np.ndarray, radius: float) -> np.ndarray:
@@ -71,62 +70,72 @@ def lifted(vectors: np.ndarray, radius: float) -> np.ndarray:
     return np.concatenate([unit, rest], 1).astype(np.float32)
 
 
-def strings(points: np.ndarray, tree: int) -> tuple[np.ndarray, int]:
-    """Hash strings as whole numbers, and the bits of a symbol."""
-    dims = points.shape[1]
-    bits = int(2 * dims - 1).bit_length()
-    found = np.zeros(len(points), np.int64)
-    for rotation in rotations(dims, tree):
-        found = (found << bits) | _symbol(points @ rotation)
-    return found, bits
+def strings(points: np.ndarray, tree: int) -> np.ndarray:
+    """Hash strings of one tree as whole numbers."""
+    sides = points @ planes(points.shape[1])[tree * BITS : (tree + 1) * BITS].T > 0
+    return np.packbits(sides, axis=1).view(">u4")[:, 0].astype(np.int64)
 
 
 class Forest:
     """Sorted hash strings over the vectors of one block."""
 
     def __init__(self, vectors: np.ndarray, radius: float, trees: int = TREES):
-        self.vectors, self.radius = vectors, radius
-        self.points = lifted(vectors, radius)
+        self.vectors, self.radius, self.compared = vectors, radius, 0
+        points = lifted(vectors, radius)
         self.order, self.sorted = [], []
         for tree in range(trees):
-            found, self.bits = strings(self.points, tree)
-            order = np.argsort(found, kind="stable")
+            found = strings(points, tree)
+            order = np.argsort(found, kind="stable").astype(np.int32)
             self.order.append(order)
             self.sorted.append(found[order])
 
-    def search(self, queries: np.ndarray, k: int, miss: float = MISS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def search(self, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(rows, distances) of each query's k nearest found, nearest first, ties included."""
-        points = lifted(queries, self.radius)
-        own = [strings(points, tree)[0] for tree in range(len(self.order))]
-        distances, chances = meeting(points.shape[1])
+        for at in range(0, len(queries), 256):
+            yield from self._search(queries[at : at + 256], k)
+
+    def _search(self, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        points, trees, n = lifted(queries, self.radius), len(self.order), len(self.vectors)
+        levels = np.arange(BITS + 1)
+        low, high = (np.empty((len(queries), trees, BITS + 1), np.int32) for _ in range(2))
+        for tree in range(trees):
+            own = strings(points, tree)[:, None] >> (BITS - levels)
+            low[:, tree] = np.searchsorted(self.sorted[tree], own << (BITS - levels))
+            high[:, tree] = np.searchsorted(self.sorted[tree], (own + 1) << (BITS - levels))
+        met = (high - low).astype(np.int64).sum(1)
         for at, query in enumerate(queries):
-            seen = np.zeros(len(self.vectors), bool)
-            rows, far = np.empty(0, np.int64), np.empty(0)
-            for level in range(SYMBOLS, -1, -1):
-                shift = self.bits * (SYMBOLS - level)
-                fresh = np.zeros(len(self.vectors), bool)
-                if level == 0:
-                    fresh[:] = True
-                else:
-                    for order, ranked, strings_ in zip(self.order, self.sorted, own, strict=True):
-                        prefix = strings_[at] >> shift
-                        low, high = np.searchsorted(ranked, [prefix << shift, (prefix + 1) << shift])
-                        fresh[order[low:high]] = True
-                fresh &= ~seen
-                seen |= fresh
-                new = np.flatnonzero(fresh)
-                rows = np.concatenate([rows, new])
-                far = np.concatenate([far, np.sqrt(((self.vectors[new] - query) ** 2).sum(1))])
-                if len(rows) >= k and level:
-                    kth = np.partition(far, k - 1)[k - 1]
-                    chance = np.interp(min(kth / self.radius, 2.0), distances, chances)
-                    if (1 - chance**level) ** len(self.order) <= miss:
-                        break
-            if len(rows) > k:
-                near = far <= np.partition(far, k - 1)[k - 1]
-                rows, far = rows[near], far[near]
-            order = np.argsort(far, kind="stable")
-            yield rows[order], far[order]
+            far = np.full(n, np.inf)
+
+            def compare(rows: np.ndarray) -> float:
+                rows = rows[np.isinf(far[rows])]
+                far[rows] = np.sqrt(((self.vectors[rows] - query) ** 2).sum(1))
+                self.compared += len(rows)
+                return float(np.partition(far, k - 1)[k - 1]) if k <= n else np.inf
+
+            # Ascend to the level where enough rows are met for a first k-th distance, ...
+            level = int(np.flatnonzero(met[at] >= min(4 * k, n))[-1])
+            while len(rows := np.unique(self._met(low[at], high[at], level))) < min(4 * k, n):
+                level -= 1
+            kth = compare(rows)
+            # ... and on until a row as near as that meets the query often enough.
+            same = same_bit(min(kth / self.radius, 2.0)) if np.isfinite(kth) else 0.0
+            while level and trees * same**level < MEETINGS:
+                level -= 1
+            times = np.bincount(self._met(low[at], high[at], level), minlength=n)
+            order = np.argsort(-times, kind="stable")
+            order = order[: np.count_nonzero(times)] if level else order
+            for start in range(0, len(order), GROUP):
+                some = order[start : start + GROUP]
+                if np.isfinite(kth) and times[some[0]] < least_meetings(trees, round(same_bit(min(kth / self.radius, 2.0)) ** level, 3)):
+                    break
+                kth = compare(some)
+            rows = np.flatnonzero(far <= (kth if np.isfinite(kth) else np.finfo(float).max))
+            nearest_first = np.argsort(far[rows], kind="stable")
+            yield rows[nearest_first], far[rows][nearest_first]
+
+    def _met(self, low: np.ndarray, high: np.ndarray, level: int) -> np.ndarray:
+        """Rows that share a prefix of ``level`` bits with the query, as often as there are such trees."""
+        return np.concatenate([order[a:b] for order, a, b in zip(self.order, low[:, level], high[:, level], strict=True)])
 
 
 def usable(frame: DataFrame, key: str, vector: str) -> DataFrame:

@@ -38,6 +38,44 @@ def test_recall_and_exact_scores(spark, sizes):
         assert all(s == pytest.approx(np.sqrt(((np.array(held[q]) - np.array(held[i])) ** 2).sum()), abs=1e-12) for i, s in near)
 
 
+def shares(vectors, queries, k=11):
+    """Recall of the k nearest, and the share of rows whose distance was computed."""
+    made = forest.Forest(vectors, float(np.linalg.norm(vectors, axis=1).max()) * (1 + 1e-9))
+    hits = 0
+    for at, (rows, _) in zip(queries, made.search(vectors[queries], k), strict=True):
+        far = ((vectors - vectors[at]) ** 2).sum(1)
+        hits += len(set(rows[:k].tolist()) & set(np.argsort(far, kind="stable")[:k].tolist()))
+    return hits / (k * len(queries)), made.compared / (len(vectors) * len(queries))
+
+
+def test_a_search_compares_few_rows(spark):
+    held = np.array([r.embedding for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()], float)
+    recall, share = shares(held, range(0, len(held), 20))
+    assert recall >= 0.9 and share < 0.12
+    # A full block: the sample, and noise that is as far away as such vectors are.
+    rng = np.random.default_rng(1)
+    noise = rng.standard_normal((forest.BLOCK_ROWS - len(held), held.shape[1]))
+    full = np.concatenate([held, noise / np.linalg.norm(noise, axis=1, keepdims=True)])
+    recall, share = shares(full, range(0, len(full), 300))
+    assert recall >= 0.9 and share < 0.1
+    # Where neighbours are near, hardly any.
+    centres = rng.standard_normal((200, 64))
+    near = centres[np.arange(8000) % 200] + 0.1 * rng.standard_normal((8000, 64))
+    recall, share = shares(near, range(0, 8000, 200))
+    assert recall >= 0.9 and share < 0.03
+
+
+def test_meetings_follow_the_angle():
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((300, 16))
+    points = forest.lifted(x, float(np.linalg.norm(x, axis=1).max()) * 1.01)
+    bits = np.stack([forest.strings(points, tree) for tree in range(64)])
+    for a, b in ((0, 1), (2, 3), (4, 5)):
+        same = 1 - np.bitwise_count(bits[:, a] ^ bits[:, b]).sum() / (64 * forest.BITS)
+        assert abs(same - forest.same_bit(float(np.linalg.norm(points[a] - points[b])))) < 0.05
+    assert forest.least_meetings(10, 1.0) == 10 and forest.least_meetings(256, 0.5) == pytest.approx(128 - 1.18 * 8, abs=2)
+
+
 def test_copies_ties_and_unusable_vectors(spark):
     same = [1.0, 0.0, 0.0]
     rows = [(i, same) for i in range(40)] + [(100, [0.0, 1.0, 0.0]), (101, [0.0, -1.0, -0.0]), (101, [0.0, -1.0, 0.0])]
