@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -51,6 +52,44 @@ def test_hidden_parts_and_furniture_go(attributes):
     assert main_text(f"<article><div class=article-header><h1>T</h1></div><p>{LONG}</p></article>") == f"T {LONG}"
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='content sidebar-right'><p>{LONG}</p><p>{LONG}</p></div>",
+        f"<div id=page class=menu-open><nav>x</nav><article><p>{LONG}</p><p>{LONG}</p></article></div>",
+        f"<article><div class=side-by-side><p>{LONG}</p></div><p>{LONG}</p></article>",
+        f"<form action=/><header>Site</header><div><p>{LONG}</p><p>{LONG}</p></div></form>",
+        f"<form><main><p>{LONG}</p><p>{LONG}</p></main><form><p>search</p></form></form>",
+        f"<div class=widget><div class=banner><p>{LONG}</p><p>{LONG}</p></div></div>",
+        f"<div class='related'><p>short</p></div><div class='nav-open'><p>{LONG}</p><p>{LONG}</p></div><div class=comments><p>{LONG * 9}</p></div>",
+    ],
+)
+def test_wrappers_that_sound_like_furniture_keep_their_text(page):
+    assert main_text(page) == f"{LONG} {LONG}"
+
+
+def test_articles_among_furniture_stay_furniture_if_the_page_has_its_own():
+    assert main_text(f"<article><p>{LONG}</p></article><div class=related><article><p>{LONG * 3}</p></article></div>") == LONG
+
+
+def test_quotes_only_follow_an_equals_sign():
+    page = "<article><p title=it's>Hello world</p><p>First.</p><p data-a='x>y'>don't stop</p><p a=\"b'c\">It's \"so\"</p></article>"
+    assert main_text(page) == "Hello world First. don't stop It's \"so\""
+    assert main_text("<article><p title='open>One</p><p>Two</p></article>") == "One Two"
+    assert main_text("<article><p>1 < 2 and a<b>c</b></p><br/><p class=x/>End<p =odd>s</p></article>") == "1 < 2 and ac End s"
+    assert main_text("<article><p>Text <a href='x") == "Text <a href='x"
+
+
+@pytest.mark.parametrize(
+    "broken",
+    ["<a ", "<a href='", '<p title="x ', "</b>", "<b>", "<p><b>", "<li><b>", "<h1>", "<!-- ", "<![", "<td><p><h1>", "<table><tr><td>", "x<", "<div class='a b' id=c>", "<script>", "<p>t<div>"],
+)
+def test_broken_pages_of_a_megabyte_take_seconds(broken):
+    began = time.process_time()
+    main_text(f"<article><p>{LONG}</p>" + broken * (1_000_000 // len(broken)))
+    assert time.process_time() - began < 8
+
+
 def test_deep_and_long_pages_end():
     assert main_text("<div>" * 20_000 + f"<p>{LONG}</p>") == LONG
     assert main_text(f"<article><p>{LONG * 5000}</p></article>") == " ".join((LONG * 5000).split())
