@@ -7,9 +7,9 @@ roles so that they can be read back, and states which characters carry loss.
 
 Nulls: a null text or role counts as empty; a null conversation id is an id of its own.
 Turns with equal numbers are ordered by role and text; null numbers come first. One
-conversation becomes one string, so it must fit one cell (2 GB). Extra columns of tables
-change the fingerprint and are accepted as long as the fields of exactly one layout are present;
-an unknown layout is an error for a table and a row without turns for a JSON record.
+conversation becomes one string, so it must fit one cell (2 GB). Columns that no layout
+uses are set aside before a table's fingerprint is taken, as is its key; a fingerprint that no mapping has, as that of a
+table with the fields of two layouts, is an error for a table and a row without turns for a JSON record.
 """
 
 from __future__ import annotations
@@ -91,7 +91,11 @@ MAPPINGS: tuple[Mapping, ...] = (
 )
 
 #: A table with one row per turn.
-ROWS = ("conv_id", "role", "text", "turn")
+ROWS = ("role", "text", "turn")
+KEY = "conv_id"
+#: What a fingerprint selects; None stands for rows that are gathered by their key.
+BY_FINGERPRINT: dict[str, Mapping | None] = {fingerprint(list(ROWS)): None} | {m.fingerprint: m for m in MAPPINGS}
+_FIELDS = {path.split("[")[0].split(".")[0] for paths in (ROWS, *(m.paths for m in MAPPINGS)) for path in paths}
 
 
 def record_fingerprint(record: Column) -> Column:
@@ -137,43 +141,44 @@ def _over(sql: str, names: list[str], mapping: str) -> str:
 
 
 def table_to_turns(frame: DataFrame) -> DataFrame:
-    """(conv_id, turns) of a table, whose own schema selects the mapping.
-
-    Extra columns are set aside: the layout whose paths are all present and most numerous
-    is chosen by its fingerprint.
-    """
-    here = set(field_paths(frame.schema))
-    layouts = {fingerprint(list(ROWS)): (ROWS, None)} | {m.fingerprint: (m.paths, m) for m in MAPPINGS}
-    held = [paths for paths, _ in layouts.values() if set(paths) <= here]
-    if not held:
-        raise ValueError(f"no mapping for a table with the fields {sorted(here)}")
-    paths, mapping = layouts[fingerprint(list(max(held, key=len)))]
+    """(conv_id, layout, turns) of a table; the fingerprint of its schema selects the mapping."""
+    used = T.StructType([f for f in frame.schema.fields if f.name in _FIELDS])
+    found = fingerprint(field_paths(used))
+    if found not in BY_FINGERPRINT:
+        raise ValueError(f"no mapping for a table with the fields {field_paths(used)}")
+    mapping = BY_FINGERPRINT[found]
     if mapping is not None:
         made = F.expr(mapping.turns).cast(TURNS)
-        return frame.select("conv_id", F.lit(mapping.name).alias("layout"), made.alias("turns"))
+        return frame.select(KEY, F.lit(mapping.name).alias("layout"), made.alias("turns"))
     turn = F.struct(F.col("turn").cast("bigint").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").alias("text"))
-    return frame.groupBy("conv_id").agg(F.lit("rows").alias("layout"), F.array_sort(F.collect_list(turn)).alias("turns"))
+    return frame.groupBy(KEY).agg(F.lit("rows").alias("layout"), F.array_sort(F.collect_list(turn)).alias("turns"))
 
 
 # --- template ---------------------------------------------------------------------------
 
-# Control strings of the template; each contains GUARD, which texts cannot once escaped.
-OPEN, CLOSE, GUARD = "<|start|>", "<|end|>\n", "<|"
+# Control strings of the template. Escaped texts hold none of them.
+OPEN, STOP, END = "[INST]", "[/INST]", "</s>"
+CLOSE = f"{STOP}{END}\n"
+_ESCAPES = (("%", "%25"), (OPEN, "%5BINST]"), (STOP, "%5B/INST]"), (END, "%3C/s>"))
 
 
 def escape(text: Column) -> Column:
-    """``%`` becomes ``%25`` and ``<|`` becomes ``%3C|``; nothing else changes."""
-    return F.replace(F.replace(text, F.lit("%"), F.lit("%25")), F.lit(GUARD), F.lit("%3C|"))
+    """``%`` becomes ``%25``, and the first character of each control string its number."""
+    for plain, escaped in _ESCAPES:
+        text = F.replace(text, F.lit(plain), F.lit(escaped))
+    return text
 
 
 def unescape(text: Column) -> Column:
-    return F.replace(F.replace(text, F.lit("%3C|"), F.lit(GUARD)), F.lit("%25"), F.lit("%"))
+    for plain, escaped in reversed(_ESCAPES):
+        text = F.replace(text, F.lit(escaped), F.lit(plain))
+    return text
 
 
 def format_turns(frame: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """(conv_id, formatted, loss): the text, and the loss mask as (turn, start, length).
 
-    A turn is ``<|start|>role\\ntext<|end|>\\n``. Mask spans count code points within their
+    A turn is ``[INST]role\\ntext[/INST]</s>\\n``. Mask spans count code points within their
     turn, whose place the end marks give; ``turn`` counts from 0.
     """
 
@@ -200,7 +205,7 @@ def format_turns(frame: DataFrame, loss_role: str = "assistant") -> DataFrame:
 
 def read_turns(frame: DataFrame) -> DataFrame:
     """(conv_id, turns, loss_texts, formatted) read from formatted text and mask alone."""
-    blocks = F.split("formatted", r"<\|end\|>\n")
+    blocks = F.split("formatted", r"\[/INST\]</s>\n")
     blocks = F.slice(blocks, 1, F.size(blocks) - 1)  # nothing follows the last mark
 
     def turn(block: Column) -> Column:

@@ -63,6 +63,12 @@ def cut_lineage(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of this run."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def map_rows(
     frame: DataFrame, work: Callable[[dict], Iterator[tuple]], schema: str, slice_rows: int = SLICE, slice_bytes: int = 1 << 22
 ) -> DataFrame:

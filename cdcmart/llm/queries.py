@@ -30,14 +30,15 @@ ORACLE: dict[str, str] = {
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
             UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
         ), said AS (
-            SELECT *, length(replace(replace(role, '%', '%25'), '<|', '%3C|'))
-                      + length(replace(replace(text, '%', '%25'), '<|', '%3C|')) AS chars FROM rows
+            SELECT *, length(replace(replace(replace(replace(role, '%', '%25'), '[INST]', '%5BINST]'), '[/INST]', '%5B/INST]'), '</s>', '%3C/s>'))
+                      + length(replace(replace(replace(replace(text, '%', '%25'), '[INST]', '%5BINST]'), '[/INST]', '%5B/INST]'), '</s>', '%3C/s>'))
+                      AS chars FROM rows
         )
         SELECT conv_id, count(*) AS n_turns,
                sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
                CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-               CAST(sum(chars + length('<|start|>') + 1 + length('<|end|>') + 1) AS BIGINT) AS formatted_chars
+               CAST(sum(chars + length('[INST]') + 1 + length('[/INST]</s>') + 1) AS BIGINT) AS formatted_chars
         FROM said GROUP BY conv_id
     """,
     "op13_treap_search": """

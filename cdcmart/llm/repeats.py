@@ -360,8 +360,9 @@ def removed(documents: DataFrame, key: str = "doc_id", text: str = "text", lengt
 
 
 def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with what long repeats leave of it, digested."""
+    """Every document with what long repeats leave of it, digested and as text (a character cut in two is replaced)."""
     rows = _keyed(table(spark, sf_dir, "documents"), "doc_id", "text")
-    # Digested before it meets the ids, so that what is kept need not be moved.
-    found = kept_parts(rows.select("tid", "body")).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
-    return rows.select("id", "tid").join(found, "tid").select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    found = kept_parts(rows.select("tid", "body"))
+    named = rows.select("id", "tid").join(found, "tid")
+    kept = F.make_valid_utf8(F.col("kept").cast("string")).alias("text")
+    return named.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), kept)
