@@ -161,3 +161,34 @@ def leaf_categories(categories: DataFrame) -> DataFrame:
 
 def root_categories(categories: DataFrame) -> DataFrame:
     return categories.where(F.col("category_id").isNull())
+
+
+def category_tree(categories: DataFrame, deepest: int = 100) -> DataFrame:
+    """Categories of any depth: (id, category_name, root_id, depth, path, is_leaf, state).
+
+    A recursive query walks down from the roots, a level a round. A category without children is a leaf.
+    ``state`` is "root" or "child", "orphan" if the parent does not exist (it then counts as a
+    root), or "cycle" for rows on or below a circle of parents, which no root leads to; these have no root, depth or path.
+    A tree deeper than ``deepest`` is an error.
+    """
+    spark = categories.sparkSession
+    rows = categories.select("id", "category_name", F.col("category_id").alias("parent_id"))
+    parents = rows.select(F.col("parent_id").alias("id")).where("id IS NOT NULL").distinct().withColumn("has_children", F.lit(True))
+    known = rows.select(F.col("id").alias("parent_id"), F.lit(True).alias("has_parent"))
+    rows = rows.join(parents, "id", "left").join(known, "parent_id", "left")
+    state = F.when(F.col("parent_id").isNull(), "root").when(F.col("has_parent"), "child").otherwise("orphan")
+    rows = rows.select("id", "category_name", "parent_id", state.alias("state"), F.col("has_children").isNull().alias("is_leaf"))
+    walked = spark.sql(
+        f"""
+        WITH RECURSIVE tree(id, root_id, depth, path) MAX RECURSION LEVEL {deepest} AS (
+            SELECT id, id, 0, category_name FROM {{rows}} WHERE state <> 'child'
+            UNION ALL
+            SELECT c.id, t.root_id, t.depth + 1, concat(t.path, ' > ', c.category_name)
+            FROM tree t JOIN {{rows}} c ON c.parent_id = t.id AND c.state = 'child'
+        ) SELECT * FROM tree
+        """,
+        rows=rows,
+    )
+    found = rows.join(walked, "id", "left")
+    state = F.when(F.col("depth").isNull(), "cycle").otherwise(F.col("state"))
+    return found.select("id", "category_name", "root_id", "depth", "path", "is_leaf", state.alias("state"))

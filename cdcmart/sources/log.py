@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,17 +61,22 @@ def drop_expired(spark: SparkSession, path: str, days: int, now: dt.datetime) ->
     return sorted(dropped)
 
 
-def publish(frames: Mapping[str, DataFrame], path: str, batch_id: int) -> bool:
+def publish(
+    frames: Mapping[str, DataFrame], path: str, batch_id: int, accept: Callable[[], None] | None = None
+) -> bool:
     """Write several tables as one unit: readers see all of them or none.
 
     Data goes to ``<path>/<table>/batch_id=<n>``; the commit record is written last.
-    A batch that is already committed is left alone, so a rerun changes nothing.
+    A batch that is already committed is left alone, so a rerun changes nothing. ``accept`` is called
+    before the commit record; if it raises, nothing becomes visible.
     """
     spark = next(iter(frames.values())).sparkSession
     if _committed(spark, path, batch_id):
         return False
     for name, frame in frames.items():
         frame.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
+    if accept is not None:
+        accept()
     spark.range(batch_id, batch_id + 1).select(F.col("id").alias("batch_id")).write.mode("append").parquet(
         f"{path}/{COMMITS}"
     )

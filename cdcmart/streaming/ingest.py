@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -33,15 +33,22 @@ def write_typed_batch(
     Unreadable messages are left out here; ``ingest_raw`` keeps them in the raw log and in
     the quarantine, with their reason. So a broken message stops nothing, however
     many there are. With a ``broken_limit`` (rows, per cent) a batch that exceeds both is
-    refused before anything is written: for loads that somebody watches. The batch becomes
-    visible with its commit record, written last; a batch that is run again changes nothing.
+    refused: for loads that somebody watches. Its rows are counted while they are written, so the batch is
+    computed once, and a refused batch gets no commit record, without which none of it is visible. The
+    record is written last; a batch that is run again changes nothing.
     """
     typed = typed_with_status(protect(batch), spec, keep=("partition",))
+    accept = None
     if broken_limit is not None:
-        broken, total = typed.agg(F.count_if("_broken"), F.count("*")).first()
-        if broken > max(broken_limit[0], total * broken_limit[1] / 100):
-            raise TooManyBroken(f"{spec.topic}: {broken} of {total} messages are unreadable, tolerated are {broken_limit}")
-    publish({TYPED: typed.where(~F.col("_broken")).drop("_broken")}, path, batch_id)
+        counted = Observation()
+        typed = typed.observe(counted, F.count_if("_broken").alias("broken"), F.count("*").alias("total"))
+
+        def accept() -> None:
+            broken, total = counted.get["broken"], counted.get["total"]
+            if broken > max(broken_limit[0], total * broken_limit[1] / 100):
+                raise TooManyBroken(f"{spec.topic}: {broken} of {total} messages are unreadable, tolerated are {broken_limit}")
+
+    publish({TYPED: typed.where(~F.col("_broken")).drop("_broken")}, path, batch_id, accept)
 
 
 def write_raw_batch(batch: DataFrame, batch_id: int, raw_path: str, quarantine_path: str) -> None:

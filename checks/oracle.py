@@ -569,6 +569,20 @@ ORACLE: dict[str, str] = {
       ORDER BY p DESC LIMIT 3""",
     "users_with_addresses": "SELECT c_custkey AS user_id, c_custkey AS address_id FROM customer",
     "leaf_categories": _with(CATEGORIES, select="SELECT id, category_name, category_id, slug FROM cs WHERE category_id IS NOT NULL"),
+    "category_tree": _with(CATEGORIES, select="""SELECT * FROM (
+      WITH RECURSIVE tops AS (
+        SELECT DISTINCT split_part(category_name, ' ', 1) AS name FROM cats WHERE category_id IS NULL
+      ), rows AS (
+        SELECT CAST('0x' || substr(md5('top ' || name), 1, 15) AS BIGINT) AS id, name AS category_name, CAST(NULL AS BIGINT) AS parent FROM tops
+        UNION ALL SELECT id, category_name, coalesce(category_id,
+          CAST('0x' || substr(md5('top ' || split_part(category_name, ' ', 1)), 1, 15) AS BIGINT)) FROM cats
+      ), tree AS (
+        SELECT id, category_name, id AS root_id, 0 AS depth, category_name AS path FROM rows WHERE parent IS NULL
+        UNION ALL SELECT r.id, r.category_name, t.root_id, t.depth + 1, t.path || ' > ' || r.category_name FROM tree t JOIN rows r ON r.parent = t.id
+      )
+      SELECT id, category_name, root_id, CAST(depth AS BIGINT) AS depth, path,
+        CAST(id NOT IN (SELECT parent FROM rows WHERE parent IS NOT NULL) AS BIGINT) AS is_leaf,
+        CASE WHEN depth = 0 THEN 'root' ELSE 'child' END AS state FROM tree)"""),
     "category_slug": _with(CATEGORIES, select="SELECT id, category_name, slug FROM cs"),
 }
 

@@ -33,7 +33,7 @@ from cdcmart.sources.base import Store
 from cdcmart.sources.changes import capture_raw, drop_sensitive, protect, snapshot_as_changes, unwrap_envelope
 from cdcmart.sources.chunks import ChunkedSnapshot
 from cdcmart.sources.log import expire
-from cdcmart.sources.sample import Sample
+from cdcmart.sources.sample import Sample, text_id
 from cdcmart.sources.specs import (
     FOREIGN_KEYS,
     QUARANTINE_DAYS,
@@ -748,6 +748,17 @@ def leaf_categories(sample: Sample) -> DataFrame:
     return quality.leaf_categories(sample.categories())
 
 
+@query
+def category_tree(sample: Sample) -> DataFrame:
+    """Three levels: the type's first word, the type, and the type with the size."""
+    types = sample.read("part").select("p_type").distinct()
+    tops = types.select(F.substring_index("p_type", " ", 1).alias("category_name")).distinct()
+    top_id = text_id(F.concat(F.lit("top "), F.substring_index("category_name", " ", 1)))
+    below = sample.categories().withColumn("category_id", F.coalesce("category_id", top_id))
+    tops = tops.select(top_id.alias("id"), "category_name", F.lit(None).cast("bigint").alias("category_id"))
+    return quality.category_tree(tops.unionByName(below.select(*tops.columns)))
+
+
 @query
 def category_slug(sample: Sample) -> DataFrame:
     return sample.categories().select("id", "category_name", slug(F.col("category_name")).alias("slug"))

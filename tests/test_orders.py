@@ -175,3 +175,13 @@ def test_first_pairs_of_users_and_addresses(spark):
     addresses = spark.createDataFrame([(9, 2), (7, 2), (8, 2), (1, 5), (2, 3)], "id bigint, user_id bigint")
     assert rows(quality.users_with_addresses(users, addresses, 3)) == [(2, 7), (2, 8), (2, 9)]
     assert rows(quality.newest(users, 2)) == [(2,), (3,)]
+
+
+def test_category_tree_of_any_depth(spark):
+    from cdcmart.operators.quality import category_tree
+
+    told = [(1, "a", None), (2, "b", 1), (3, "c", 2), (4, "d", 3), (5, "e", None), (6, "f", 99), (7, "g", 6), (8, "h", 9), (9, "i", 8), (10, "j", 9)]
+    found = {r.id: r for r in category_tree(spark.createDataFrame(told, "id bigint, category_name string, category_id bigint")).collect()}
+    assert (found[4].root_id, found[4].depth, found[4].path, found[4].is_leaf) == (1, 3, "a > b > c > d", True)
+    assert [found[i].state for i in range(1, 11)] == ["root", "child", "child", "child", "root", "orphan", "child", "cycle", "cycle", "cycle"]
+    assert found[7].path == "f > g" and found[8].root_id is None and found[10].is_leaf and not found[1].is_leaf
