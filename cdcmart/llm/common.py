@@ -108,23 +108,40 @@ def map_rows(
     return frame.mapInArrow(batches, schema)
 
 
+#: Keys that may be broadcast as heavy ones, and the rows from which a key can be one.
+HEAVIEST, HEAVY = 40_000, 1_000
+
+
+def heaviest(totals: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys with the most rows by ``totals`` (keys, n_rows); each other key holds under a 40,000th of all rows, or few."""
+    return totals.where(F.col("n_rows") >= HEAVY).orderBy(F.col("n_rows").desc(), *keys).limit(HEAVIEST).select(*keys)
+
+
+def join_spread(rows: DataFrame, found: DataFrame, keys: list[str], heavy: DataFrame) -> DataFrame:
+    """``rows`` joined with ``found``, which holds each key once: rows of heavy keys stay where they lie."""
+    cold = rows.join(F.broadcast(heavy), keys, "left_anti").join(found, keys)
+    # One row per heavy key, so HEAVIEST rows at most.
+    return cold.unionByName(rows.join(F.broadcast(found.join(F.broadcast(heavy), keys, "left_semi")), keys))
+
+
 def components(edges: DataFrame, least: str = "a", other: str = "b") -> DataFrame:
     """Connected components: (node, root) of every node that has an edge, root the least node.
 
     Alternates the two star operations (each node's larger neighbours, then its smaller
     ones, move to the least node in sight), so rounds grow with the logarithm of the
-    longest path. Minima are aggregated before they are joined; no neighbour list is built.
+    longest path. Minima are aggregated before they are joined; no neighbour list is built, and
+    the pairs of hubs are not moved to be joined.
     """
     pairs = edges.select(F.col(least).alias("u"), F.col(other).alias("v")).where("u <> v")
     pairs = cut_lineage(pairs.distinct())
     seen = None
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n_rows"))
+        large = join_spread(both.where("v > u"), low.drop("n_rows"), ["u"], heaviest(low, ["u"])).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         down = large.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        low = down.groupBy("u").agg(F.min("v").alias("m"))
-        moved = down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n_rows"))
+        moved = join_spread(down, low.drop("n_rows"), ["u"], heaviest(low, ["u"])).select(F.col("v").alias("u"), F.col("m").alias("v"))
         roots = low.select("u", F.col("m").alias("v"))
         pairs = cut_lineage(moved.unionByName(roots).where("u <> v").distinct())
         state = pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
