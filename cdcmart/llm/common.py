@@ -70,12 +70,18 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def map_rows(
-    frame: DataFrame, work: Callable[[dict], Iterator[tuple]], schema: str, slice_rows: int = SLICE, slice_bytes: int = 1 << 22
+    frame: DataFrame,
+    work: Callable[[dict], Iterator[tuple]] | Callable[[list[dict]], Iterator[tuple]],
+    schema: str,
+    slice_rows: int = SLICE,
+    slice_bytes: int = 1 << 22,
+    together: int = 0,
 ) -> DataFrame:
     """``work`` turns each input row into result rows; both leave Python in small Arrow batches.
 
     A batch is closed after ``slice_rows`` rows, or earlier when its strings, bytes and
     arrays reach ``slice_bytes``, so a task's memory does not follow the length of texts.
+    With ``together``, ``work`` takes lists of up to so many rows.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
@@ -94,9 +100,10 @@ def map_rows(
             )
 
         for batch in source:
-            for at in range(0, batch.num_rows, 64):
-                for row in batch.slice(at, 64).to_pylist():
-                    for out in work(row):
+            for at in range(0, batch.num_rows, together or 64):
+                part = batch.slice(at, together or 64).to_pylist()
+                for given in [part] if together else part:
+                    for out in work(given):
                         rows.append(out)
                         size += sum(len(x) for x in out if isinstance(x, str | bytes | list | np.ndarray))
                         if len(rows) >= slice_rows or size >= slice_bytes:
