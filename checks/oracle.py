@@ -396,6 +396,12 @@ ORACLE: dict[str, str] = {
       SELECT topic, count(*) AS event_count, CAST(7 AS BIGINT) AS days FROM ev
       WHERE ts >= TIMESTAMP '2024-01-24' GROUP BY 1
       UNION ALL SELECT topic, count(*), 30 FROM ev WHERE ts >= TIMESTAMP '2024-01-01' GROUP BY 1"""),
+    "raw_log_retained": _with(EVENTS, select="""
+      SELECT topic, CAST(0 AS BIGINT) AS kafka_partition, event_id AS kafka_offset, second AS ingested_at
+      FROM ev WHERE ts >= TIMESTAMP '2024-01-24'"""),
+    "raw_log_replayed": _with(EVENTS, PAYLOADS, select="""
+      SELECT ev.topic, CAST(0 AS BIGINT) AS kafka_partition, ev.event_id AS kafka_offset, ev.second AS ingested_at, length(payload) AS n_chars
+      FROM ev JOIN fields USING (event_id) WHERE event_id >= (SELECT max(event_id) // 2 FROM ev)"""),
     # typed change tables
     "typed_bronze": _with(EVENTS, PAYLOADS, select="""SELECT CAST(id_text AS BIGINT) AS id,
         CAST(coalesce(doc ->> '$.order_id', '0') AS BIGINT) AS order_id, CAST(doc ->> '$.product_id' AS BIGINT) AS product_id,

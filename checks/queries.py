@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +32,7 @@ from cdcmart.session import checkpoint_dir, configure
 from cdcmart.sources.base import Store
 from cdcmart.sources.changes import capture_raw, drop_sensitive, protect, snapshot_as_changes, unwrap_envelope
 from cdcmart.sources.chunks import ChunkedSnapshot
+from cdcmart.sources.indexed import IndexedLog
 from cdcmart.sources.log import expire
 from cdcmart.sources.sample import Sample, text_id
 from cdcmart.sources.specs import (
@@ -211,6 +212,38 @@ def retention_kept(sample: Sample) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def _indexed(sample: Sample) -> IndexedLog:
+    """The raw log by event time, in three batches."""
+    store = IndexedLog(sample.spark, _scratch(sample, "raw"))
+    raw = sample.event_log().withColumnsRenamed({"partition": "kafka_partition", "offset": "kafka_offset", "ts": "ingested_at"})
+    for batch in range(3):
+        store.append(raw.where(F.pmod(F.hash("kafka_offset"), F.lit(3)) == batch), batch)
+    return store
+
+
+@query
+def raw_log_retained(sample: Sample) -> DataFrame:
+    """The raw log after its expiry, the boundary's files written anew."""
+    store = _indexed(sample)
+    store.expire(RAW_DAYS, NOW)
+    found = store.read().select("topic", "kafka_partition", "kafka_offset", "ingested_at").checkpoint()
+    store.discard()
+    return found
+
+
+@query
+def raw_log_replayed(sample: Sample) -> DataFrame:
+    """Every topic read again from the offset in the middle of the log on, by the index."""
+    store = _indexed(sample)
+    index = store.index()
+    middle = index.agg(F.floor(F.max("last_offset") / 2)).first()[0] or 0
+    parts = [store.replay(row.topic, row.kafka_partition, middle) for row in index.select("topic", "kafka_partition").distinct().collect()]
+    found = reduce(DataFrame.unionByName, parts) if parts else store.read()
+    found = found.select("topic", "kafka_partition", "kafka_offset", "ingested_at", F.char_length("payload").alias("n_chars")).checkpoint()
+    store.discard()
+    return found
+
+
 # --- typed change tables --------------------------------------------------------------
 
 
