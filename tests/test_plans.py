@@ -6,13 +6,14 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from cdcmart import session
 from cdcmart.operators.bronze import typed_bronze
 from cdcmart.operators.quarantine import quarantine
 from cdcmart.operators.state import current_state
 from cdcmart.plans import gold
 from cdcmart.plans.warehouse import Warehouse
 from cdcmart.sources.changes import capture_raw
-from cdcmart.sources.specs import TABLES
+from cdcmart.sources.specs import BY_ORDER, TABLES
 
 
 def physical(frame) -> str:
@@ -133,3 +134,26 @@ def test_calendar_is_broadcast_and_small(spark, sample, unbroadcast):
     warehouse = Warehouse(spark, sample.tables(), compacted=sample.tables())
     assert "BroadcastHashJoin [date_key" in physical(warehouse.report_overview_orders())
     assert gold.CALENDAR_DAYS == 36525
+
+
+def test_hot_orders_are_divided_before_versions_are_compared(spark, sample, unbroadcast):
+    """With lines keyed by their order, what depends on hot orders reads nothing before these are known."""
+    plan = optimized(Warehouse(spark, sample.histories(), keys=BY_ORDER).sales_line_allocated()).splitlines()
+    joins = [i for i, line in enumerate(plan) if ("Join LeftSemi" in line or "Join LeftAnti" in line) and "_k0" not in line]
+    assert len(joins) >= 4  # lookups have their own, by _k0
+    for at in joins:
+        column = plan[at].index("Join")
+        left = []
+        for line in plan[at + 1 :]:
+            if line[column : column + 1] != ":":
+                break
+            left.append(line)
+        assert left and not any("Window" in line for line in left)
+
+
+def test_scan_parts_are_bounded(spark):
+    before = spark.conf.get(session.SCAN_PART)
+    for given, left in (("128m", session.SCAN_BYTES), ("134217728b", session.SCAN_BYTES), ("1m", 1 << 20)):
+        spark.conf.set(session.SCAN_PART, given)
+        assert session.size_bytes(session.configure(spark).conf.get(session.SCAN_PART)) == left
+    spark.conf.set(session.SCAN_PART, before)
