@@ -116,3 +116,17 @@ def test_empty_batches_and_stores(spark, store):
     store.merge_changes(log(spark, [(1, "a", 1, 0)]), 1)
     store.merge_changes(log(spark, []), 2)
     assert rows(store.read()) == [(1, "a", 1, 0)]
+
+
+def test_rows_kept_by_another_column_are_not_moved(spark, tmp_path):
+    lines = Store(spark, str(tmp_path / "lines"), buckets=4, keys=("order_id", "id"), by=("order_id",))
+    schema = "id bigint, order_id bigint, _version bigint, _deleted int"
+    lines.merge_changes(spark.createDataFrame([(i, i // 3, 1, 0) for i in range(60)], schema), 0)
+    change = spark.createDataFrame([(4, 1, 2, 1), (99, 1, 2, 0)], schema)
+    before = spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition")
+    with lines._in_place():
+        merged = lines._joined(lines.read(), change, lambda columns, stored: [F.col(f"old.{c}") for c in columns])
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("FileScan parquet") < plan.index("Exchange") and plan.count("Exchange") == 1
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == before
+    lines.discard()
