@@ -1,3 +1,6 @@
+import datetime as dt
+import time
+
 import pytest
 from conftest import rows
 from shop import Shop, millis
@@ -112,3 +115,32 @@ def test_a_batch_that_failed_is_applied_again(spark, facts, monkeypatch):
     facts.apply(batch, 1)
     facts.apply(batch, 1)
     same(spark, facts, shop)
+
+
+def test_batches_leave_no_shuffle_files_no_copies_and_no_old_rows(spark, tmp_path):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+    path = tmp_path / "facts"
+    facts = MaintainedFacts(spark, str(path), ["fact_order_overview"], buckets=4)
+    shop = Shop().catalog()
+    for order in range(1, 9):
+        shop.order(order, "220.00", "10.00", status=4)
+    at, before = len(shop.records), shuffled()
+    facts.apply(changes(spark, shop), 0)
+    for order in range(1, 9):
+        shop.order(order, "230.00", "10.00", status=4, op="u")
+    facts.apply(changes(spark, shop, at), 1)
+    for _ in range(50):  # they go in the background
+        if shuffled() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffled() <= before
+    assert sorted(x.name for x in path.iterdir()) == ["facts", "tables"]
+    facts.drop_unreferenced(1, dt.datetime.now() + dt.timedelta(hours=1))
+    assert len(list((path / "tables/orders/files").iterdir())) == 1
+    facts.apply(changes(spark, shop, at), 1)  # again: nothing is counted twice
+    want = shop.warehouse(spark).fact_order_overview()
+    assert rows(facts.fact_order_overview().select(*want.columns)) == rows(want)
+    facts.discard()
